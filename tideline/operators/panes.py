@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tideline.functions.numeric import US
 from tideline.operators.scan import prefix_scan
 from tideline.operators.watermarks import slice_watermarks, window_end, with_status, with_watermark
+from tideline.session import settle
 from tideline.sources.arrivals import with_arrival_minute
 
 
@@ -228,12 +229,9 @@ def panes(
         F.col(row_id).alias("__id"),
         amount.alias("__v"),
     )
-    cells = with_status(
-        with_watermark(
-            rows.groupBy(*keys, "slice").agg(F.sum("__v").alias("delta"), F.count(F.lit(1)).alias("rows")), slices
-        ),
-        lateness_s,
-    )
+    reduced = rows.groupBy(*keys, "slice").agg(F.sum("__v").alias("delta"), F.count(F.lit(1)).alias("rows"))
+    # Far fewer than the rows, and read by every branch below: written once.
+    cells = settle(with_status(with_watermark(reduced, slices), lateness_s), "cells")
 
     def rows_with(status: str):
         return lambda: with_arrival_minute(
@@ -279,7 +277,7 @@ def panes(
     firings = firings.withColumn("delta", F.col("delta").cast("decimal(28,2)"))
 
     scanned = prefix_scan(
-        firings, keys, ["phase", "b1", "b2"], ["o1", "o2"],
+        firings.withColumn("at", F.struct("phase", "b1")), keys, ["at", "b2"], ["o1", "o2"],
         sums={"seq": F.lit(1).cast("bigint"), "running": F.col("delta")},
         totals={"panes": "seq"},
     )

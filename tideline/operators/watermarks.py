@@ -24,7 +24,10 @@ def window_end(ts_us: Column, size_s: int) -> Column:
 
 
 def slice_watermarks(df: DataFrame, disorder_s: int = 0) -> DataFrame:
-    """Per slice: watermark before and after it, its first event time and its last arrival."""
+    """Per slice: watermark before and after it, its first event time and its last arrival.
+
+    Computed once and written; marked for broadcast if its row count allows.
+    """
     spans = df.groupBy("slice").agg(
         F.max("ts_us").alias("max_ts_us"),
         F.min("ts_us").alias("min_ts_us"),
@@ -35,21 +38,18 @@ def slice_watermarks(df: DataFrame, disorder_s: int = 0) -> DataFrame:
     lag = disorder_s * US
     before = F.max("max_ts_us").over(seen.rowsBetween(Window.unboundedPreceding, -1)) - lag
     after = F.max("max_ts_us").over(seen.rowsBetween(Window.unboundedPreceding, 0)) - lag
-    return settle(
-        spans.select(
-            "slice",
-            "min_ts_us",
-            "last_arrival_us",
-            before.alias("wm_before_us"),
-            after.alias("wm_after_us"),
-        ),
-        "slices",
+    table = spans.select(
+        "slice",
+        "min_ts_us",
+        "last_arrival_us",
+        before.alias("wm_before_us"),
+        after.alias("wm_after_us"),
     )
+    return broadcast_if_small(settle(table, "slices"))
 
 
 def with_watermark(rows: DataFrame, slices: DataFrame) -> DataFrame:
-    marks = slices.select("slice", "wm_before_us", "wm_after_us")
-    return rows.join(broadcast_if_small(marks), "slice")
+    return rows.join(slices.select("slice", "wm_before_us", "wm_after_us"), "slice")
 
 
 def with_status(rows: DataFrame, lateness_s: int, end: str = "win_end_us") -> DataFrame:
@@ -98,7 +98,7 @@ def closed_windows(df: DataFrame, key: str, size_s: int, slices: DataFrame) -> D
         F.col("status").isin("EARLY", "ON_TIME")
     )
     counts = kept.groupBy(key, "win_end_us").agg(F.sum("rows").alias("n"))
-    return counts.join(broadcast_if_small(fire_slices(slices, size_s)), "win_end_us", "left")
+    return counts.join(fire_slices(slices, size_s), "win_end_us", "left")
 
 
 def firing_trail(closed: DataFrame) -> DataFrame:

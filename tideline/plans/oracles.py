@@ -77,7 +77,7 @@ def panes_sql(
     elif early == "all":
         pane = f"""{cells},
         fold AS (
-            SELECT event_type, e, slice, i, 0 AS p, c >= {n} AS fires, c AS held FROM cells WHERE i = 1
+            SELECT event_type, e, slice, i, 0::BIGINT AS p, c >= {n} AS fires, c AS held FROM cells WHERE i = 1
             UNION ALL
             SELECT k.event_type, k.e, k.slice, k.i, f.p + f.fires::INT,
                 k.c + CASE WHEN f.fires THEN 0 ELSE f.held END >= {n},
@@ -91,8 +91,8 @@ def panes_sql(
         # State after each slice: pane number, whether rows are being counted, rows counted so far.
         pane = f"""{cells}, {ranks},
         fold AS (
-            SELECT event_type, e, slice, i, 0 AS p, CASE WHEN c >= {n} THEN {n} ELSE c END AS cut,
-                (c >= {n})::INT + (c > {n})::INT AS fired,
+            SELECT event_type, e, slice, i, 0::BIGINT AS p, CASE WHEN c >= {n} THEN {n} ELSE c END AS cut,
+                ((c >= {n})::INT + (c > {n})::INT)::BIGINT AS fired,
                 NOT (c = {n}) AS counting, CASE WHEN c < {n} THEN c ELSE 0 END AS held
             FROM cells WHERE i = 1
             UNION ALL
@@ -116,7 +116,7 @@ def panes_sql(
     return f"""
     WITH {recursive} {status_cte(m, lateness)},
     {pane},
-    early_f AS (SELECT event_type, e, 0 AS phase, p1, p2, sum(v) AS d FROM pane GROUP BY event_type, e, p1, p2),
+    early_f AS (SELECT event_type, e, 0 AS phase, p1::BIGINT AS p1, p2::BIGINT AS p2, sum(v) AS d FROM pane GROUP BY event_type, e, p1, p2),
     on_time AS (
         SELECT s.event_type, s.e, 1 AS phase, 0 AS p1, 0 AS p2, s.d - coalesce(p.d, 0) AS d
         FROM (SELECT event_type, e, sum(v) AS d FROM st WHERE status IN ('EARLY', 'ON_TIME') GROUP BY event_type, e) s
