@@ -83,23 +83,40 @@ def combine_per_key(
             return frame
 
         for batch in batches:
-            for k, group in batch.groupby(key, sort=False, dropna=False)[value]:
+            codes, found = pd.factorize(batch[key], use_na_sentinel=False)
+            values = batch[value].to_numpy()[np.argsort(codes, kind="stable")]
+            stops = np.cumsum(np.bincount(codes, minlength=len(found)))
+            for k, stop, start in zip(found, stops, [0, *stops[:-1]]):
                 acc = accs[k] if k in accs else fn.create()
-                accs[k] = fn.add(acc, group.to_numpy())
+                accs[k] = fn.add(acc, values[start:stop])
             if len(accs) >= max_keys:
                 yield flush()
         if accs:
             yield flush()
 
-    def final(group: pd.DataFrame) -> pd.DataFrame:
-        acc = fn.merge([pickle.loads(a) for a in group["acc"]])
-        return pd.DataFrame({key: [group[key].iloc[0]], out: [fn.extract(acc)]})
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Partials of a key follow each other, so one accumulator is held at a time.
+        current, acc, started = None, None, False
+        for batch in batches:
+            keys, results = [], []
+            for k, packed in zip(batch[key], batch["acc"]):
+                same = started and (k == current or (pd.isna(k) and pd.isna(current)))
+                if started and not same:
+                    keys.append(current)
+                    results.append(fn.extract(acc))
+                part = pickle.loads(packed)
+                acc = fn.merge([acc, part]) if same else part
+                current, started = k, True
+            yield pd.DataFrame({key: keys, out: results})
+        if started:
+            yield pd.DataFrame({key: [current], out: [fn.extract(acc)]})
 
     return (
         df.select(key, value)
         .mapInPandas(partials, f"{key} {key_type}, acc binary")
-        .groupBy(key)
-        .applyInPandas(final, f"{key} {key_type}, {out} {out_type}")
+        .repartition(key)
+        .sortWithinPartitions(key)
+        .mapInPandas(final, f"{key} {key_type}, {out} {out_type}")
     )
 
 

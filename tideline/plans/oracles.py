@@ -358,3 +358,30 @@ ORACLES.update(
     }
 )
 ORACLES["combine_two_phase"] = ORACLES["combine_mean_builtin"] = ORACLES["combine_mean_custom"]
+
+STREAM_PANES = {"m": DAILY, "lateness": DAY, "columns": "event_type, e AS win_end_us, pane_index, timing, value"}
+ORACLES.update(
+    {
+        **dict.fromkeys(
+            ["stream_window_fixed", "restart_counts", "rescale_counts", "idempotent_sink_counts"], WINDOW_COUNTS
+        ),
+        "stream_window_sliding": sliding_sql("event_type"),
+        "stream_window_session": session_sql(GAP),
+        "stream_panes_accumulating": panes_sql("slice", **STREAM_PANES),
+        "stream_panes_discarding": panes_sql("slice", late="per_slice", accumulating=False, **STREAM_PANES),
+        "stream_panes_after_any": panes_sql("any", 7, **STREAM_PANES),
+        "stream_state_sessions": SESSION_SUMMARIES,
+        "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
+        "stream_rate_limit": f"""
+            WITH {arrival_cte()}
+            SELECT user_id, period, nth, event_id FROM (
+                SELECT *, ts_us // {DAY} AS period,
+                    row_number() OVER (PARTITION BY user_id, period ORDER BY arrival_us, event_id) AS nth FROM arr)
+            WHERE nth <= 2""",
+        "stream_join_with_timeout": ORACLES["join_with_timeout"],
+        "kafka_shape_counts": f"""
+            SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'unknown' ELSE 'user-' || user_id END AS user,
+                count(*) AS n, t - t % {DAY} AS win_start_us
+            FROM (SELECT *, epoch_us(ts) AS t FROM events) GROUP BY ALL""",
+    }
+)
