@@ -3,7 +3,7 @@ the pre-aggregation and bucketing of the Spark plans."""
 
 from __future__ import annotations
 
-from tideline.sources.arrivals import DAILY, SIX_HOURLY, ArrivalModel
+from tideline.sources.arrivals import SIX_HOURLY, TARDY, ArrivalModel
 
 S = 1_000_000
 DAY = 86_400 * S
@@ -25,7 +25,7 @@ def arrival_cte(m: ArrivalModel = SIX_HOURLY) -> str:
     arr AS (SELECT *, arrival_us // {m.slice_s * S} AS slice FROM timed)"""
 
 
-def status_cte(m: ArrivalModel = SIX_HOURLY, lateness: int = LATENESS) -> str:
+def status_cte(m: ArrivalModel = SIX_HOURLY, lateness: int = LATENESS, size: int = DAY) -> str:
     """``st``: every row with its window end ``e`` and status."""
     return f"""{arrival_cte(m)},
     maxima AS (SELECT slice, max(ts_us) AS top, max(arrival_us) AS last_arrival FROM arr GROUP BY slice),
@@ -36,7 +36,7 @@ def status_cte(m: ArrivalModel = SIX_HOURLY, lateness: int = LATENESS) -> str:
         FROM maxima),
     st AS (
         SELECT arr.event_type, arr.event_id, arr.slice, arr.arrival_us, arr.value::DECIMAL(18,2) AS v,
-            ts_us - ts_us % {DAY} + {DAY} AS e,
+            ts_us - ts_us % {size} + {size} AS e,
             CASE WHEN b >= e + {lateness} THEN 'DROPPED' WHEN b >= e THEN 'LATE'
                 WHEN a >= e THEN 'ON_TIME' ELSE 'EARLY' END AS status
         FROM arr JOIN wm USING (slice))"""
@@ -50,6 +50,7 @@ def panes_sql(
     once: bool = False,
     m: ArrivalModel = SIX_HOURLY,
     lateness: int = LATENESS,
+    size: int = DAY,
     columns: str = "event_type, e - {d} AS win_start_us, e AS win_end_us, pane_index, timing, is_first, is_last, value",
 ) -> str:
     cells = """
@@ -114,7 +115,7 @@ def panes_sql(
     value = "sum(d) OVER w" if accumulating else "d"
     recursive = "RECURSIVE" if early in ("all", "each") else ""
     return f"""
-    WITH {recursive} {status_cte(m, lateness)},
+    WITH {recursive} {status_cte(m, lateness, size)},
     {pane},
     early_f AS (SELECT event_type, e, 0 AS phase, p1::BIGINT AS p1, p2::BIGINT AS p2, sum(v) AS d FROM pane GROUP BY event_type, e, p1, p2),
     on_time AS (
@@ -131,7 +132,7 @@ def panes_sql(
             ({value})::DOUBLE AS value
         FROM firing
         WINDOW w AS (PARTITION BY event_type, e ORDER BY phase, p1, p2))
-    SELECT {columns.format(d=DAY)} FROM numbered"""
+    SELECT {columns.format(d=size)} FROM numbered"""
 
 
 WORDS = """
@@ -359,7 +360,7 @@ ORACLES.update(
 )
 ORACLES["combine_two_phase"] = ORACLES["combine_mean_builtin"] = ORACLES["combine_mean_custom"]
 
-STREAM_PANES = {"m": DAILY, "lateness": DAY, "columns": "event_type, e AS win_end_us, pane_index, timing, value"}
+STREAM_PANES = {"m": TARDY, "lateness": 3 * DAY, "size": 3 * DAY, "columns": "event_type, e AS win_end_us, pane_index, timing, value"}
 ORACLES.update(
     {
         **dict.fromkeys(

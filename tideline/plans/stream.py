@@ -11,7 +11,7 @@ from tideline.plans.batch import BURST, GAP_S, query
 from tideline.plans.tables import arriving
 from tideline.session import shared_dir
 from tideline.sources import kafka
-from tideline.sources.arrivals import COARSE, DAILY, ArrivalModel
+from tideline.sources.arrivals import COARSE, TARDY, ArrivalModel
 from tideline.streaming import panes as sp, sessions as ss, sinks, windows as sw
 from tideline.streaming.feed import SliceFeed, replay, start_to_files
 
@@ -61,8 +61,8 @@ def stream_window_session(spark: SparkSession, folder: str) -> DataFrame:
 
 def _panes(spark: SparkSession, folder: str, **how) -> DataFrame:
     fired = replay(
-        feed_of(spark, folder, DAILY),
-        lambda stream: sp.stream_panes(stream, "event_type", "value", DAY_S, DAY_S, **how),
+        feed_of(spark, folder, TARDY),
+        lambda stream: sp.stream_panes(stream, "event_type", "value", 3 * DAY_S, 3 * DAY_S, **how),
         "panes",
     )
     return no_marker(fired)
@@ -132,13 +132,13 @@ def stream_join_with_timeout(spark: SparkSession, folder: str) -> DataFrame:
 # --- recovery ---------------------------------------------------------------------------------
 
 
-def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int | None, int | None]) -> DataFrame:
+def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int, int]) -> DataFrame:
     """Stop after half of the slices and resume from the checkpoint."""
     feed = feed_of(spark, folder)
     base = shared_dir(spark, "restart")
     half = len(feed.slices) // 2
 
-    def start(state_partitions: int | None):
+    def start(state_partitions: int):
         out = sw.stream_count_windows(feed.stream(), "event_type", win.fixed(DAY_S), DELAY_S)
         return out.schema, start_to_files(out, f"{base}/out", f"{base}/checkpoint", state_partitions)
 
@@ -150,7 +150,7 @@ def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int | None,
 
 @query
 def restart_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _interrupted(spark, folder, (None, None))
+    return _interrupted(spark, folder, (2, 2))
 
 
 @query

@@ -35,11 +35,12 @@ class ArrivalModel:
         )
 
 
-# Slices of six hours for the batch queries, of one day for the streaming ones.
+# Slices of six hours for the batch queries.
 SIX_HOURLY = ArrivalModel()
-DAILY = ArrivalModel(slice_s=86_400, stuck_s=345_600, slow_s=108_000)
-# Three-day slices: fewer micro-batches where slice borders do not matter.
+# Slices of three days for the streaming ones, which make one micro-batch of each.
 COARSE = ArrivalModel(slice_s=259_200)
+# The same with delays long enough to miss three-day windows: late by 90 hours, lost by 12 days.
+TARDY = ArrivalModel(slice_s=259_200, stuck_s=1_036_800, slow_s=324_000)
 
 
 def with_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:

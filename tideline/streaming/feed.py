@@ -44,9 +44,15 @@ class SliceFeed:
     def _heartbeats(self, rows: DataFrame, horizon_s: int) -> list[tuple[int, int]]:
         """(slice, event time) of the markers: see the class."""
         # One short row per slice; this is control data and does not grow with the table.
-        tops = rows.groupBy("slice").agg(F.max(F.unix_micros("ts")).alias("top")).orderBy("slice").collect()
+        tops = (
+            rows.groupBy("slice")
+            .agg(F.max(F.unix_micros("ts")).alias("top"), F.count(F.lit(1)).alias("n"))
+            .orderBy("slice")
+            .collect()
+        )
+        self.rows = sum(n for _, _, n in tops)
         newest, beats = None, []
-        for slice_no, top in tops:
+        for slice_no, top, _ in tops:
             if newest is not None and top <= newest:
                 newest += 2_000
                 beats.append((slice_no, newest))
@@ -70,6 +76,11 @@ class SliceFeed:
         path = jvm.org.apache.hadoop.fs.Path
         return path(base).getFileSystem(conf), path
 
+    def state_partitions(self) -> int:
+        """All cores of the cluster, or fewer when a slice cannot keep them busy."""
+        per_slice = self.rows // max(1, len(self.slices))
+        return max(2, min(self.spark.sparkContext.defaultParallelism, per_slice // 50_000))
+
     def stream(self) -> DataFrame:
         return self.spark.readStream.schema(self.schema).parquet(self._live)
 
@@ -130,5 +141,5 @@ def replay(feed: SliceFeed, build: Callable[[DataFrame], DataFrame], purpose: st
     """Run ``build`` over all slices and return what it wrote."""
     base = shared_dir(feed.spark, purpose)
     out = build(feed.stream())
-    feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint"))
+    feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint", feed.state_partitions()))
     return feed.spark.read.schema(out.schema).parquet(f"{base}/out")
