@@ -49,8 +49,12 @@ def timed(spark, data, schema, seconds="s"):
     return df.withColumns({"ts_us": us, "ts": F.timestamp_micros(us)})
 
 
-def story(spark, data):
+# A Spark watermark cannot lie before 1970, so stories told to a stream happen later.
+LATER = 600_000_000
+
+
+def story(spark, data, base=0):
     """Arrival slices of a story as events of key ``k`` (and ``other`` for pure time)."""
-    shaped = [(sl, s, "k" if v is not None else "other", float(v or 0)) for sl, s, v in data]
+    shaped = [(sl, s + base, "k" if v is not None else "other", float(v or 0)) for sl, s, v in data]
     df = timed(spark, shaped, "slice bigint, s bigint, key string, value double")
     return df.withColumn("arrival_us", F.col("slice") * 1_000 * US + F.col("event_id"))

@@ -4,7 +4,7 @@ import time
 
 import pytest
 from conftest import rows
-from fixtures import LATE_STORY, TRIGGER_TRACE, US, WINDOW_EVENTS, story, timed
+from fixtures import LATE_STORY, LATER, TRIGGER_TRACE, US, WINDOW_EVENTS, story, timed
 from pyspark.sql import functions as F
 
 from tideline.operators import panes as pn
@@ -21,9 +21,9 @@ MARK = {"key": "__end__", "event_id": -1, "arrival_us": 0, "value": 0.0}
 
 
 def pane_trace(spark, data, size_s, lateness_s, **how):
-    feed = SliceFeed(story(spark, data).drop("ts_us", "s"), MARK, horizon_s=100_000)
+    feed = SliceFeed(story(spark, data, LATER).drop("ts_us", "s"), MARK, horizon_s=100_000)
     out = replay(feed, lambda s: sp.stream_panes(s, "key", "value", size_s, lateness_s, **how), "panes")
-    kept = out.where(f"key = 'k' and win_end_us = {size_s * US}").orderBy("pane_index").collect()
+    kept = out.where(f"key = 'k' and win_end_us = {(LATER + size_s) * US}").orderBy("pane_index").collect()
     return [(r["pane_index"], r["timing"], r["value"]) for r in kept]
 
 
@@ -47,13 +47,10 @@ def test_early_triggers_equal_their_batch_form(spark, early):
     assert pane_trace(spark, data, 1_000, 0, early=early) == want
 
 
-USERS = [(1, "A"), (2, "A"), (3, "B"), (4, "A"), (5, "A"), (11, "B")]
-
-
 def test_sessions_match_their_batch_form(spark):
     out_of_order = [(0, 1, "A"), (0, 3, "B"), (1, 4, "A"), (1, 2, "A"), (2, 5, "A"), (2, 11, "B")]
     df = timed(spark, [(sl, s, u, s * 1.5) for sl, s, u in out_of_order], "slice bigint, s bigint, key string, value double")
-    want = [("A", 4, 5 * US, "BURST"), ("B", 1, 3 * US, "ok"), ("B", 1, 11 * US, "ok")]
+    want = [("A", 4, 5 * US, "BURST"), ("B", 1, 11 * US, "ok"), ("B", 1, 3 * US, "ok")]
     twin = batch_sessions.session_summaries(df, "key", gap_s=5, burst=4, bucket_s=2)
     assert rows(twin, "key", "events", "ended_us", "flag") == want
     assert twin.where("key = 'A'").first()["sample_values"] == [1.5, 3.0, 6.0, 7.5]

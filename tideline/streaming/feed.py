@@ -29,6 +29,8 @@ class SliceFeed:
 
     def __init__(self, rows: DataFrame, marker: dict[str, Any], horizon_s: int):
         self.spark: SparkSession = rows.sparkSession
+        # A partition column comes last when files are read back; the stream's schema has to agree.
+        rows = rows.select(*[c for c in rows.columns if c != "slice"], "slice")
         base = shared_dir(self.spark, "feed")
         self._staged, self._live = f"{base}/staged", f"{base}/live"
         self.schema = rows.schema

@@ -175,6 +175,8 @@ def stream_panes(
 
     When no trigger looks at single rows, rows are added up in each task first, so a hot key sends the
     processor one row per task. Otherwise all rows of a key and window go through one task, in order.
+    Event times must be later than 1970 by more than ``size_s + lateness_s``, since a Spark watermark is
+    never negative.
     """
     rows = stream.select(
         key,
