@@ -250,7 +250,8 @@ def panes(
         elif not early.repeat:
             first = F.min_by(F.struct("phase", *place, "delta", "rows"), F.struct(*place)).alias("__1")
             fired = fired.groupBy(*keys).agg(first).select(*keys, "__1.*")
-        firings = fired
+        # Panes that took a scan of single rows are used three times below.
+        firings = fired if early.kind in ("slice", "all") else settle(fired, "early")
 
     # Whatever no early pane has taken goes into the on-time pane, even if that leaves nothing.
     held = cells.where(F.col("status").isin("EARLY", "ON_TIME")).select(*keys, "delta")
@@ -274,7 +275,7 @@ def panes(
             F.lit(1).cast("bigint").alias("rows"),
         )
     firings = firings.drop("rows").unionByName(late_firings.drop("rows"))
-    firings = firings.withColumn("delta", F.col("delta").cast("decimal(28,2)"))
+    firings = settle(firings.withColumn("delta", F.col("delta").cast("decimal(28,2)")), "firings")
 
     scanned = prefix_scan(
         firings.withColumn("at", F.struct("phase", "b1")), keys, ["at", "b2"], ["o1", "o2"],

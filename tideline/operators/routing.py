@@ -35,6 +35,25 @@ def dead_letters(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("_error").isNotNull()).drop("region_name")
 
 
+VALID, DEAD_LETTER = "valid", "dead_letter"
+
+
+def with_tag(validated: DataFrame) -> DataFrame:
+    """Name the output each row belongs to."""
+    return validated.withColumn("tag", F.when(F.col("_error").isNull(), VALID).otherwise(DEAD_LETTER))
+
+
+def write_tagged(tagged: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """All outputs in one pass over the rows, one folder per tag. Also fit for ``foreachBatch``."""
+    tagged.write.mode(mode).partitionBy("tag").parquet(path)
+    return path
+
+
+def read_tagged(spark: SparkSession, path: str, schema, tag: str) -> DataFrame:
+    """One output; only its folder is read."""
+    return spark.read.schema(schema).parquet(path).where(F.col("tag") == tag).drop("tag")
+
+
 def tier(value: Column, bounds: Sequence[float]) -> Column:
     """Index of the first bound above the value, ``len(bounds)`` if there is none."""
     index = F.lit(len(bounds))

@@ -21,7 +21,7 @@ def session_summaries(
     value: str = "value",
     row_id: str = "event_id",
     sample: int = 5,
-    bucket_s: int = 3_600,
+    bucket_s: int = 300,
 ) -> DataFrame:
     """Per session: row count, last event time, the first ``sample`` values, and ``BURST`` or ``ok``.
 
@@ -78,7 +78,7 @@ def join_with_timeout(
     key: str,
     timeout_s: int,
     row_id: str = "event_id",
-    bucket_s: int = 3_600,
+    bucket_s: int = 300,
 ) -> DataFrame:
     """Each left row with the first right row of its key in the ``timeout_s`` seconds from it on,
     or unmatched.

@@ -298,6 +298,21 @@ def dead_letter(spark: SparkSession, folder: str) -> DataFrame:
     return dead.select("id", "region", "amount", F.col("_error").alias("error"))
 
 
+@query
+def tagged_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid and dead rows written in one pass, read back output by output and counted."""
+    tagged = routing.with_tag(validated_orders(spark, folder).drop("ts"))
+    path = routing.write_tagged(tagged, shared_dir(spark, "tagged"))
+    outputs = [
+        routing.read_tagged(spark, path, tagged.schema, tag)
+        .groupBy("region")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(tag).alias("output"), "region", "n")
+        for tag in (routing.VALID, routing.DEAD_LETTER)
+    ]
+    return joins.union_all(*outputs)
+
+
 @query
 def partition_by_tier(spark: SparkSession, folder: str) -> DataFrame:
     valid = routing.valid_rows(validated_orders(spark, folder))

@@ -295,6 +295,9 @@ ORACLES.update(
             FROM orders""",
         "dead_letter": f"{VALIDATED} SELECT id, region, amount, error FROM checked WHERE error IS NOT NULL",
         "dead_letter_roundtrip": f"{VALIDATED} SELECT id, region, amount, error FROM checked WHERE error IS NOT NULL",
+        "tagged_outputs": f"""{VALIDATED}
+            SELECT CASE WHEN error IS NULL THEN 'valid' ELSE 'dead_letter' END AS output, region, count(*) AS n
+            FROM checked GROUP BY output, region""",
         "partition_by_tier": f"""{VALIDATED}
             SELECT CASE WHEN amount < 50000 THEN 0 WHEN amount < 250000 THEN 1 ELSE 2 END AS part,
                 r_name AS region_name, count(*) AS n, sum(amount::DECIMAL(18,2))::DOUBLE AS total

@@ -10,6 +10,8 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -32,9 +34,43 @@ def _rearm(handle: StatefulProcessorHandle, armed, due_us: int | None) -> None:
         armed.update((due_ms,))
 
 
+_PARTIAL = "start_us bigint, last_us bigint, events bigint, firsts string"
+
+
+def _partial_sessions(key: str, gap_us: int, sample: int):
+    """Fold the rows of each Arrow batch into partial sessions, before the shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if rows.empty:
+                continue
+            rows = rows.sort_values([key, "ts_us", "id"])
+            ts, keys = rows["ts_us"].to_numpy(), rows[key].to_numpy()
+            opens = np.r_[True, (keys[1:] != keys[:-1]) | (ts[1:] - ts[:-1] > gap_us)]
+            starts = np.flatnonzero(opens)
+            stops = np.r_[starts[1:], len(rows)]
+            ids, values = rows["id"].tolist(), rows["value"].tolist()
+            firsts = [
+                json.dumps([(int(ts[i]), ids[i], values[i]) for i in range(a, min(b, a + sample))])
+                for a, b in zip(starts, stops)
+            ]
+            yield pd.DataFrame(
+                {
+                    key: keys[starts],
+                    "ts": rows["ts"].to_numpy()[stops - 1],
+                    "start_us": ts[starts],
+                    "last_us": ts[stops - 1],
+                    "events": stops - starts,
+                    "firsts": firsts,
+                }
+            )
+
+    return run
+
+
 class SessionProcessor(StatefulProcessor):
-    """Sessions per key. Each open session is an accumulator of fixed size: bounds, row count and its
-    first values. They merge when rows close the gap between them."""
+    """Sessions per key, from partial sessions. Each open session is an accumulator of fixed size: bounds,
+    row count and its first values. They merge when rows close the gap between them."""
 
     def __init__(self, key: str, key_type: str, gap_s: int, burst: int, sample: int = 5):
         self._key = key
@@ -45,7 +81,7 @@ class SessionProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._open = handle.getListState("open", "start_us bigint, last_us bigint, events bigint, firsts string")
+        self._open = handle.getListState("open", _PARTIAL)
         self._armed = handle.getValueState("armed", "at_ms bigint")
 
     def _merge(self, sessions: list[list]) -> list[list]:
@@ -76,28 +112,23 @@ class SessionProcessor(StatefulProcessor):
             else:
                 still_open.append((start, last, events, json.dumps(firsts)))
         self._open.clear()
+        due_us = None
         if still_open:
             self._open.put(still_open)
-        _rearm(self._handle, self._armed, min((s[1] for s in still_open), default=None) and
-               min(s[1] for s in still_open) + self._gap)
+            due_us = min(s[1] for s in still_open) + self._gap
+        _rearm(self._handle, self._armed, due_us)
+
+    @staticmethod
+    def _read(stored) -> list[list]:
+        return [[a, b, n, [tuple(f) for f in json.loads(firsts)]] for a, b, n, firsts in stored]
 
     def _stored(self) -> list[list]:
-        if not self._open.exists():
-            return []
-        return [[a, b, n, [tuple(f) for f in json.loads(firsts)]] for a, b, n, firsts in self._open.get()]
+        return self._read(self._open.get()) if self._open.exists() else []
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        sessions = self._stored()
-        # Fold the rows in time order; a run of close rows becomes one accumulator as it is read.
-        for t, row_id, v in sorted((r["ts_us"], r["id"], r["value"]) for r in rows):
-            if sessions and sessions[-1][0] <= t and 0 <= t - sessions[-1][1] <= self._gap:
-                run = sessions[-1]
-                run[1] = t
-                run[2] += 1
-                run[3] = sorted([*run[3], (t, row_id, v)])[: self._sample]
-            else:
-                sessions.append([t, t, 1, [(t, row_id, v)]])
-        yield from self._close(key, self._merge(sessions), timerValues.getCurrentWatermarkInMs() * 1_000)
+        partial = self._read((r["start_us"], r["last_us"], r["events"], r["firsts"]) for r in rows)
+        sessions = self._merge(self._stored() + partial)
+        yield from self._close(key, sessions, timerValues.getCurrentWatermarkInMs() * 1_000)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         self._armed.clear()
@@ -113,9 +144,13 @@ def stream_sessions(
     rows = stream.select(
         key, "ts", F.unix_micros("ts").alias("ts_us"), F.col(row_id).alias("id"), F.col(value).alias("value")
     )
-    processor = SessionProcessor(key, stream.schema[key].dataType.simpleString(), gap_s, burst)
+    key_type = stream.schema[key].dataType.simpleString()
+    processor = SessionProcessor(key, key_type, gap_s, burst)
+    partial = rows.mapInPandas(
+        _partial_sessions(key, gap_s * US, sample=5), f"{key} {key_type}, ts timestamp, {_PARTIAL}"
+    )
     return (
-        rows.withWatermark("ts", f"{delay_s} seconds")
+        partial.withWatermark("ts", f"{delay_s} seconds")
         .groupBy(key)
         .transformWithState(processor, processor.output, "append", "eventTime")
     )
