@@ -31,26 +31,29 @@ def session_summaries(
         "__b", _time_bucket(bucket_s)
     )
     order = ["ts_us", "__id"]
-    previous = prefix_scan(rows, [key], ["__b"], order, peaks={"__prev": F.col("ts_us")})
+    numbered = prefix_scan(
+        rows, [key], ["__b"], order, sums={"__n": F.lit(1).cast("bigint")}, peaks={"__prev": F.col("ts_us")}
+    )
     opens = F.col("__prev").isNull() | (F.col("ts_us") - F.col("__prev") > gap_s * US)
-    started = prefix_scan(
-        previous.withColumn("__opens", F.when(opens, F.col("ts_us"))),
-        [key], ["__b"], order, peaks={"__since": F.col("__opens")},
-    ).withColumn("start_us", F.coalesce("__opens", "__since"))
-
-    ids = [key, "start_us"]
-    counts = started.groupBy(*ids).agg(F.count(F.lit(1)).alias("events"), F.max("ts_us").alias("ended_us"))
-    # At most `sample` rows per session survive, and most are cut before the shuffle.
-    ranked = Window.partitionBy(*ids).orderBy(*order)
-    firsts = (
-        started.withColumn("__rank", F.row_number().over(ranked))
-        .where(F.col("__rank") <= sample)
-        .groupBy(*ids)
-        .agg(F.sort_array(F.collect_list(F.struct("__rank", "__v"))).alias("__s"))
-        .select(*ids, F.col("__s.__v").alias("sample_values"))
+    marked = numbered.withColumns(
+        {"__open_us": F.when(opens, F.col("ts_us")), "__open_n": F.when(opens, F.col("__n"))}
     )
-    return counts.join(firsts, ids).withColumn(
-        "flag", F.when(F.col("events") >= burst, "BURST").otherwise("ok")
+    # Both openings only ever grow along a key, so the latest one is the highest one.
+    placed = prefix_scan(
+        marked, [key], ["__b"], order,
+        peaks={"__since_us": F.col("__open_us"), "__since_n": F.col("__open_n")},
+    ).withColumn("start_us", F.coalesce("__open_us", "__since_us"))
+    place = F.col("__n") - F.coalesce("__open_n", "__since_n")
+    # NULLs are not collected, so no list is longer than the sample.
+    first = F.when(place < sample, F.struct(place.alias("place"), F.col("__v").alias("v")))
+    return (
+        placed.groupBy(key, "start_us")
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            F.max("ts_us").alias("ended_us"),
+            F.sort_array(F.collect_list(first))["v"].alias("sample_values"),
+        )
+        .withColumn("flag", F.when(F.col("events") >= burst, "BURST").otherwise("ok"))
     )
 
 
