@@ -17,7 +17,7 @@ def spark():
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tideline-tests-"),

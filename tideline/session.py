@@ -51,12 +51,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring that ``df`` stays within both bounds.
 
-    Beyond the bound the frame is returned as it is and the join shuffles (AQE splits skewed keys).
+    Beyond them the frame is returned as it is and the join shuffles (AQE splits skewed keys). At most
+    ``max_rows + 1`` rows are measured.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    size = F.octet_length(F.to_json(F.struct("*")))
+    rows, width = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    if rows <= max_rows and (width or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -32,16 +32,30 @@ class SliceFeed:
         # A partition column comes last when files are read back; the stream's schema has to agree.
         rows = rows.select(*[c for c in rows.columns if c != "slice"], "slice")
         base = shared_dir(self.spark, "feed")
+        self.base, self.schema = base, rows.schema
         self._staged, self._live = f"{base}/staged", f"{base}/live"
-        self.schema = rows.schema
         beats = self._marker_rows(self._heartbeats(rows, horizon_s), marker)
         # Rebalancing splits a slice that holds much of the data over several tasks and files.
         marked = rows.unionByName(beats).hint("rebalance", F.col("slice"))
         marked.write.partitionBy("slice").parquet(self._staged)
         self._fs, self._path = self._file_system(base)
         self._fs.mkdirs(self._path(self._live))
+        self.slices = self.unreleased()
+
+    @classmethod
+    def reopen(cls, spark: SparkSession, base: str, schema) -> SliceFeed:
+        """The feed below ``base`` after the loss of the driver: what is released stays released."""
+        feed = cls.__new__(cls)
+        feed.spark, feed.base, feed.schema = spark, base, schema
+        feed._staged, feed._live = f"{base}/staged", f"{base}/live"
+        feed._fs, feed._path = feed._file_system(base)
+        feed.slices = feed.unreleased()
+        feed.rows = spark.read.schema(schema).parquet(feed._staged).count() if feed.slices else 0
+        return feed
+
+    def unreleased(self) -> list[int]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self._staged))]
-        self.slices = sorted(int(n.split("=")[1]) for n in names if n.startswith("slice="))
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("slice="))
 
     def _heartbeats(self, rows: DataFrame, horizon_s: int) -> list[tuple[int, int]]:
         """(slice, event time) of the markers: see the class."""

@@ -156,6 +156,17 @@ def stream_sessions(
     )
 
 
+def _first_rows(key: str, limit: int, period_us: int):
+    """Keep what can pass a limiter: per Arrow batch the first rows of each key and period."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            rows = rows.sort_values(["arrival_us", "id"])
+            yield rows.groupby([rows[key], rows["ts_us"] // period_us], sort=False, dropna=False).head(limit)
+
+    return run
+
+
 class RateLimitProcessor(StatefulProcessor):
     """Lets the first ``limit`` rows per period through, in arrival order; counts live until the period
     can get no more rows."""
@@ -196,7 +207,8 @@ def stream_rate_limit(
     rows = stream.select(key, "ts", F.unix_micros("ts").alias("ts_us"), "arrival_us", F.col(row_id).alias("id"))
     processor = RateLimitProcessor(key, stream.schema[key].dataType.simpleString(), limit, period_s)
     return (
-        rows.withWatermark("ts", f"{delay_s} seconds")
+        rows.mapInPandas(_first_rows(key, limit, period_s * US), rows.schema)
+        .withWatermark("ts", f"{delay_s} seconds")
         .groupBy(key)
         .transformWithState(processor, processor.output, "append", "eventTime")
         .withColumnRenamed("id", row_id)
