@@ -51,7 +51,9 @@ def test_sessions_match_their_batch_form(spark):
     out_of_order = [(0, 1, "A"), (0, 3, "B"), (1, 4, "A"), (1, 2, "A"), (2, 5, "A"), (2, 11, "B")]
     df = timed(spark, [(sl, s, u, s * 1.5) for sl, s, u in out_of_order], "slice bigint, s bigint, key string, value double")
     want = [("A", 4, 5 * US, "BURST"), ("B", 1, 11 * US, "ok"), ("B", 1, 3 * US, "ok")]
-    twin = batch_sessions.session_summaries(df, "key", gap_s=5, burst=4, bucket_s=2)
+    for hot_rows in (0, 3, 100):
+        twin = batch_sessions.session_summaries(df, "key", gap_s=5, burst=4, bucket_s=2, hot_rows=hot_rows)
+        assert rows(twin, "key", "events", "ended_us", "flag") == want
     assert rows(twin, "key", "events", "ended_us", "flag") == want
     assert twin.where("key = 'A'").first()["sample_values"] == [1.5, 3.0, 6.0, 7.5]
     feed = SliceFeed(df.drop("ts_us", "s"), MARK, horizon_s=1_000)
@@ -157,7 +159,9 @@ def test_timeout_join_brute_force(spark):
     events = [(i // 20, rng.randrange(300), rng.choice("ab"), rng.random() < 0.5) for i in range(120)]
     df = timed(spark, events, "slice bigint, s bigint, key string, click boolean")
     left, right = df.where("click"), df.where("not click")
-    got = batch_sessions.join_with_timeout(left, right, "key", timeout_s=15, bucket_s=20)
+    got = batch_sessions.join_with_timeout(left, right, "key", timeout_s=15, bucket_s=20, hot_rows=0)
+    whole = batch_sessions.join_with_timeout(left, right, "key", timeout_s=15)
+    assert rows(whole) == rows(got)
     want = []
     for i, (_, s, k, click) in enumerate(events):
         if click:

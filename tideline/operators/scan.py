@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.session import broadcast_if_small, settle
+
 
 def _join_offsets(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join, matching NULL keys, without doubling the key columns."""
@@ -102,3 +104,16 @@ def prefix_scan(
     joined = _join_offsets(local, offsets, [*keys, *buckets])
     joined = joined.withColumns({n: merge(n, F.col(f"__p_{n}"), F.col(f"__l_{n}")) for n in cells})
     return joined.drop(*[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
+
+
+def bucket_hot_keys(df: DataFrame, key: str, bucket: Column, out: str, hot_rows: int) -> DataFrame:
+    """Add the scan bucket ``out``: ``bucket`` for keys with more than ``hot_rows`` rows, 0 for all others.
+
+    Ordinary keys then cost one plain window and no bucket totals. The hot keys, at most one per
+    ``hot_rows`` rows of the table, are found by one count that combines before the shuffle.
+    """
+    counted = df.groupBy(F.col(key).alias("__hot")).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = settle(counted.where(F.col("__rows") > hot_rows), "hot")
+    joined = df.join(broadcast_if_small(hot), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    chosen = F.when(F.col("__rows").isNotNull(), bucket).otherwise(F.lit(0).cast("bigint"))
+    return joined.withColumn(out, chosen).drop("__hot", "__rows")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.numeric import US
-from tideline.operators.scan import prefix_scan
+from tideline.operators.scan import bucket_hot_keys, prefix_scan
 
 
 def _time_bucket(width_s: int):
@@ -22,14 +22,15 @@ def session_summaries(
     row_id: str = "event_id",
     sample: int = 5,
     bucket_s: int = 300,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per session: row count, last event time, the first ``sample`` values, and ``BURST`` or ``ok``.
 
-    A row within ``gap_s`` of the previous one (an exact gap included) belongs to its session.
+    A row within ``gap_s`` of the previous one (an exact gap included) belongs to its session. Keys with
+    more than ``hot_rows`` rows are scanned in buckets of ``bucket_s`` seconds.
     """
-    rows = df.select(key, "ts_us", F.col(row_id).alias("__id"), F.col(value).alias("__v")).withColumn(
-        "__b", _time_bucket(bucket_s)
-    )
+    rows = df.select(key, "ts_us", F.col(row_id).alias("__id"), F.col(value).alias("__v"))
+    rows = bucket_hot_keys(rows, key, _time_bucket(bucket_s), "__b", hot_rows)
     order = ["ts_us", "__id"]
     numbered = prefix_scan(
         rows, [key], ["__b"], order, sums={"__n": F.lit(1).cast("bigint")}, peaks={"__prev": F.col("ts_us")}
@@ -44,16 +45,19 @@ def session_summaries(
         peaks={"__since_us": F.col("__open_us"), "__since_n": F.col("__open_n")},
     ).withColumn("start_us", F.coalesce("__open_us", "__since_us"))
     place = F.col("__n") - F.coalesce("__open_n", "__since_n")
-    # NULLs are not collected, so no list is longer than the sample.
-    first = F.when(place < sample, F.struct(place.alias("place"), F.col("__v").alias("v")))
-    return (
-        placed.groupBy(key, "start_us")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.max("ts_us").alias("ended_us"),
-            F.sort_array(F.collect_list(first))["v"].alias("sample_values"),
-        )
-        .withColumn("flag", F.when(F.col("events") >= burst, "BURST").otherwise("ok"))
+    # One maximum per place instead of a collected list keeps the aggregate in generated code.
+    firsts = [F.max(F.when(place == i, F.col("__v"))).alias(f"__s{i}") for i in range(sample)]
+    grouped = placed.groupBy(key, "start_us").agg(
+        F.count(F.lit(1)).alias("events"), F.max("ts_us").alias("ended_us"), *firsts
+    )
+    taken = F.slice(F.array(*[f"__s{i}" for i in range(sample)]), F.lit(1), F.least(F.col("events"), F.lit(sample)).cast("int"))
+    return grouped.select(
+        key,
+        "start_us",
+        "events",
+        "ended_us",
+        taken.alias("sample_values"),
+        F.when(F.col("events") >= burst, "BURST").otherwise("ok").alias("flag"),
     )
 
 
@@ -82,6 +86,7 @@ def join_with_timeout(
     timeout_s: int,
     row_id: str = "event_id",
     bucket_s: int = 300,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Each left row with the first right row of its key in the ``timeout_s`` seconds from it on,
     or unmatched.
@@ -92,7 +97,9 @@ def join_with_timeout(
     sides = left.select(key, "ts_us", row_id, F.lit(1).alias("__side")).unionByName(
         right.select(key, "ts_us", row_id, F.lit(0).alias("__side"))
     )
-    back = sides.withColumns({"__back": -F.col("ts_us"), "__b": -_time_bucket(bucket_s)})
+    back = bucket_hot_keys(
+        sides.withColumn("__back", -F.col("ts_us")), key, -_time_bucket(bucket_s), "__b", hot_rows
+    )
     scanned = prefix_scan(
         back, [key], ["__b"], ["__back", "__side", row_id],
         peaks={"__next": F.when(F.col("__side") == 0, -F.col("ts_us"))},
