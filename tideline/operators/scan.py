@@ -17,16 +17,6 @@ from pyspark.sql import functions as F
 from tideline.session import broadcast_if_small, settle
 
 
-def _join_offsets(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join, matching NULL keys, without doubling the key columns."""
-    right = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
-    condition = None
-    for c in on:
-        term = left[c].eqNullSafe(right[f"__r_{c}"])
-        condition = term if condition is None else condition & term
-    return left.join(right, condition, "left").drop(*[f"__r_{c}" for c in on])
-
-
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,7 +36,10 @@ def prefix_scan(
     sums, peaks, totals = dict(sums or {}), dict(peaks or {}), dict(totals or {})
     keys, buckets = list(keys), list(buckets)
     cells = {**sums, **peaks}
-    df = df.withColumns({f"__c_{n}": e for n, e in cells.items()})
+    # One struct stands for the key. It is never NULL, also if its fields are, so offsets are joined by
+    # plain equality and the rows stay in the partitions the window has put them into.
+    key = F.struct(*keys) if keys else F.lit(0)
+    df = df.withColumns({"__k": key, **{f"__c_{n}": e for n, e in cells.items()}})
 
     def total(name: str) -> Column:
         fold = F.sum if name in sums else F.max
@@ -57,12 +50,12 @@ def prefix_scan(
             return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
         return F.greatest(a, b)
 
-    level = df.groupBy(*keys, *buckets).agg(*[total(n) for n in cells])
+    level = df.groupBy("__k", *buckets).agg(*[total(n) for n in cells])
     offsets = None
     for depth in range(len(buckets) - 1, -1, -1):
-        upper = [*keys, *buckets[:depth]]
+        upper = ["__k", *buckets[:depth]]
         ahead = (
-            Window.partitionBy(*(upper or [F.lit(0)]))
+            Window.partitionBy(*upper)
             .orderBy(buckets[depth])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
@@ -74,7 +67,7 @@ def prefix_scan(
                 for n in cells
             ],
             *[
-                F.sum(f"__c_{n}").over(Window.partitionBy(*(keys or [F.lit(0)]))).alias(out)
+                F.sum(f"__c_{n}").over(Window.partitionBy("__k")).alias(out)
                 for out, n in totals.items()
                 if depth == 0
             ],
@@ -82,7 +75,7 @@ def prefix_scan(
         if offsets is None:
             offsets = here
         else:
-            offsets = _join_offsets(offsets, here, [*upper, buckets[depth]])
+            offsets = offsets.join(here, [*upper, buckets[depth]])
         if depth:
             level = level.groupBy(*upper).agg(*[total(n) for n in cells])
     for name in cells:
@@ -90,9 +83,9 @@ def prefix_scan(
         for depth in range(1, len(buckets)):
             merged = merge(name, merged, F.col(f"__o{depth}_{name}"))
         offsets = offsets.withColumn(f"__p_{name}", merged)
-    offsets = offsets.select(*keys, *buckets, *totals, *[f"__p_{n}" for n in cells])
+    offsets = offsets.select("__k", *buckets, *totals, *[f"__p_{n}" for n in cells])
 
-    inside = Window.partitionBy(*keys, *buckets).orderBy(*order)
+    inside = Window.partitionBy("__k", *buckets).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumns(
@@ -101,9 +94,9 @@ def prefix_scan(
             for n in cells
         }
     )
-    joined = _join_offsets(local, offsets, [*keys, *buckets])
+    joined = local.join(offsets, ["__k", *buckets])
     joined = joined.withColumns({n: merge(n, F.col(f"__p_{n}"), F.col(f"__l_{n}")) for n in cells})
-    return joined.drop(*[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
+    return joined.drop("__k", *[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
 
 
 def bucket_hot_keys(df: DataFrame, key: str, bucket: Column, out: str, hot_rows: int) -> DataFrame:
