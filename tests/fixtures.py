@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 US = 1_000_000
 
 LINES = [
-    "Apache Beam is a unified model for defining both batch and streaming data parallel processing pipelines.",
-    "A pipeline written once can run on many runners such as the Direct runner the Flink runner and the Dataflow runner.",
-    "Batch is simply a bounded special case of streaming.",
-    "The streaming model answers four questions what results where in event time when in processing time and how results relate.",
-    "Windowing watermarks triggers and accumulation modes are the heart of the streaming model.",
-    "Beam equals Batch plus strEAM.",
+    "The tide comes in, and the tide goes out.",
+    "A slow tide doesn't wait; a fast tide DOESN'T either!",
+    "",
+    "42 boats - 7 out, 35 in.",
+    "Out of the harbour and into the bay",
+    "in\tthe bay: the-end",
 ]
 CITIES = [("Oslo", 7), ("Lisbon", 2), ("Reykjavik", 4), ("Bern", 9), ("Copenhagen", 1)]
 CLICKS = [("u1", "/home"), ("u1", "/pricing"), ("u2", "/home"), ("u3", "/docs/ch05"), ("u2", "/checkout"), ("u1", "/checkout")]
