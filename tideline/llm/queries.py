@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import urls
+from tideline.llm import decontam, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,34 @@ WITH cut AS (
   FROM url)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM fits
 """
+
+
+@query
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scanned = decontam.decontaminate(docs, table(spark, folder, "benchmark"), carry=["doc_id"])
+    digest = F.sha2(F.concat_ws(",", "items"), 256)
+    return scanned.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
+ORACLES["op6_decontaminate"] = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS gram, least(13, len(w)) AS size
+  FROM item, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(i) WHERE len(w) > 0
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), sizes AS (SELECT DISTINCT size FROM win),
+spot AS (
+  SELECT r, size, i, array_to_string(w[i : i + size - 1], ' ') AS gram
+  FROM doc, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)
+), found AS (SELECT spot.r, spot.i, spot.size, win.item_id FROM spot JOIN win ON spot.size = win.size AND spot.gram = win.gram),
+hit AS (SELECT r, count(DISTINCT k) AS n FROM found, unnest(range(i, i + size)) AS t(k) GROUP BY r),
+own AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(own.n, 0) AS n_items,
+  sha256(coalesce(own.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN own USING (r)
+"""
