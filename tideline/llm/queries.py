@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, lines, packing, urls
+from tideline.llm import decontam, lines, near, packing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +99,8 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs)
+
+
+@query
+def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
