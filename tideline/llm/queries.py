@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, lines, near, packing, urls
+from tideline.llm import decontam, langid, lines, near, packing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,21 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def remainder(modulus: int, id: str = "doc_id"):
+    """crc32 of the id as text, by a modulus; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % modulus
+
+
+def identified(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``docs`` with lang_pred and score, learnt from its labelled rows outside the held-out fold."""
+    pieces = langid.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    model = langid.learn(docs.where(remainder(4) != 2), pieces)
+    return langid.identify(docs, model, pieces, carry=carry)
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = identified(table(spark, folder, "documents"), ["doc_id"])
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
