@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, langid, lines, near, packing, urls
+from tideline.llm import decontam, langid, lines, near, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +122,12 @@ def identified(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     found = identified(table(spark, folder, "documents"), ["doc_id"])
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality").where(remainder(3) != 1)
+    network = quality.learn(docs.join(labels, "doc_id"))
+    scored = quality.score(docs, network, carry=["doc_id"])
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
