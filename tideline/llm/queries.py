@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, langid, lines, near, packing, quality, urls
+from tideline.llm import decontam, html, langid, lines, near, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,3 +131,8 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     network = quality.learn(docs.join(labels, "doc_id"))
     scored = quality.score(docs, network, carry=["doc_id"])
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"), carry=["page_id", "url"])
