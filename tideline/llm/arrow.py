@@ -16,16 +16,16 @@ ROWS = 512
 BYTES = 4 << 20
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds a bounded number of bytes."""
-    size = pc.binary_length(batch.column(column)).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
     start = total = 0
-    for i, n in enumerate(size):
+    for i, n in enumerate(lengths):
         total += n or 0
-        if i > start and (total > BYTES or i - start >= ROWS):
+        if i > start and (total > size or i - start >= rows):
             yield batch.slice(start, i - start)
             start, total = i, n or 0
-    if start < len(size):
+    if start < len(lengths):
         yield batch.slice(start)
 
 

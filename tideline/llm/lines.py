@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.arrow import slices, widen
+from tideline.llm.words import mix
 from tideline.session import settle
 
-#: Units end at a line end or at white space after a sentence end, so passages inside long lines are found too.
-BREAK = re.compile(r"(?<=[.!?])[ \t]+|\r?\n")
+def cut(text: str) -> list[str]:
+    """Units of a text: lines, cut after a sentence end too, so passages inside long lines are found.
 
-
-def cut(text: str) -> tuple[list[str], list[str]]:
-    """Units of a text and the separators between them; they interleave to the text."""
-    units, seps, at = [], [], 0
-    for m in BREAK.finditer(text):
-        units.append(text[at : m.start()])
-        seps.append(m[0])
-        at = m.end()
-    units.append(text[at:])
-    return units, seps
-
-
-def signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+    One character of the text, a line end or a space, stands between two units.
+    """
+    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
 
 
 def windows(words: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,27 +55,31 @@ def _measure(df: DataFrame, least: int) -> DataFrame:
     """Per document (``k``): hashes and words of its non-blank units, as packed numbers, and its fingerprints."""
 
     def make():
+        digest = xxhash.xxh64_intdigest
+
         def work(texts):
-            hashes, words, size = [], [], []
+            hashes: list[int] = []
+            words: list[int] = []
+            edge = [0]
             for text in texts:
-                before = len(hashes)
-                for unit in cut(text or "")[0]:
-                    parts = unit.lower().split()
-                    if parts:
-                        hashes.append(xxhash.xxh64_intdigest(" ".join(parts)))
-                        words.append(len(parts))
-                size.append(len(hashes) - before)
-            h, w, n = np.array(hashes, np.uint64), np.array(words, np.int64), np.array(size, np.int64)
-            edge = np.concatenate(([0], np.cumsum(n)))
-            last, _ = windows(w, np.repeat(edge[:-1], n), np.repeat(edge[1:], n), least)
+                units = [u for u in map(str.strip, cut((text or "").lower())) if u]
+                hashes += map(digest, units)
+                words += [u.count(" ") + 1 for u in units]
+                edge.append(len(hashes))
+            h, w, bounds = np.array(hashes, np.uint64), np.array(words, np.int64), np.array(edge)
+            n = np.diff(bounds)
+            last, _ = windows(w, np.repeat(bounds[:-1], n), np.repeat(bounds[1:], n), least)
             chosen = minima(h, last)
-            cut_at = np.searchsorted(chosen, edge)
-            prints = [chosen[a:b] - e for a, b, e in zip(cut_at[:-1], cut_at[1:], edge[:-1])]
-            spans = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+            cut_at = np.searchsorted(chosen, bounds).tolist()
+            value = h.view(np.int64)
+            spans = list(zip(edge[:-1], edge[1:]))
             return (
                 [h[a:b].astype("<u8").tobytes() for a, b in spans],
                 [w[a:b].astype("<u4").tobytes() for a, b in spans],
-                [[{"h": signed(int(h[a + u])), "u": int(u)} for u in p] for p, (a, _) in zip(prints, spans)],
+                [
+                    [{"h": x, "u": y} for x, y in zip(value[chosen[i:j]].tolist(), (chosen[i:j] - a).tolist())]
+                    for i, j, (a, _) in zip(cut_at[:-1], cut_at[1:], spans)
+                ],
             )
 
         return work
@@ -99,50 +94,57 @@ def _windows(marked: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "hashes"):
-                row, keys, first, last = [], [], [], []
-                for r, (raw, sizes, units) in enumerate(zip(*(part.column(c).to_pylist() for c in ("hashes", "words", "units")))):
-                    words = np.frombuffer(sizes, "<u4").astype(np.int64)
-                    n = len(words)
-                    to, since = windows(words, np.zeros(n, np.int64), np.full(n, n), least)
-                    marks = np.zeros(n + 1, np.int64)
-                    marks[np.array(units) + 1] = 1
-                    marks = np.cumsum(marks)
-                    unit = np.arange(n)
-                    pairs = np.concatenate((np.stack((unit, to), 1)[to >= 0], np.stack((since, unit), 1)[since >= 0]))
-                    pairs = np.unique(pairs[marks[pairs[:, 1] + 1] > marks[pairs[:, 0]]], axis=0).tolist()
-                    row.extend([r] * len(pairs))
-                    for a, b in pairs:
-                        keys.append(signed(xxhash.xxh64_intdigest(raw[8 * a : 8 * b + 8])))
-                        first.append(a)
-                        last.append(b)
-                at = pa.array(row, pa.int64())
-                columns = [part.column("id").take(at), part.column("k").take(at), pa.array(keys, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names=out.names)
+                hashes = np.frombuffer(b"".join(part.column("hashes").to_pylist()), "<u8").astype(np.uint64)
+                words = np.frombuffer(b"".join(part.column("words").to_pylist()), "<u4").astype(np.int64)
+                n = pc.binary_length(part.column("words")).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+                edge = np.concatenate(([0], np.cumsum(n)))
+                row = np.repeat(np.arange(len(n)), n)
+                to, since = windows(words, edge[:-1][row], edge[1:][row], least)
+                units = part.column("units")
+                of = np.repeat(edge[:-1], pc.list_value_length(units).to_numpy(zero_copy_only=False))
+                marks = np.zeros(len(words) + 1, np.int64)
+                marks[units.flatten().to_numpy(zero_copy_only=False) + of + 1] = 1
+                marks = np.cumsum(marks)
+                unit = np.arange(len(words))
+                pairs = np.concatenate((np.stack((unit, to), 1)[to >= 0], np.stack((since, unit), 1)[since >= 0]))
+                pairs = pairs[marks[pairs[:, 1] + 1] > marks[pairs[:, 0]]]
+                first, last = np.divmod(np.unique(pairs[:, 0] * (len(words) + 1) + pairs[:, 1]), len(words) + 1)
+                key = np.zeros(len(first), np.uint64)
+                for step in range(int((last - first).max()) + 1 if len(first) else 0):
+                    live = first + step <= last
+                    key[live] = mix(key[live] * np.uint64(0x9E3779B97F4A7C15) + hashes[first[live] + step])
+                mine = row[first] if len(first) else first
+                at = pa.array(mine)
+                base = edge[:-1][mine]
+                columns = [part.column("id").take(at), part.column("k").take(at), pa.array(key.view(np.int64))]
+                spans = [pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, *spans], names=out.names)
 
     return marked.select("id", "k", "hashes", "words", "units").mapInArrow(run, out)
 
 
-def keep(text: str, runs: list[tuple[int, int]]) -> str:
-    """``text`` without the units of ``runs`` (numbers of non-blank units, both ends included)."""
-    units, seps = cut(text)
-    gone = np.zeros(len(units) + 1, np.int64)
+def keep(text: str, runs: list[list[int]]) -> tuple[str, int]:
+    """``text`` without the units of ``runs`` (numbers of non-blank units, both ends included), and the words cut out."""
+    units = cut(text)
     solid = [i for i, u in enumerate(units) if u.strip()]
+    gone: set[int] = set()
     for a, b in runs:
-        gone[solid[a]] += 1
-        gone[solid[b] + 1] -= 1
-    left = [i for i, g in enumerate(np.cumsum(gone[:-1]).tolist()) if not g]
+        gone.update(range(solid[a], solid[b] + 1))
+    between = "".join(text[end - 1 : end] for end in accumulate(len(u) + 1 for u in units))
+    left = [i for i in range(len(units)) if i not in gone]
     out: list[str] = []
-    for a, b in zip(left, left[1:] + [None]):
-        out.append(units[a])
-        if b is not None:
-            out.append(seps[a] if b == a + 1 else "\n" if any("\n" in s for s in seps[a:b]) else " ")
-    return "".join(out).strip("\n")
+    for i, after in zip(left, left[1:]):
+        out.append(units[i])
+        out.append(between[i] if after == i + 1 else "\n" if "\n" in between[i:after] else " ")
+    out += [units[i] for i in left[-1:]]
+    return "".join(out).strip("\n"), sum(units[i].strip().count(" ") + 1 for i in gone if units[i].strip())
 
 
 def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least: int = 25) -> DataFrame:
     """``df`` with later repeated runs of lines cut out of ``text``, plus ``removed_words`` and ``removed_runs``.
 
-    A unit is a line, or a sentence of it; units compare by their lower-cased words. A run of
+    A unit is a line, or a sentence of it; units compare by their lower-cased text without white
+    space around, and a unit has one word more than it has spaces. A run of
     consecutive units (blank ones aside) of at least ``least`` words that stands earlier, in this
     document or one before it in the order of ``id``, is deleted; its first occurrence stays, and a
     run does not count as the repeat of one that it overlaps. Shorter repeats stay.
@@ -161,13 +163,17 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
     source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), key.alias("k"))
     docs = settle(_measure(source, least).where(F.size("prints") > 0), "line-hashes")
     prints = docs.select("id", "k", F.explode("prints").alias("p")).select("id", "k", "p.h", "p.u")
-    # Rows equal in id and text are one document, here and below.
-    one = F.min(F.struct("id", "k", "u"))
-    repeated = settle(prints.groupBy("h").agg(one.alias("a"), F.max(F.struct("id", "k", "u")).alias("b")).where(F.col("a") != F.col("b")).select("h"), "line-prints")
-    units = prints.join(repeated, "h", "left_semi").groupBy("k").agg(F.collect_set("u").alias("units"))
+    # Rows equal in id and text are one document. Plain numbers add up without sorting, so they find
+    # what is repeated; first occurrences are looked for among those rows alone.
+    def repeated(rows: DataFrame, key: str, place: str) -> DataFrame:
+        ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("k", place) for f in (F.min, F.max)]
+        twice = (F.col("min_k") != F.col("max_k")) | (F.col(f"min_{place}") != F.col(f"max_{place}"))
+        return settle(rows.groupBy(key).agg(*ends).where(twice).select(key), "line-repeated")
+
+    units = prints.join(repeated(prints, "h", "u"), "h", "left_semi").groupBy("k").agg(F.collect_set("u").alias("units"))
     near = settle(_windows(docs.dropDuplicates(["k"]).join(units, "k"), least), "line-windows")
-    place = F.struct("id", "k", "first", "last")
-    firsts = near.groupBy("w").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(F.col("a") != F.col("b"))
+    near = settle(near.join(repeated(near, "w", "first"), "w", "left_semi"), "line-windows")
+    firsts = near.groupBy("w").agg(F.min(F.struct("id", "k", "first", "last")).alias("a"))
     firsts = settle(firsts.select("w", F.col("a.k").alias("k1"), F.col("a.first").alias("first1"), F.col("a.last").alias("last1")), "line-firsts")
     later = near.join(firsts, "w").where((F.col("k") != F.col("k1")) | (F.col("first") > F.col("last1")))
     runs = later.groupBy("k").agg(F.collect_set(F.struct("first", "last")).alias("__runs"))
@@ -193,9 +199,9 @@ def _delete(joined: DataFrame, text: str) -> DataFrame:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:
                         spans.append([a, b])
-                new = keep(value, spans) if spans else value
+                new, words = keep(value, spans) if spans else (value, 0)
                 texts.append(new)
-                removed.append(len(value.split()) - len(new.split()) if spans else 0)
+                removed.append(words)
                 count.append(len(spans))
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != runs_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(count, pa.int64())], names=out.names)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,75 +20,65 @@ from tideline.llm.arrow import slices
 #: Latin words with punctuation behind: both parts are pre-tokens of their own for tokenizers that cut at letters.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 SENTENCE_ENDS = frozenset(".!?…。！？")
-#: Words kept in each generation of a worker's memory of encoded words.
-REMEMBERED = 200_000
+#: Distinct chunks and words that a worker remembers; it starts anew beyond them.
+REMEMBERED = 500_000
+#: Text encoded at a time: more of it repeats words more often.
+ROWS, BYTES = 4096, 8 << 20
 
 
 class WordEncoder:
-    """Encodes texts word by word, so that each distinct word is tokenised about once in a worker.
+    """Encodes texts chunk by chunk, so that a worker tokenises each distinct word about once.
 
     Right for tokenizers whose pre-tokens never cross white space and for which case does not matter
-    (``word_bpe_49k``); the tokenizer itself encodes every distinct word.
+    (``word_bpe_49k``); the tokenizer itself encodes every distinct word. The ids of all remembered
+    chunks lie in one pool, and a chunk is a slot of it.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
-
-    def _known(self, word: str) -> np.ndarray | None:
-        ids = self.young.get(word)
-        if ids is None:
-            ids = self.old.get(word)
-            if ids is not None:
-                self._keep(word, ids)
-        return ids
-
-    def _keep(self, word: str, ids: np.ndarray) -> None:
-        if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young[word] = ids
-
-    def _words(self, words: list[str]) -> list[np.ndarray]:
-        out = [self._known(w) for w in words]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        for i, e in zip(new, self.tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)):
-            out[i] = np.array(e.ids, dtype=np.uint32)
-            self._keep(words[i], out[i])
-        return out
-
-    def chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        """The ids of each chunk; a chunk has no ASCII white space inside."""
-        parts: list[tuple[str, str]] = []
-        for chunk in chunks:
-            m = PLAIN.fullmatch(chunk)
-            parts.append((m[1].lower(), m[2]) if m else (chunk, ""))
-        names = list(dict.fromkeys(w for pair in parts for w in pair if w))
-        ids = dict(zip(names, self._words(names)))
-        return [np.concatenate((ids[a], ids[b])) if b else ids[a] for a, b in parts]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.words: dict[str, list[int]] = {}
+        self.pool = np.zeros(0, np.uint32)
+        self.begin = self.length = np.zeros(0, np.int64)
+        self.stop = np.zeros(0, bool)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Give every chunk a slot; a chunk has no ASCII white space inside."""
+        parts = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(c)) else (c, "") for c in chunks]
+        new = [w for w in dict.fromkeys(w for pair in parts for w in pair) if w not in self.words]
+        self.words.update((w, e.ids) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)))
+        ids = [self.words[a] + self.words[b] if b else self.words[a] for a, b in parts]
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(length.sum()))
+        self.slot.update(zip(chunks, range(len(self.slot), len(self.slot) + len(chunks))))
+        self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
+        self.length = np.concatenate((self.length, length))
+        self.pool = np.concatenate((self.pool, flat))
+        self.stop = np.concatenate((self.stop, np.fromiter((c[-1:] in SENTENCE_ENDS for c in chunks), dtype=bool, count=len(chunks))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each text's number of ids, and after which ids (and of which text) a sentence ends."""
-        texts = pc.fill_null(texts, "")
-        lists = pc.ascii_split_whitespace(texts)
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
-        raw = coded.dictionary.to_pylist()
-        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = self.chunks(raw)
-        stop = np.fromiter((w[-1:] in SENTENCE_ENDS for w in raw), dtype=bool, count=len(raw))
-        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        begin = np.concatenate(([0], np.cumsum(length)))[:-1]
-        pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        size = length[number]
+        chunks = coded.dictionary.to_pylist()
+        if len(self.slot) > REMEMBERED or len(self.words) > REMEMBERED:
+            self._forget()
+        self._learn([c for c in chunks if c not in self.slot])
+        slots = np.fromiter(map(self.slot.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        number = slots[coded.indices.to_numpy(zero_copy_only=False)]
+        size = self.length[number]
         end = np.cumsum(size)
-        at = np.repeat(begin[number] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+        at = np.repeat(self.begin[number] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
         edge = np.concatenate(([0], np.cumsum(counts)))
         total = np.concatenate(([0], end))[edge]
-        sentence = np.flatnonzero(stop[number])
-        return pool[at], np.diff(total), end[sentence], np.searchsorted(edge, sentence, side="right") - 1
+        sentence = np.flatnonzero(self.stop[number])
+        return self.pool[at], np.diff(total), end[sentence], np.searchsorted(edge, sentence, side="right") - 1
 
 
 def cut(stops: np.ndarray, cost: np.ndarray, window: int) -> tuple[list[float], list[int]]:
@@ -256,7 +247,7 @@ def pack(
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ROWS, BYTES):
                 ids, sizes, stops, of = encoder.encode(part.column(1))
                 begin = 0
                 first = np.searchsorted(of, np.arange(len(sizes) + 1))
