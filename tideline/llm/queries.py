@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, html, langid, lines, near, packing, quality, topk, urls
+from tideline.llm import decontam, html, langid, lines, lm, near, packing, quality, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,3 +155,27 @@ WITH v AS (
 )
 SELECT * FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"))
+
+
+ORACLES["op10_lm_score"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), word AS (SELECT r, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v FROM doc, unnest(range(1, len(w) + 1)) AS t(i)),
+uni AS (SELECT w, count(*) AS c FROM word GROUP BY w),
+big AS (SELECT v, w, count(*) AS c FROM word WHERE v IS NOT NULL GROUP BY v, w),
+total AS (SELECT CAST(round_even(1e6 * ln(count(*)), 0) AS BIGINT) AS n FROM word),
+scored AS (
+  SELECT word.r, CASE
+    WHEN word.v IS NULL THEN CAST(round_even(1e6 * ln(cw.c), 0) AS BIGINT) - total.n
+    WHEN big.c >= 2 THEN CAST(round_even(1e6 * ln(big.c), 0) AS BIGINT) - CAST(round_even(1e6 * ln(cv.c), 0) AS BIGINT)
+    ELSE CAST(round_even(1e6 * ln(0.4), 0) AS BIGINT) + CAST(round_even(1e6 * ln(cw.c), 0) AS BIGINT) - total.n END AS s
+  FROM word JOIN uni cw ON cw.w = word.w LEFT JOIN uni cv ON cv.w = word.v LEFT JOIN big ON big.v = word.v AND big.w = word.w, total
+), summed AS (SELECT r, CAST(sum(s) AS BIGINT) AS s FROM scored GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(s, 0) AS log_score, CASE WHEN len(w) > 0 THEN s / 1000000.0::DOUBLE / len(w) END AS score
+FROM doc LEFT JOIN summed USING (r)
+"""

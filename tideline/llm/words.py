@@ -20,18 +20,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hashed(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all lower-cased words in a row, and where each text's words begin (one more entry at the end)."""
+def coded(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words, all words in a row as places among them, and where each text's words begin.
+
+    The last array has one more entry for the end.
+    """
     folded = [t.lower().encode().translate(SPACED) if t else b"" for t in texts]
     lists = pc.ascii_split_whitespace(pa.array(folded, pa.binary()).cast(pa.string()))
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    coded = lists.flatten().dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    words = lists.flatten().dictionary_encode()
+    distinct = words.dictionary.cast(pa.binary()).to_pylist()
     of = np.fromiter(map(xxhash.xxh64_intdigest, distinct), dtype=np.uint64, count=len(distinct))
-    index = coded.indices.to_numpy(zero_copy_only=False)
+    index = words.indices.to_numpy(zero_copy_only=False)
     solid = np.fromiter(map(bool, distinct), dtype=bool, count=len(distinct))[index]
     edge = np.concatenate(([0], np.cumsum(solid)))[np.concatenate(([0], np.cumsum(counts)))]
-    return of[index[solid]], edge
+    return of, index[solid], edge
+
+
+def hashed(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all lower-cased words in a row, and where each text's words begin (one more entry at the end)."""
+    of, index, edge = coded(texts)
+    return of[index], edge
 
 
 def grams(words: np.ndarray, width: int) -> np.ndarray:
