@@ -16,7 +16,7 @@ ROWS = 512
 BYTES = 4 << 20
 
 
-def slices(batch: pa.RecordBatch, column: str, rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds a bounded number of bytes."""
     lengths = pc.binary_length(batch.column(column)).to_pylist()
     start = total = 0
@@ -29,6 +29,13 @@ def slices(batch: pa.RecordBatch, column: str, rows: int = ROWS, size: int = BYT
         yield batch.slice(start)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def widen(
     df: DataFrame,
     column: str,
@@ -45,7 +52,7 @@ def widen(
     """
     new = StructType.fromDDL(added)
     names = [c for c in (carry if carry is not None else df.columns) if c not in new.names]
-    kept = df.select(*names, F.col(column).cast("string").alias("__input"))
+    kept = df.select(*names, F.col(column).cast("string").alias("input"))
     out = StructType([StructField(f.name, f.dataType, True) for f in kept.select(*names).schema.fields] + new.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,7 +61,7 @@ def widen(
         types = [to_arrow_type(f.dataType) for f in new.fields]
         work = make()
         for batch in batches:
-            for part in slices(batch, "__input"):
+            for part in slices(batch, len(names)):
                 texts = part.column(len(names))
                 made = work((texts.cast(pa.binary()) if as_bytes else texts).to_pylist())
                 arrays = [pa.array(v, t) for v, t in zip(made, types)]

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import widen
+from tideline.llm.arrow import free, widen
 from tideline.session import settle
 
 #: A-Z lower-cased; every other ASCII character that is no digit or letter becomes a space. Byte offsets stay.
@@ -136,22 +136,23 @@ def decontaminate(
     blocks = max(1, -(-size // block_bytes))
     added = ("n_words", "n_hit", "items", "spans", "contaminated")
     names = [c for c in (carry if carry is not None else df.columns) if c not in added]
+    hits = free(df, "hits")
     if blocks == 1:
         out = _scan(df, [tuple(r) for r in rows.collect()], width, text, names)
-        out = out.withColumnsRenamed({"__items": "items", "__hits": "hits"})
+        out = out.withColumnsRenamed({"__items": "items", "__hits": hits})
     else:
         of = settle(rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks))), "benchmark")
-        out = df.select(*dict.fromkeys([*names, text])).withColumns({"items": F.array().cast("array<string>"), "hits": F.array().cast(HITS)})
+        out = df.select(*dict.fromkeys([*names, text])).withColumns({"items": F.array().cast("array<string>"), hits: F.array().cast(HITS)})
         for b in range(blocks):
             part = [tuple(r) for r in of.filter(F.col("b") == b).select("i", "t").collect()]
-            both = {"items": F.array_sort(F.array_union("items", "__items")), "hits": _unite(F.concat("hits", "__hits"))}
+            both = {"items": F.array_sort(F.array_union("items", "__items")), hits: _unite(F.concat(hits, "__hits"))}
             out = settle(_scan(out, part, width, text, None).withColumns(both).drop("__items", "__hits"), "decontam")
-    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, run: n + run["last"] - run["first"])
+    n_hit = F.aggregate(hits, F.lit(0).cast("long"), lambda n, run: n + run["last"] - run["first"])
     out = out.select(
         *names,
         "n_words",
         n_hit.alias("n_hit"),
         "items",
-        F.transform("hits", lambda run: F.struct(run["start"].alias("start"), run["end"].alias("end"))).alias("spans"),
+        F.transform(hits, lambda run: F.struct(run["start"].alias("start"), run["end"].alias("end"))).alias("spans"),
     )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))

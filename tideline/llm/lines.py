@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import slices, widen
+from tideline.llm.arrow import free, slices, widen
 from tideline.llm.words import mix
 from tideline.session import settle
 
@@ -176,25 +176,26 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
     firsts = near.groupBy("w").agg(F.min(F.struct("id", "k", "first", "last")).alias("a"))
     firsts = settle(firsts.select("w", F.col("a.k").alias("k1"), F.col("a.first").alias("first1"), F.col("a.last").alias("last1")), "line-firsts")
     later = near.join(firsts, "w").where((F.col("k") != F.col("k1")) | (F.col("first") > F.col("last1")))
-    runs = later.groupBy("k").agg(F.collect_set(F.struct("first", "last")).alias("__runs"))
-    cutting = df.drop("removed_words", "removed_runs").withColumn("__k", key)
-    joined = cutting.join(runs.withColumnRenamed("k", "__k"), "__k", "left").drop("__k")
-    return _delete(joined, text).select(*[c for c in df.columns if c not in ("removed_words", "removed_runs")], "removed_words", "removed_runs")
+    kept = df.drop("removed_words", "removed_runs")
+    k, runs = free(df, "k"), free(df, "runs")
+    found = later.groupBy("k").agg(F.collect_set(F.struct("first", "last")).alias(runs)).withColumnRenamed("k", k)
+    joined = kept.withColumn(k, key).join(found, k, "left").drop(k)
+    return _delete(joined, text, runs).select(*kept.columns, "removed_words", "removed_runs")
 
 
-def _delete(joined: DataFrame, text: str) -> DataFrame:
+def _delete(joined: DataFrame, text: str, runs: str) -> DataFrame:
     names = joined.columns
-    out = joined.drop("__runs").withColumns({"removed_words": F.lit(0).cast("long"), "removed_runs": F.lit(0).cast("long")}).schema
+    out = joined.drop(runs).withColumns({"removed_words": F.lit(0).cast("long"), "removed_runs": F.lit(0).cast("long")}).schema
     for field in out.fields:
         field.nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, runs_at = names.index(text), names.index("__runs")
+        at, runs_at = names.index(text), names.index(runs)
         for batch in batches:
             texts, removed, count = [], [], []
-            for value, runs in zip(batch.column(at).to_pylist(), batch.column(runs_at).to_pylist()):
+            for value, cuts in zip(batch.column(at).to_pylist(), batch.column(runs_at).to_pylist()):
                 spans: list[list[int]] = []
-                for a, b in sorted((r["first"], r["last"]) for r in runs or ()):
+                for a, b in sorted((r["first"], r["last"]) for r in cuts or ()):
                     if spans and a <= spans[-1][1] + 1:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:

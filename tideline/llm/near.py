@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import slices, widen
+from tideline.llm.arrow import free, slices, widen
 from tideline.llm.words import grams, hashed, labelled, mix
 from tideline.session import settle
 
@@ -182,7 +182,7 @@ def _classes(df: DataFrame, id: str, text: str, width: int, threshold: float, ba
     key = F.xxhash64(F.col(id), F.col(text))
     source = df.select(F.col(id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), key.alias("k"))
     rows = settle(_sketches(source, width, bands, minima), "near-rows")
-    contents = settle(rows.groupBy("c").agg(F.min(F.struct("id", "k", "n", "bands")).alias("r")).select("c", "r.*"), "near-contents")
+    contents = settle(rows.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k", "n", "bands")).alias("r")).select("c", "r.*"), "near-contents")
     keyed = contents.select("c", "n", F.explode("bands").alias("key"))
     sizes = settle(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "near-buckets")
     shared = settle(keyed.join(sizes, "key"), "near-shared")
@@ -201,7 +201,7 @@ def _classes(df: DataFrame, id: str, text: str, width: int, threshold: float, ba
     if more.limit(1).count():
         labels = components(edges.union(more))
     placed = contents.select("c", "id", "k").join(labels, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-    first = placed.groupBy("comp").agg(F.min(F.struct("id", "k")).alias("f"))
+    first = placed.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k")).alias("f"))
     placed = settle(placed.select("c", "comp").join(first, "comp").select("c", "comp", "f.id", "f.k"), "near-classes")
     return rows, placed
 
@@ -215,8 +215,8 @@ def near_classes(
     their ``width``-word shingles, aligned in order (`aligned_similarity`), is at least
     ``threshold``; classes are the connected components of the links. Texts without words (null,
     empty, punctuation only) are copies of each other. Texts of fewer than ``width`` words are one
-    shingle. Repeated rows and ids share what their text gets. Null ids order first and a class of
-    null ids only has a null class_id. Other columns are left out.
+    shingle. Repeated rows and ids share what their text gets. Null ids order last, so only a class
+    of null ids has a null class_id. Other columns are left out.
 
     Candidates share the ordered ``minima`` smallest occurrence-labelled shingles of one of
     ``bands`` orders (at similarity 0.8 all but about 1 in 100,000 pairs do). In each bucket all
@@ -232,6 +232,7 @@ def keep_first(
 ) -> DataFrame:
     """``df`` with only the first document (smallest id, then a hash) of each class of `near_classes`."""
     _, placed = _classes(df, id, text, width, threshold, bands, minima)
-    stay = placed.select(F.col("k").alias("__k")).distinct()
-    keyed = df.withColumn("__k", F.xxhash64(F.col(id), F.col(text)))
-    return keyed.join(stay, "__k", "left_semi").dropDuplicates(["__k"]).drop("__k")
+    key = free(df, "k")
+    stay = placed.select(F.col("k").alias(key)).distinct()
+    keyed = df.withColumn(key, F.xxhash64(F.col(id), F.col(text)))
+    return keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(df.columns)
