@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +21,9 @@ from tideline.llm.arrow import slices
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 SENTENCE_ENDS = frozenset(".!?…。！？")
 #: Distinct chunks and words that a worker remembers; it starts anew beyond them.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Text encoded at a time: more of it repeats words more often.
-ROWS, BYTES = 4096, 8 << 20
+ROWS, BYTES = 2048, 4 << 20
 
 
 class WordEncoder:
@@ -42,7 +42,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.slot: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
         self.pool = np.zeros(0, np.uint32)
         self.begin = self.length = np.zeros(0, np.int64)
         self.stop = np.zeros(0, bool)
@@ -51,10 +51,13 @@ class WordEncoder:
         """Give every chunk a slot; a chunk has no ASCII white space inside."""
         parts = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(c)) else (c, "") for c in chunks]
         new = [w for w in dict.fromkeys(w for pair in parts for w in pair) if w not in self.words]
-        self.words.update((w, e.ids) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)))
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encoded))
         ids = [self.words[a] + self.words[b] if b else self.words[a] for a, b in parts]
-        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(length.sum()))
+        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
         self.slot.update(zip(chunks, range(len(self.slot), len(self.slot) + len(chunks))))
         self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
         self.length = np.concatenate((self.length, length))
