@@ -76,11 +76,57 @@ def test_group_values(spark):
 def test_group_values_splits_a_hot_key_and_loses_nothing(spark):
     df = spark.range(1_000).select("id", F.when(F.col("id") < 600, "hot").otherwise("cold").alias("k"))
     parts = agg.group_values(df, "k", "id", "id", chunk=50)
-    assert parts.agg(F.max(F.size("values"))).first()[0] <= 50
-    assert parts.where("k = 'hot'").count() == 12
+    assert parts.agg(F.max(F.size("values"))).first()[0] <= 100
+    assert {r[0] for r in parts.where("k = 'hot'").select("parts").collect()} == {12}
+    assert {r[0] for r in parts.where("k = 'hot'").select("total").collect()} == {600}
     assert rows(parts.select("k", F.explode("values"))) == rows(df, "k", "id")
 
 
 def test_union_keeps_duplicates(spark):
     df = spark.createDataFrame([("a",)], "x string")
     assert joins.union_all(df, df, df).count() == 3
+
+
+def test_group_values_splits_null_keys_and_ids_in_step_with_the_parts(spark):
+    df = spark.range(1_000).select((F.col("id") * 10).alias("id"), F.lit(None).cast("string").alias("k"), F.when(F.col("id") > 4, F.col("id")).alias("v"))
+    parts = agg.group_values(df, "k", "v", "id", chunk=100)
+    assert parts.count() == 10 and parts.agg(F.max(F.size("values"))).first()[0] <= 200
+    assert rows(parts.select(F.explode("values"))) == rows(df, "v")  # NULL values too
+
+
+def test_cogroup_of_a_split_key_never_looks_absent(spark):
+    clicks = spark.createDataFrame([(i, "u", f"/{i}") for i in range(6)] + [(9, None, "/n")], "id bigint, user string, path string")
+    profiles = spark.createDataFrame([(1, "u", "Ada"), (2, None, "Nil"), (3, "w", "Bo")], "id bigint, user string, name string")
+    out = joins.cogroup_lists({"c": (clicks, "user", "path", "id"), "p": (profiles, "user", "name", "id")}, "k", chunk=2).collect()
+    assert {(r.k, r.parts, r.c_total, r.p_total) for r in out} == {("u", 3, 6, 1), (None, 1, 1, 1), ("w", 1, 0, 1)}
+    assert sorted(v for r in out if r.k == "u" for v in r.c) == [f"/{i}" for i in range(6)]
+    assert [v for r in out if r.k == "u" for v in r.p] == ["Ada"]
+    (null,) = [r for r in out if r.k is None]
+    assert (null.c, null.p) == (["/n"], ["Nil"])
+
+
+def test_custom_accumulators_on_arrow(spark):
+    class Span:
+        """Smallest and largest of a struct's fields: a composite input and output."""
+
+        def create(self):
+            return None
+
+        def add(self, acc, values):
+            return self.merge([acc, *[(v["a"], v["b"]) for v in values.to_pylist() if v]])
+
+        def merge(self, accs):
+            some = [a for a in accs if a]
+            return (min(a for a, _ in some), max(b for _, b in some)) if some else None
+
+        def extract(self, acc):
+            return acc and {"low": acc[0], "high": acc[1]}
+
+    keys = [2**53, 2**53 + 1, None]
+    df = spark.createDataFrame([(k, {"a": i, "b": -i}) for i, k in enumerate(keys * 3)], "k bigint, s struct<a: bigint, b: bigint>")
+    got = agg.combine_per_key(df, "k", "s", Span(), "span", "struct<low: bigint, high: bigint>").collect()
+    assert {(r.k, r.span.low, r.span.high) for r in got} == {(2**53, 0, 0), (2**53 + 1, 1, -1), (None, 2, -2)}
+    one = spark.createDataFrame([("x", 1.0), ("x", None), ("x", 0.004)], "k string, v double").repartition(3)
+    (mean,) = rows(agg.combine_per_key(one, "k", "v", agg.MeanFn(), "m", "double"))
+    assert mean == ("x", 0.502) and rows(agg.mean_per_key(one, "v", "k")) == [mean]
+    assert rows(agg.sum_per_key(one, "v", "k")) == [("x", 1.004)]

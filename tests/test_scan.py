@@ -38,4 +38,10 @@ def test_scan_over_everything_has_no_window_over_all_rows(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     # Row-level windows are partitioned by both buckets; only bucket totals are scanned globally.
-    assert any("[b#" in w and "c#" in w for w in windows)
+    assert any("__b0#" in w and "__b1#" in w for w in windows)
+
+
+def test_rows_without_a_bucket_stay(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 1, 2), ("a", 2, 3), (None, None, 4), (None, 1, 5)], "k string, b long, id long")
+    got = prefix_scan(df, ["k"], ["b"], ["b", "id"], sums={"n": F.lit(1)}, peaks={"before": F.col("id")})
+    assert rows(got, "id", "n", "before") == [(1, 1, None), (2, 2, 1), (3, 3, 2), (4, 1, None), (5, 2, 4)]

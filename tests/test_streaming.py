@@ -118,7 +118,7 @@ def test_merged_inputs_wait_for_the_slower_one(spark):
     fast = timed(spark, [(0, 400, "a", 1.0)], "slice bigint, s bigint, key string, value double").drop("ts_us", "s")
     slow = timed(spark, [(0, 9, "b", 1.0)], "slice bigint, s bigint, key string, value double").drop("ts_us", "s")
     feeds = [SliceFeed(df, MARK, horizon_s=1_000) for df in (fast, slow)]
-    merged = sw.merge_inputs(spark, [(f.stream(), 0) for f in feeds])
+    merged = sw.merge_inputs([(f.stream(), 0) for f in feeds])
     base = shared_dir(spark, "merged")
     query = start_to_files(win.count_windows(merged, "key", win.fixed(10)), f"{base}/out", f"{base}/checkpoint", 2)
     try:

@@ -1,4 +1,4 @@
-"""Sums and means that do not depend on the order in which rows are added."""
+"""Units of time, sums and means."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ DAY_S = 86_400
 US = 1_000_000
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of amounts with two decimals; decimal inside, DOUBLE outside."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
+def total(value: Column) -> Column:
+    """Sum as DOUBLE. Nothing is rounded on the way; a decimal column makes it independent of the order of rows."""
+    return F.sum(value).cast("double")
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean as (sum, count) so both halves combine before the shuffle; NaN for no rows."""
+def mean(value: Column) -> Column:
+    """Mean as (sum, count) so both halves combine before the shuffle; NULLs are left out, NaN for no values."""
     n = F.count(value)
-    return F.when(n > 0, exact_sum(value) / n).otherwise(F.lit(float("nan")))
+    return F.when(n > 0, total(value) / n).otherwise(F.lit(float("nan")))

@@ -9,30 +9,25 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.aggregate import group_values
+from tideline.operators.aggregate import dealt_lists
 from tideline.session import broadcast_if_small
 
 
 def cogroup_lists(
     sides: Mapping[str, tuple[DataFrame, str, str, str]], key: str, chunk: int = 10_000
 ) -> DataFrame:
-    """Per key one list per tagged input; a side without rows gives an empty list.
+    """Per key one list per tagged input, next to ``<tag>_total``: 0 only if that input lacks the key.
 
-    ``sides[tag] = (frame, key column, value column, integer row id)``. Lists of a key with more than
-    ``chunk`` values continue in further rows (``part``), as in ``group_values``.
+    ``sides[tag] = (frame, key column, value column, unique row id)``. A key with more than ``chunk``
+    values on one side continues in further rows (``part`` of ``parts``), as in ``group_values``; a
+    list can then be empty in one part while its total is not 0. A NULL key is one group of all sides.
     """
-    lists = [
-        group_values(
-            df.select(F.col(k).alias(key), F.col(v).alias("__value"), F.col(row_id).alias("__id")),
-            key,
-            "__value",
-            "__id",
-            chunk,
-        ).select(key, "part", F.col("values").alias(tag))
+    tagged = [
+        df.select(F.col(k).alias(key), F.xxhash64(row_id).alias("__deal"), F.struct(F.col(v).alias("v")).alias(tag))
         for tag, (df, k, v, row_id) in sides.items()
     ]
-    joined = reduce(lambda a, b: a.join(b, [key, "part"], "full_outer"), lists)
-    return joined.select(key, "part", *[F.coalesce(tag, F.array()).alias(tag) for tag in sides])
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return dealt_lists(rows, key, list(sides), chunk)
 
 
 def left_enrich(

@@ -198,6 +198,11 @@ def _each_panes(rows: DataFrame, early: DataFrame, keys: list[str], n: int) -> D
     )
 
 
+def units(value: Column, digits: int) -> Column:
+    """Amounts as whole units of ``10 ** -digits``, which add up the same in any order."""
+    return F.coalesce(F.rint(value * F.lit(10.0**digits)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def panes(
     df: DataFrame,
     key: str,
@@ -210,17 +215,19 @@ def panes(
     accumulating: bool = True,
     row_id: str = "event_id",
     slices: DataFrame | None = None,
+    digits: int = 6,
 ) -> DataFrame:
     """All panes of all fixed windows: one row per firing, with its timing and place in the sequence.
 
     Needs ``ts_us``, ``arrival_us`` and ``slice``. Rows that arrive after the window end plus
-    ``lateness_s`` are in no pane. ``late`` is ``per_element`` or ``per_slice``.
+    ``lateness_s`` are in no pane. ``late`` is ``per_element`` or ``per_slice``. Values are added as
+    whole units of ``10 ** -digits``, as in the streaming form; a NULL value adds nothing.
     """
     if late not in ("per_element", "per_slice"):
         raise ValueError("late must be 'per_element' or 'per_slice'")
     slices = slice_watermarks(df, disorder_s) if slices is None else slices
     keys = [key, "win_end_us"]
-    amount = F.col(value).cast("decimal(18,2)")
+    amount = units(F.col(value), digits)
     rows = df.select(
         key,
         window_end(F.col("ts_us"), size_s).alias("win_end_us"),
@@ -275,7 +282,6 @@ def panes(
             F.lit(1).cast("bigint").alias("rows"),
         )
     firings = firings.drop("rows").unionByName(late_firings.drop("rows"))
-    firings = firings.withColumn("delta", F.col("delta").cast("decimal(28,2)"))
 
     scanned = prefix_scan(
         firings.withColumn("at", F.struct("phase", "b1")), keys, ["at", "b2"], ["o1", "o2"],
@@ -292,16 +298,16 @@ def panes(
         timing.alias("timing"),
         (F.col("seq") == 1).alias("is_first"),
         (F.col("seq") == F.col("panes")).alias("is_last"),
-        total.cast("double").alias("value"),
+        (total / F.lit(10.0**digits)).alias("value"),
     )
 
 
-def final_values(accumulating: DataFrame, discarding: DataFrame, key: str) -> DataFrame:
+def final_values(accumulating: DataFrame, discarding: DataFrame, key: str, digits: int = 6) -> DataFrame:
     """What an upsert sink keeps of accumulating panes, next to what an adding sink makes of
     discarding ones."""
     keys = [key, "win_end_us"]
     kept = accumulating.groupBy(*keys).agg(F.max_by("value", "pane_index").alias("upserted"))
-    added = discarding.groupBy(*keys).agg(F.sum(F.col("value").cast("decimal(28,2)")).cast("double").alias("added"))
+    added = discarding.groupBy(*keys).agg(F.round(F.sum("value"), digits).alias("added"))
     return kept.join(added, keys, "full_outer").withColumn("agree", F.col("upserted") == F.col("added"))
 
 

@@ -31,7 +31,7 @@ def prefix_scan(
     ``sums[name]``: sum of the expression up to and including the row.
     ``peaks[name]``: maximum of the expression over the rows before it (NULL if none).
     ``totals[name]``: the final value of the named running sum for the whole key.
-    ``buckets`` must be non-NULL, sort the same way as ``order`` and go from coarse to fine.
+    ``buckets`` sort the same way as ``order`` (NULL first, as a bucket of its own) and go from coarse to fine.
     """
     sums, peaks, totals = dict(sums or {}), dict(peaks or {}), dict(totals or {})
     keys, buckets = list(keys), list(buckets)
@@ -39,7 +39,10 @@ def prefix_scan(
     # One struct stands for the key. It is never NULL, also if its fields are, so offsets are joined by
     # plain equality and the rows stay in the partitions the window has put them into.
     key = F.struct(*keys) if keys else F.lit(0)
-    df = df.withColumns({"__k": key, **{f"__c_{n}": e for n, e in cells.items()}})
+    # The same holds for a bucket.
+    held = {f"__b{i}": F.struct(b) for i, b in enumerate(buckets)}
+    df = df.withColumns({"__k": key, **held, **{f"__c_{n}": e for n, e in cells.items()}})
+    buckets = list(held)
 
     def total(name: str) -> Column:
         fold = F.sum if name in sums else F.max
@@ -96,7 +99,7 @@ def prefix_scan(
     )
     joined = local.join(offsets, ["__k", *buckets])
     joined = joined.withColumns({n: merge(n, F.col(f"__p_{n}"), F.col(f"__l_{n}")) for n in cells})
-    return joined.drop("__k", *[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
+    return joined.drop("__k", *buckets, *[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
 
 
 def bucket_hot_keys(df: DataFrame, key: str, bucket: Column, out: str, hot_rows: int) -> DataFrame:

@@ -49,14 +49,16 @@ def slice_watermarks(df: DataFrame, disorder_s: int = 0) -> DataFrame:
 
 
 def with_watermark(rows: DataFrame, slices: DataFrame) -> DataFrame:
-    return rows.join(slices.select("slice", "wm_before_us", "wm_after_us"), "slice")
+    """Rows without an arrival slice stay, with no watermark."""
+    return rows.join(slices.select("slice", "wm_before_us", "wm_after_us"), "slice", "left")
 
 
 def with_status(rows: DataFrame, lateness_s: int, end: str = "win_end_us") -> DataFrame:
-    """EARLY, ON_TIME, LATE or DROPPED, from the watermark the row meets."""
+    """EARLY, ON_TIME, LATE or DROPPED, from the watermark the row meets; UNTIMED without a time or a slice."""
     end_us, before = F.col(end), F.col("wm_before_us")
     status = (
-        F.when(before >= end_us + lateness_s * US, "DROPPED")
+        F.when(end_us.isNull() | F.col("slice").isNull(), "UNTIMED")
+        .when(before >= end_us + lateness_s * US, "DROPPED")
         .when(before >= end_us, "LATE")
         .when(F.col("wm_after_us") >= end_us, "ON_TIME")
         .otherwise("EARLY")

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.numeric import US, exact_sum
+from tideline.functions import numeric
+from tideline.functions.numeric import US
 
 
 @dataclass(frozen=True)
@@ -71,4 +72,4 @@ def count_windows(df: DataFrame, key: str, windowing: Windowing) -> DataFrame:
 
 
 def sum_windows(df: DataFrame, key: str, windowing: Windowing, value: str) -> DataFrame:
-    return aggregate_windows(df, key, windowing, total=exact_sum(F.col(value)))
+    return aggregate_windows(df, key, windowing, total=numeric.total(F.col(value)))

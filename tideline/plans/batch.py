@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions.numeric import DAY_S, US, exact_sum
+from tideline.functions.numeric import DAY_S, US
 from tideline.functions.text import clock
 from tideline.operators import aggregate as agg
 from tideline.operators import elementwise as el
@@ -55,9 +55,10 @@ def create_inline(spark: SparkSession, folder: str) -> DataFrame:
         [("click", 1), ("view", 2), ("signup", 3), ("purchase", 5), ("error", 0)],
         "event_type string, weight bigint",
     )
-    weighted = events(spark, folder).join(broadcast_if_small(weights), "event_type")
+    # An event of a type that is not listed counts, with no weight.
+    weighted = events(spark, folder).join(broadcast_if_small(weights), "event_type", "left")
     return weighted.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight")
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("weight", F.lit(0))).alias("weight")
     )
 
 
@@ -153,9 +154,10 @@ def _as_text(values: str):
 
 @query
 def group_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of each customer in lists of about eight; what the lists hold, whatever part it lies in."""
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey")
     lists = agg.group_values(orders, "o_custkey", "o_orderkey", split_by="o_orderkey", chunk=8)
-    return lists.select("o_custkey", "part", "parts", _as_text("values").alias("order_keys"))
+    return lists.select("o_custkey", "parts", "total", F.explode("values").alias("o_orderkey"))
 
 
 @query
@@ -213,15 +215,17 @@ def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cogroup_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """Events and orders of the same customer side by side, twenty of each per row."""
+    """Events and orders of the same customer side by side, about twenty of each per row; what the lists hold."""
     sides = {
         "events": (table(spark, folder, "events"), "user_id", "event_id", "event_id"),
         "orders": (table(spark, folder, "orders"), "o_custkey", "o_orderkey", "o_orderkey"),
     }
     grouped = joins.cogroup_lists(sides, "customer", chunk=20)
-    return grouped.select(
-        "customer", "part", _as_text("events").alias("event_ids"), _as_text("orders").alias("order_keys")
-    )
+    both = [
+        grouped.select("customer", "parts", "events_total", "orders_total", F.lit(tag).alias("side"), F.explode(tag).alias("id"))
+        for tag in sides
+    ]
+    return joins.union_all(*both)
 
 
 @query
@@ -244,8 +248,9 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey")
+    # An order without a customer or nation stays, and fails the check for its region.
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").join(
+        broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     k, price = F.col("o_orderkey"), F.col("o_totalprice")
     return placed.select(
@@ -270,7 +275,7 @@ def validate_tagged(spark: SparkSession, folder: str) -> DataFrame:
 def side_singleton(spark: SparkSession, folder: str) -> DataFrame:
     """Orders above the mean price, the mean being one value computed on the side."""
     orders = table(spark, folder, "orders")
-    mean = joins.singleton(orders.agg((exact_sum(F.col("o_totalprice")) / F.count(F.lit(1))).alias("m")))
+    mean = joins.singleton(orders.agg(F.avg("o_totalprice").alias("m")))
     return orders.where(F.col("o_totalprice") > mean).select("o_orderkey", "o_totalprice")
 
 
@@ -318,7 +323,7 @@ def partition_by_tier(spark: SparkSession, folder: str) -> DataFrame:
     valid = routing.valid_rows(validated_orders(spark, folder))
     tiered = valid.withColumn("part", routing.tier(F.col("amount"), [50_000, 250_000]))
     return tiered.groupBy("part", "region_name").agg(
-        F.count(F.lit(1)).alias("n"), exact_sum(F.col("amount")).alias("total")
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("total")
     )
 
 
@@ -339,7 +344,7 @@ def window_fixed_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def window_fixed_sum(spark: SparkSession, folder: str) -> DataFrame:
-    return win.sum_windows(events(spark, folder), "event_type", win.fixed(DAY_S), "value")
+    return win.sum_windows(events(spark, folder), "event_type", win.fixed(DAY_S), "value").withColumn("total", F.round("total", 2))
 
 
 @query
@@ -518,5 +523,5 @@ def valid_revenue_by_region(spark: SparkSession, folder: str) -> DataFrame:
     """Validated orders, priced per region and thirty-day window."""
     valid = routing.valid_rows(validated_orders(spark, folder))
     return win.aggregate_windows(
-        valid, "region_name", win.fixed(30 * DAY_S), n=F.count(F.lit(1)), total=exact_sum(F.col("amount"))
+        valid, "region_name", win.fixed(30 * DAY_S), n=F.count(F.lit(1)), total=F.round(F.sum("amount"), 2)
     )

@@ -35,7 +35,7 @@ def status_cte(m: ArrivalModel = SIX_HOURLY, lateness: int = LATENESS, size: int
             max(top) OVER (ORDER BY slice) AS a
         FROM maxima),
     st AS (
-        SELECT arr.event_type, arr.event_id, arr.slice, arr.arrival_us, arr.value::DECIMAL(18,2) AS v,
+        SELECT arr.event_type, arr.event_id, arr.slice, arr.arrival_us, arr.value::DECIMAL(24,6) AS v,
             ts_us - ts_us % {size} + {size} AS e,
             CASE WHEN b >= e + {lateness} THEN 'DROPPED' WHEN b >= e THEN 'LATE'
                 WHEN a >= e THEN 'ON_TIME' ELSE 'EARLY' END AS status
@@ -147,10 +147,10 @@ VALIDATED = """
             CASE WHEN o_orderkey % 31 = 0 THEN NULL
                 WHEN o_orderkey % 41 = 0 THEN -o_totalprice ELSE o_totalprice END AS amount,
             o_orderdate
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey),
     checked AS (
         SELECT id, region, amount, o_orderdate, r_name,
-            CASE WHEN amount IS NULL THEN 'missing field (region/amount)'
+            CASE WHEN amount IS NULL OR region IS NULL THEN 'missing field (region/amount)'
                 WHEN r_name IS NULL THEN 'unknown region ''' || region || ''''
                 WHEN amount <= 0 THEN 'non-positive amount ' || amount::VARCHAR END AS error
         FROM raw LEFT JOIN region ON r_regionkey::VARCHAR = region)"""
@@ -213,8 +213,8 @@ ORACLES.update(
         "wordcount": WORDS,
         "text_sink_roundtrip": f"SELECT word || ': ' || n::VARCHAR AS line FROM ({WORDS})",
         "create_inline": """
-            SELECT user_id, count(*) AS n, sum(weight)::BIGINT AS weight
-            FROM events JOIN (VALUES ('click', 1), ('view', 2), ('signup', 3), ('purchase', 5), ('error', 0))
+            SELECT user_id, count(*) AS n, sum(coalesce(weight, 0))::BIGINT AS weight
+            FROM events LEFT JOIN (VALUES ('click', 1), ('view', 2), ('signup', 3), ('purchase', 5), ('error', 0))
                 w(event_type, weight) USING (event_type) GROUP BY user_id""",
         "csv_parse_roundtrip": f"""
             SELECT (epoch_us(ts) // {S})::DOUBLE AS event_time, event_type AS key, user_id, event_id AS id, value
@@ -245,15 +245,12 @@ ORACLES.update(
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS out_of_order
             FROM arr""",
         "group_values": """
-            WITH sized AS (
-                SELECT *, ceil(count(*) OVER (PARTITION BY o_custkey) / 8.0)::BIGINT AS parts FROM orders)
-            SELECT o_custkey, o_orderkey % parts AS part, parts,
-                array_to_string(list_sort(list(o_orderkey)), ',') AS order_keys
-            FROM sized GROUP BY o_custkey, part, parts""",
+            SELECT o_custkey, ceil(count(*) OVER k / 8.0)::BIGINT AS parts, count(*) OVER k AS total, o_orderkey
+            FROM orders WINDOW k AS (PARTITION BY o_custkey)""",
         "combine_mean_custom": """
-            SELECT l_suppkey, round(sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / count(*), 4) AS mean
+            SELECT l_suppkey, round(sum(l_extendedprice) / count(*), 4) AS mean
             FROM lineitem GROUP BY l_suppkey""",
-        "mean_global": "SELECT round(sum(value::DECIMAL(18,2))::DOUBLE / count(*), 4) AS mean FROM events",
+        "mean_global": "SELECT round(sum(value) / count(*), 4) AS mean FROM events",
         "count_all": "SELECT count(*) AS n FROM lineitem",
         "top_n_global": "SELECT event_id, value FROM events ORDER BY value DESC, event_id LIMIT 3",
         "top_n_per_key": """
@@ -264,16 +261,14 @@ ORACLES.update(
             SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey::VARCHAR || '-7'), o_orderkey LIMIT 100""",
         "distinct_pairs": "SELECT DISTINCT user_id, event_type FROM events",
         "cogroup_lists": """
-            WITH e AS (
-                SELECT user_id AS customer, event_id % ceil(c / 20.0)::BIGINT AS part,
-                    array_to_string(list_sort(list(event_id)), ',') AS event_ids
-                FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS c FROM events) GROUP BY ALL),
-            o AS (
-                SELECT o_custkey AS customer, o_orderkey % ceil(c / 20.0)::BIGINT AS part,
-                    array_to_string(list_sort(list(o_orderkey)), ',') AS order_keys
-                FROM (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS c FROM orders) GROUP BY ALL)
-            SELECT customer, part, coalesce(event_ids, '') AS event_ids, coalesce(order_keys, '') AS order_keys
-            FROM e FULL OUTER JOIN o USING (customer, part)""",
+            WITH rows AS (
+                SELECT user_id AS customer, 'events' AS side, event_id AS id FROM events
+                UNION ALL SELECT o_custkey, 'orders', o_orderkey FROM orders),
+            sized AS (
+                SELECT *, count(*) FILTER (side = 'events') OVER (PARTITION BY customer) AS events_total,
+                    count(*) FILTER (side = 'orders') OVER (PARTITION BY customer) AS orders_total FROM rows)
+            SELECT customer, greatest(ceil(greatest(events_total, orders_total) / 20.0), 1)::BIGINT AS parts,
+                events_total, orders_total, side, id FROM sized""",
         "left_enrich": """
             SELECT doc_id, lang, source, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic
             FROM documents LEFT JOIN (
@@ -287,7 +282,7 @@ ORACLES.update(
             SELECT id, region, amount, CASE WHEN error IS NULL THEN r_name END AS region_name, error FROM checked""",
         "side_singleton": """
             SELECT o_orderkey, o_totalprice FROM orders
-            WHERE o_totalprice > (SELECT sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(*) FROM orders)""",
+            WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)""",
         "side_list_semi": """
             SELECT o_custkey, o_orderkey,
                 CASE WHEN o_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')
@@ -300,14 +295,14 @@ ORACLES.update(
             FROM checked GROUP BY output, region""",
         "partition_by_tier": f"""{VALIDATED}
             SELECT CASE WHEN amount < 50000 THEN 0 WHEN amount < 250000 THEN 1 ELSE 2 END AS part,
-                r_name AS region_name, count(*) AS n, sum(amount::DECIMAL(18,2))::DOUBLE AS total
+                r_name AS region_name, count(*) AS n, round(sum(amount), 2) AS total
             FROM checked WHERE error IS NULL GROUP BY part, region_name""",
         "valid_revenue_by_region": f"""{VALIDATED}
             SELECT r_name AS region_name, t - t % {30 * DAY} AS win_start_us, t - t % {30 * DAY} + {30 * DAY} AS win_end_us,
-                count(*) AS n, sum(amount::DECIMAL(18,2))::DOUBLE AS total
+                count(*) AS n, round(sum(amount), 2) AS total
             FROM (SELECT *, epoch_us(o_orderdate) AS t FROM checked WHERE error IS NULL) GROUP BY ALL""",
         "window_fixed_count": WINDOW_COUNTS,
-        "window_fixed_sum": fixed_sql("event_type", "sum(value::DECIMAL(18,2))::DOUBLE AS total"),
+        "window_fixed_sum": fixed_sql("event_type", "round(sum(value), 2) AS total"),
         "window_sliding_count": sliding_sql("event_type"),
         "window_session_count": session_sql(GAP),
         "window_session_strict": session_sql(HOUR, strict=True, unit=S),

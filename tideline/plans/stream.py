@@ -18,7 +18,8 @@ from tideline.streaming.feed import SliceFeed, replay, start_to_files
 # No row is ever more than three days behind in the coarse model.
 DELAY_S = 4 * DAY_S
 HORIZON_S = 60 * DAY_S
-MARKER = {"event_type": "__end__", "user_id": -1, "event_id": -1, "arrival_us": 0, "value": 0.0}
+# No real row has these keys: a control character, and the smallest number of its type.
+MARKER = {"event_type": "\x00__end__", "user_id": -(1 << 63), "event_id": -1, "arrival_us": 0, "value": 0.0}
 COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "arrival_us", "slice")
 
 
@@ -31,7 +32,7 @@ def no_marker(rows: DataFrame) -> DataFrame:
     push the filter below the watermark, which the markers are there to move."""
     for column in ("event_type", "user_id"):
         if column in rows.columns:
-            rows = rows.where(F.col(column) != MARKER[column])
+            rows = rows.where(~F.col(column).eqNullSafe(F.lit(MARKER[column])))
     return rows
 
 
@@ -132,37 +133,36 @@ def stream_join_with_timeout(spark: SparkSession, folder: str) -> DataFrame:
 # --- recovery ---------------------------------------------------------------------------------
 
 
-def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int, int]) -> DataFrame:
-    """Stop after half of the slices and resume from the checkpoint."""
+def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int, int], resume: bool) -> DataFrame:
+    """Stop after half of the slices; resume from the checkpoint, or replay all into a new one."""
     feed = feed_of(spark, folder)
     base = shared_dir(spark, "restart")
     half = len(feed.slices) // 2
 
-    def start(state_partitions: int):
+    for run, (slices, state_partitions) in enumerate(((feed.slices[:half], partitions[0]), (feed.slices[half:], partitions[1]))):
+        place = base if resume else f"{base}/{run}"
         out = sw.stream_count_windows(feed.stream(), "event_type", win.fixed(DAY_S), DELAY_S)
-        return out.schema, start_to_files(out, f"{base}/out", f"{base}/checkpoint", state_partitions)
-
-    for slices, state_partitions in ((feed.slices[:half], partitions[0]), (feed.slices[half:], partitions[1])):
-        schema, running = start(state_partitions)
+        running = start_to_files(out, f"{place}/out", f"{place}/checkpoint", state_partitions)
         feed.play(running, slices)
-    return no_marker(spark.read.schema(schema).parquet(f"{base}/out"))
+    return no_marker(spark.read.schema(out.schema).parquet(f"{place}/out"))
 
 
 @query
 def restart_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _interrupted(spark, folder, (2, 2))
+    return _interrupted(spark, folder, (2, 2), resume=True)
 
 
 @query
 def rescale_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Resumed with another setting of state partitions; the checkpoint keeps the first one, and work
-    is spread by adding executors."""
-    return _interrupted(spark, folder, (3, 5))
+    """State partitions are fixed by a checkpoint, so another parallelism means a new checkpoint, into
+    which what has been released is replayed before the rest."""
+    return _interrupted(spark, folder, (3, 5), resume=False)
 
 
 @query
 def idempotent_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every micro-batch is written twice, as after a failure between write and commit."""
+    """Every micro-batch is written twice, as after a failure between write and commit, and counted as it
+    lies in the sink."""
     feed = feed_of(spark, folder)
     base = shared_dir(spark, "sink")
     write = sinks.batch_writer(f"{base}/out")
@@ -173,7 +173,7 @@ def idempotent_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = no_marker(feed.stream()).select("event_id", "ts", "event_type")
     feed.play(sinks.start_idempotent(rows, f"{base}/out", f"{base}/checkpoint", twice))
-    kept = sinks.read_batches(spark, f"{base}/out", rows.schema, "event_id")
+    kept = sinks.read_batches(spark, f"{base}/out", rows.schema)
     return win.count_windows(kept, "event_type", win.fixed(DAY_S))
 
 
@@ -205,4 +205,4 @@ def kafka_shape_counts(spark: SparkSession, folder: str) -> DataFrame:
         F.decode("value", "UTF-8").cast("bigint").alias("n"),
         "win_start_us",
     )
-    return received.where(F.col("user") != "__end__")
+    return received.where(~F.col("user").eqNullSafe(F.lit("__end__")))

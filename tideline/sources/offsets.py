@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -37,18 +39,25 @@ class _Chunk(InputPartition):
 
 
 class _OffsetReader(DataSourceReader):
+    """Chunks are grouped into at most ``MOST`` partitions, and each chunk is one record batch."""
+
+    MOST = 10_000
+    ROWS = 65_536
+
     def __init__(self, stop: int, chunk: int):
         self._stop = stop
         self._chunk = chunk
 
     def partitions(self):
-        return [
-            _Chunk(lo, min(lo + self._chunk, self._stop)) for lo in range(0, self._stop, self._chunk)
-        ]
+        chunks = -(-self._stop // self._chunk)
+        size = self._chunk * max(1, -(-chunks // self.MOST))
+        return [_Chunk(lo, min(lo + size, self._stop)) for lo in range(0, self._stop, size)]
 
     def read(self, partition):
-        for offset in range(partition.start, partition.stop):
-            yield (offset,)
+        step = min(self._chunk, self.ROWS)
+        for lo in range(partition.start, partition.stop, step):
+            offsets = np.arange(lo, min(lo + step, partition.stop), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(offsets)], names=["offset"])
 
 
 class OffsetRangeSource(DataSource):

@@ -30,7 +30,7 @@ class SliceFeed:
     def __init__(self, rows: DataFrame, marker: dict[str, Any], horizon_s: int):
         self.spark: SparkSession = rows.sparkSession
         # A partition column comes last when files are read back; the stream's schema has to agree.
-        rows = rows.select(*[c for c in rows.columns if c != "slice"], "slice")
+        rows = rows.where("slice IS NOT NULL").select(*[c for c in rows.columns if c != "slice"], "slice")
         base = shared_dir(self.spark, "feed")
         self.base, self.schema = base, rows.schema
         self._staged, self._live = f"{base}/staged", f"{base}/live"
@@ -69,11 +69,15 @@ class SliceFeed:
         self.rows = sum(n for _, _, n in tops)
         newest, beats = None, []
         for slice_no, top, _ in tops:
+            if top is None:  # a slice without any time moves nothing
+                continue
             if newest is not None and top <= newest:
                 newest += 2_000
                 beats.append((slice_no, newest))
             else:
                 newest = top
+        if newest is None:
+            return []
         return beats + [(tops[-1][0] + i, newest + (horizon_s + i) * US) for i in (1, 2)]
 
     def _marker_rows(self, at: list[tuple[int, int]], marker: dict[str, Any]) -> DataFrame:
@@ -116,10 +120,12 @@ class SliceFeed:
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, state_partitions: int | None = None):
+def stream_settings(spark: SparkSession, state_partitions: int | None = None, policy: str = "min"):
     """Settings a query takes over when it starts: RocksDB state, the number of state partitions (fixed
-    in the checkpoint by the first run), and no empty micro-batches between slices."""
+    in the checkpoint by the first run), which of several watermarks counts, and no empty micro-batches
+    between slices. What was set before is put back."""
     wanted = {
+        "spark.sql.streaming.multipleWatermarkPolicy": policy,
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
@@ -140,10 +146,10 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None):
 
 
 def start_to_files(
-    out: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+    out: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, policy: str = "min"
 ) -> StreamingQuery:
     """Append to parquet files with the sink's own commit log: each result is written exactly once."""
-    with stream_settings(out.sparkSession, state_partitions):
+    with stream_settings(out.sparkSession, state_partitions, policy):
         return (
             out.writeStream.outputMode("append")
             .format("parquet")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions.numeric import US
-from tideline.operators.panes import Early
+from tideline.operators.panes import Early, units
 from tideline.operators.watermarks import window_end
 
 _STATE = "total bigint, held bigint, held_n bigint, next_index bigint, fired boolean, counting boolean, early_panes bigint, wm bigint"
@@ -26,7 +26,7 @@ _ROW = "arrival_us bigint, id bigint, amount bigint"
 
 class PaneProcessor(StatefulProcessor):
     """State: what is in the window so far (``window``) and the rows of the last micro-batch
-    (``waiting``). Amounts are whole hundredths."""
+    (``waiting``). Amounts are whole units (``units``)."""
 
     def __init__(
         self, key: str, key_type: str, size_s: int, lateness_s: int, early: Early | None, late: str, accumulating: bool
@@ -170,6 +170,7 @@ def stream_panes(
     late: str = "per_element",
     accumulating: bool = True,
     row_id: str = "event_id",
+    digits: int = 6,
 ) -> DataFrame:
     """Panes of a stream of arrival slices; columns as in the batch form but for ``is_first/is_last``.
 
@@ -184,7 +185,7 @@ def stream_panes(
         "ts",
         "arrival_us",
         F.col(row_id).cast("bigint").alias("id"),
-        (F.col(value).cast("decimal(18,2)") * 100).cast("bigint").alias("amount"),
+        units(F.col(value), digits).alias("amount"),
     )
     if late == "per_slice" and (early is None or early.kind == "slice"):
         rows = rows.mapInArrow(_combine_rows, rows.schema)
@@ -197,5 +198,5 @@ def stream_panes(
         .transformWithState(processor, processor.output, "append", "eventTime")
     )
     return fired.select(
-        key, "win_end_us", "pane_index", "timing", (F.col("amount") / F.lit(100.0)).alias("value")
+        key, "win_end_us", "pane_index", "timing", (F.col("amount") / F.lit(10.0**digits)).alias("value")
     )

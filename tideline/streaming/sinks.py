@@ -30,6 +30,7 @@ def start_idempotent(
         )
 
 
-def read_batches(spark: SparkSession, path: str, schema, row_id: str) -> DataFrame:
-    """Everything written, once per row id."""
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*").dropDuplicates([row_id])
+def read_batches(spark: SparkSession, path: str, schema, row_id: str | None = None) -> DataFrame:
+    """Everything written; with ``row_id`` once per id, for a source that repeats rows itself."""
+    rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
+    return rows.dropDuplicates([row_id]) if row_id else rows

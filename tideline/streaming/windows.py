@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tideline.operators.windows import Windowing, count_windows
 
@@ -20,11 +20,11 @@ def stream_distinct(stream: DataFrame, row_id: str, delay_s: int) -> DataFrame:
     return stream.withWatermark("ts", f"{delay_s} seconds").dropDuplicatesWithinWatermark([row_id])
 
 
-def merge_inputs(spark: SparkSession, inputs: list[tuple[DataFrame, int]], policy: str = "min") -> DataFrame:
+def merge_inputs(inputs: list[tuple[DataFrame, int]]) -> DataFrame:
     """Union of streams that each have their own watermark delay in seconds.
 
-    ``min`` waits for the slowest input, also while it is silent; an idle input must then send
-    heartbeat rows. ``max`` follows the fastest and may drop rows of the slower ones.
+    The policy is chosen when the query starts (``stream_settings``): ``min`` waits for the slowest
+    input, also while it is silent; an idle input must then send heartbeat rows. ``max`` follows the
+    fastest and may drop rows of the slower ones.
     """
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
     return reduce(DataFrame.unionByName, [df.withWatermark("ts", f"{d} seconds") for df, d in inputs])
