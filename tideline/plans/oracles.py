@@ -369,6 +369,10 @@ ORACLES.update(
         "stream_panes_accumulating": panes_sql("slice", **STREAM_PANES),
         "stream_panes_discarding": panes_sql("slice", late="per_slice", accumulating=False, **STREAM_PANES),
         "stream_panes_after_any": panes_sql("any", 7, **STREAM_PANES),
+        "stream_panes_early_count": panes_sql("count", 10, **STREAM_PANES),
+        "stream_panes_after_all": panes_sql("all", 25, **STREAM_PANES),
+        "stream_panes_after_each": panes_sql("each", 20, **STREAM_PANES),
+        "stream_panes_once": panes_sql("count", 5, once=True, **STREAM_PANES),
         "stream_state_sessions": SESSION_SUMMARIES,
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
         "stream_rate_limit": f"""

@@ -84,6 +84,26 @@ def stream_panes_after_any(spark: SparkSession, folder: str) -> DataFrame:
     return _panes(spark, folder, early=pn.any_of(7))
 
 
+@query
+def stream_panes_early_count(spark: SparkSession, folder: str) -> DataFrame:
+    return _panes(spark, folder, early=pn.after_count(10))
+
+
+@query
+def stream_panes_after_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _panes(spark, folder, early=pn.all_of(25))
+
+
+@query
+def stream_panes_after_each(spark: SparkSession, folder: str) -> DataFrame:
+    return _panes(spark, folder, early=pn.each_of(20))
+
+
+@query
+def stream_panes_once(spark: SparkSession, folder: str) -> DataFrame:
+    return _panes(spark, folder, early=pn.once(pn.after_count(5)))
+
+
 @query
 def stream_state_sessions(spark: SparkSession, folder: str) -> DataFrame:
     found = replay(
