@@ -209,7 +209,7 @@ def stream_rate_limit(
     return (
         rows.mapInPandas(_first_rows(key, limit, period_s * US), rows.schema)
         .withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key)
+        .groupBy(key, "bucket")
         .transformWithState(processor, processor.output, "append", "eventTime")
         .withColumnRenamed("id", row_id)
     )
@@ -280,14 +280,20 @@ class TimeoutJoinProcessor(StatefulProcessor):
 def stream_join_with_timeout(
     stream: DataFrame, key: str, is_left, timeout_s: int, delay_s: int, row_id: str = "event_id"
 ) -> DataFrame:
-    """``stream`` holds both sides; ``is_left`` is a boolean column telling them apart."""
+    """``stream`` holds both sides; ``is_left`` is a boolean column telling them apart.
+
+    A key is spread over buckets of ``timeout_s``: a left row lies in its own, a right row goes to its
+    own and the one before, which hold all left rows it can match. State of a bucket ends with it.
+    """
+    bucket = F.floor(F.unix_micros("ts") / (timeout_s * US)).cast("bigint")
     rows = stream.select(
-        key, "ts", F.unix_micros("ts").alias("ts_us"), F.col(row_id).alias("id"), is_left.alias("is_left")
+        key, "ts", F.unix_micros("ts").alias("ts_us"), F.col(row_id).alias("id"), is_left.alias("is_left"),
+        F.explode(F.when(is_left, F.array(bucket)).otherwise(F.array(bucket - 1, bucket))).alias("bucket"),
     )
     processor = TimeoutJoinProcessor(key, stream.schema[key].dataType.simpleString(), timeout_s)
     return (
         rows.withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key)
+        .groupBy(key, "bucket")
         .transformWithState(processor, processor.output, "append", "eventTime")
         .withColumnRenamed("id", row_id)
     )
