@@ -16,6 +16,11 @@ ROWS = 512
 BYTES = 4 << 20
 
 
+def values(array: pa.Array) -> list:
+    """Texts or bytes as Python objects, several times as fast as ``to_pylist``."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices(batch: pa.RecordBatch, column: str | int, rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds a bounded number of bytes."""
     lengths = pc.binary_length(batch.column(column)).to_pylist()
@@ -63,8 +68,10 @@ def widen(
         for batch in batches:
             for part in slices(batch, len(names)):
                 texts = part.column(len(names))
-                made = work((texts.cast(pa.binary()) if as_bytes else texts).to_pylist())
+                made = work(values(texts.cast(pa.binary()) if as_bytes else texts))
                 arrays = [pa.array(v, t) for v, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *arrays], names=out.names)
+        # The worker lives on for other tasks; what this one has freed goes back to the machine.
+        pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, out)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -15,69 +14,103 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tideline.llm.arrow import slices
+from tideline.llm.arrow import slices, values
 
 #: Latin words with punctuation behind: both parts are pre-tokens of their own for tokenizers that cut at letters.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 SENTENCE_ENDS = frozenset(".!?…。！？")
-#: Distinct chunks and words that a worker remembers; it starts anew beyond them.
-REMEMBERED = 300_000
+#: Distinct chunks and words that a task remembers; it starts anew beyond them.
+CHUNKS, WORDS = 300_000, 400_000
 #: Text encoded at a time: more of it repeats words more often.
 ROWS, BYTES = 2048, 4 << 20
 
 
 class WordEncoder:
-    """Encodes texts chunk by chunk, so that a worker tokenises each distinct word about once.
+    """Encodes texts chunk by chunk, so that a task tokenises each distinct word about once.
 
-    Right for tokenizers whose pre-tokens never cross white space and for which case does not matter
-    (``word_bpe_49k``); the tokenizer itself encodes every distinct word. The ids of all remembered
-    chunks lie in one pool, and a chunk is a slot of it.
+    A chunk (what stands between white space) is one or two words: letters and the punctuation behind
+    them, or the whole chunk if it is anything else. Right for tokenizers whose pre-tokens never cross
+    white space or go from letters to punctuation, and for which case does not matter
+    (``word_bpe_49k``). The tokenizer itself encodes every distinct word; the ids of all remembered
+    words lie in one pool, in which a word is a slot.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        #: Which ids close a pre-token.
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self._forget_words()
 
-    def _forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
+    def _forget_words(self) -> None:
+        self.word = {"": 0}
         self.pool = np.zeros(0, np.uint32)
-        self.begin = self.length = np.zeros(0, np.int64)
+        self.begin = self.length = np.zeros(1, np.int64)
+        self._forget_chunks()
+
+    def _forget_chunks(self) -> None:
+        self.chunk: dict[str, int] = {}
+        self.parts = np.zeros((0, 2), np.int64)  # slots of the words of a chunk
         self.stop = np.zeros(0, bool)
 
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(i) for i in ids], np.int64)
+
+    def _in_rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words that are one pre-token each, encoded many at a time."""
+        rows = [" ".join(words[i : i + 1_000]) for i in range(0, len(words), 1_000)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(self.tokenizer.encode(r, add_special_tokens=False).ids, np.uint32) for r in rows]])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        return ids, np.diff(ends, prepend=0)
+
     def _learn(self, chunks: list[str]) -> None:
-        """Give every chunk a slot; a chunk has no ASCII white space inside."""
-        parts = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(c)) else (c, "") for c in chunks]
-        new = [w for w in dict.fromkeys(w for pair in parts for w in pair) if w not in self.words]
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encoded))
-        ids = [self.words[a] + self.words[b] if b else self.words[a] for a, b in parts]
-        length = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
-        self.slot.update(zip(chunks, range(len(self.slot), len(self.slot) + len(chunks))))
-        self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
-        self.length = np.concatenate((self.length, length))
-        self.pool = np.concatenate((self.pool, flat))
-        self.stop = np.concatenate((self.stop, np.fromiter((c[-1:] in SENTENCE_ENDS for c in chunks), dtype=bool, count=len(chunks))))
+        plain: dict[str, None] = {}
+        other: dict[str, None] = {}
+        pairs = []
+        for c in chunks:
+            m = PLAIN.fullmatch(c)
+            if m:
+                pair = m[1].lower(), m[2]
+                plain[pair[0]] = plain[pair[1]] = None
+            else:
+                pair = c, ""
+                other[c] = None
+            pairs.append(pair)
+        known = self.word
+        for words, encode in ((plain, self._in_rows), (other, self._one_by_one)):
+            new = [w for w in words if w not in known]
+            ids, length = encode(new)
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
+            self.length = np.concatenate((self.length, length))
+            self.pool = np.concatenate((self.pool, ids))
+        self.chunk.update(zip(chunks, range(len(self.chunk), len(self.chunk) + len(chunks))))
+        slots = np.array([(known[a], known[b]) for a, b in pairs], np.int64).reshape(-1, 2)
+        self.parts = np.concatenate((self.parts, slots))
+        self.stop = np.concatenate((self.stop, np.array([c[-1:] in SENTENCE_ENDS for c in chunks], bool)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each text's number of ids, and after which ids (and of which text) a sentence ends."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        if len(self.slot) > REMEMBERED or len(self.words) > REMEMBERED:
-            self._forget()
-        self._learn([c for c in chunks if c not in self.slot])
-        slots = np.fromiter(map(self.slot.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        number = slots[coded.indices.to_numpy(zero_copy_only=False)]
-        size = self.length[number]
+        chunks = values(coded.dictionary)
+        if len(self.word) > WORDS:
+            self._forget_words()
+        elif len(self.chunk) > CHUNKS:
+            self._forget_chunks()
+        self._learn([c for c in chunks if c not in self.chunk])
+        number = np.array([self.chunk[c] for c in chunks], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        word = self.parts[number].ravel()
+        size = self.length[word]
         end = np.cumsum(size)
-        at = np.repeat(self.begin[number] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+        at = np.repeat(self.begin[word] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+        end = end[1::2]  # after each chunk
         edge = np.concatenate(([0], np.cumsum(counts)))
         total = np.concatenate(([0], end))[edge]
         sentence = np.flatnonzero(self.stop[number])
@@ -200,9 +233,6 @@ class Packer:
         self.stops = [soft[soft > begin] - begin]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def pack(
     df: DataFrame,
     tokenizer: str,
@@ -237,8 +267,7 @@ def pack(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(out)
-        encoder = _ENCODERS.setdefault(tokenizer, None) or WordEncoder(tokenizer)
-        _ENCODERS[tokenizer] = encoder
+        encoder = WordEncoder(tokenizer)  # of this task: what it remembers goes with it
         packer = Packer(window, sentence_cost, hard_cost, block)
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 40
@@ -260,5 +289,6 @@ def pack(
                     if packer.full():
                         yield from pieces(False)
         yield from pieces(True)
+        pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, out)
