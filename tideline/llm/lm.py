@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import slices
+from tideline.llm.arrow import slices, values
 from tideline.llm.words import coded, mix
 from tideline.session import settle
 
@@ -46,7 +46,7 @@ def _map(source: DataFrame, make: Callable[[], Callable[[Slice, pa.RecordBatch],
         work = make()
         for batch in batches:
             for part in slices(batch, "text", ROWS, BYTES):
-                yield pa.RecordBatch.from_arrays(work(Slice(part.column("text").to_pylist()), part), names=names)
+                yield pa.RecordBatch.from_arrays(work(Slice(values(part.column("text"))), part), names=names)
 
     return source.mapInArrow(run, schema)
 
@@ -80,7 +80,7 @@ def score(
     text: str = "text",
     backoff: float = 0.4,
     least: int = 2,
-    head: int = 1 << 17,
+    head: int = 1 << 18,
     broadcast_words: int = 4_000_000,
 ) -> DataFrame:
     """(id, n_words, log_score, score): stupid-backoff bigram score of every row under counts of all rows.
@@ -107,7 +107,7 @@ def score(
     def words_and_candidates():
         def work(s: Slice, _: pa.RecordBatch):
             n = np.bincount(s.index, minlength=len(s.words))
-            h, m = _count(s.pair, 16)
+            h, m = _count(s.pair, 4)
             kind = np.concatenate((np.zeros(len(n), np.int8), np.ones(len(h), np.int8)))
             return [pa.array(kind), pa.array(np.concatenate((s.words.view(np.int64), h))), pa.array(np.concatenate((n, m)).astype(np.int64))]
 
@@ -145,9 +145,11 @@ def score(
             rest = c == 0
             own = np.zeros(docs, np.int64)
             if local:
-                seen = np.where(c >= least, micro_log(np.maximum(c, 1).astype(float)) - before, log_back + after - log_total)
-                np.add.at(own, s.doc[s.second[~rest]], seen[~rest])
-                np.add.at(own, s.doc[s.first], log_word[s.first] - log_total)
+                unseen = log_back + after - log_total
+                # Bigrams of the rest start as unseen; their rows hold what changes if they are not.
+                now = np.where(c >= least, micro_log(np.maximum(c, 1).astype(float)) - before, unseen)
+                own += np.bincount(s.doc[s.second], weights=now, minlength=docs).astype(np.int64)
+                own += np.bincount(s.doc[s.first], weights=log_word[s.first] - log_total, minlength=docs).astype(np.int64)
             # One row for each document and bigram of the rest; two passes keep equal pairs together.
             at = s.second[rest]
             key = mix(s.pair[rest] ^ mix(s.doc[at].astype(np.uint64) + np.uint64(1)))
@@ -158,11 +160,11 @@ def score(
             ids, keys = part.column("id").take(pa.array(doc)), part.column("k").take(pa.array(doc))
             zero = np.zeros(docs, np.int64)
             h = np.concatenate((part.column("k").to_numpy(), s.pair[rest][place].view(np.int64)))
-            columns = [pa.array(h), ids, keys, pa.array(np.concatenate((zero, n)).astype(np.int32))]
-            columns += [pa.array(np.concatenate((s.size, np.zeros(len(place), np.int64))).astype(np.int32))]
-            columns += [pa.array(np.concatenate((own, np.zeros(len(place), np.int64))))]
-            pick = [-before[rest][place], log_back + after[rest][place] - log_total]
-            return columns + [pa.array(np.concatenate((zero, v)).astype(np.int32)) for v in pick]
+            gain = -before[rest][place] - (log_back + after[rest][place] - log_total)
+            none = np.zeros(len(place), np.int64)
+            counts = (np.concatenate((zero, gain)), np.concatenate((zero, n)), np.concatenate((s.size, none)))
+            small = [pa.array(v.astype(np.int32)) for v in counts]
+            return [pa.array(h), *small, ids, keys, pa.array(np.concatenate((own, none)))]
 
         return work
 
@@ -190,21 +192,24 @@ def score(
         return work
 
     kind = dict(source.dtypes)["id"]
-    common = f"h long, id {kind}, k long, n int, words int"
     if local:
         # The row of a document itself has n = 0, its number of words and what was scored on the spot.
-        rows = _map(source, explode, f"{common}, own long, seen int, unseen int").withColumn("known", F.lit(0).cast("long"))
+        # What differs from row to row stands together, which is what compresses best.
+        rows = _map(source, explode, f"h long, gain int, n int, words int, id {kind}, k long, own long")
+        rows = rows.withColumns({"known": F.lit(0).cast("long"), "base": F.lit(0)})
     else:
-        rows = _map(source, explode_wide, f"{common}, w1 long, w2 long, known long").withColumn("own", F.lit(0).cast("long"))
+        rows = _map(source, explode_wide, f"h long, id {kind}, k long, n int, words int, w1 long, w2 long, known long")
+        rows = rows.withColumn("own", F.lit(0).cast("long"))
         for w in ("w1", "w2"):
             rows = rows.join(often.select(F.col("h").alias(w), F.col("c").alias("c_" + w)), w, "left")
         of = {w: F.rint(F.ln(F.coalesce("c_" + w, F.lit(1))) * MICRO).cast("long") for w in ("w1", "w2")}
         first = F.col("known") == -1
-        rows = rows.withColumns({"seen": F.when(first, of["w2"] - log_total).otherwise(-of["w1"]), "unseen": of["w2"] - log_total + F.when(first, 0).otherwise(log_back)})
+        rows = rows.withColumn("base", of["w2"] - log_total + F.when(first, 0).otherwise(log_back)).withColumn("gain", -of["w1"] - F.col("base"))
     in_window = F.sum("n").over(Window.partitionBy("h"))
     c = F.when(F.col("known") == 0, in_window).when(F.col("known") > 0, F.col("known")).otherwise(0)
     log_c = F.rint(F.ln(F.greatest("c", F.lit(1))) * MICRO).cast("long")
-    worth = F.when(F.col("n") == 0, F.col("own")).when(F.col("c") >= least, F.col("n") * (log_c + F.col("seen"))).otherwise(F.col("n") * F.col("unseen"))
+    gained = F.when((F.col("n") > 0) & (F.col("c") >= least), log_c + F.col("gain")).otherwise(0)
+    worth = F.col("own") + F.col("n") * (F.col("base") + gained)
     summed = rows.withColumn("c", c).groupBy("id", "k").agg(F.sum("words").alias("words"), F.sum(worth).alias("s"), F.sum((F.col("n") == 0).cast("long")).alias("rows"))
     # Rows equal in id and text were summed together.
     each = summed.select("id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))), (F.col("words") / F.col("rows")).cast("long").alias("n_words"), (F.col("s") / F.col("rows")).cast("long").alias("log_score"))

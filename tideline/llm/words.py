@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from tideline.llm.arrow import values
+
 #: Every ASCII character that is no digit or lower-case letter becomes a space.
 SPACED = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
@@ -29,7 +31,7 @@ def coded(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     lists = pc.ascii_split_whitespace(pa.array(folded, pa.binary()).cast(pa.string()))
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     words = lists.flatten().dictionary_encode()
-    distinct = words.dictionary.cast(pa.binary()).to_pylist()
+    distinct = values(words.dictionary.cast(pa.binary()))
     of = np.fromiter(map(xxhash.xxh64_intdigest, distinct), dtype=np.uint64, count=len(distinct))
     index = words.indices.to_numpy(zero_copy_only=False)
     solid = np.fromiter(map(bool, distinct), dtype=bool, count=len(distinct))[index]
