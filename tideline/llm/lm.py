@@ -80,7 +80,7 @@ def score(
     text: str = "text",
     backoff: float = 0.4,
     least: int = 2,
-    head: int = 1 << 18,
+    head: int = 1 << 19,
     broadcast_words: int = 4_000_000,
 ) -> DataFrame:
     """(id, n_words, log_score, score): stupid-backoff bigram score of every row under counts of all rows.
@@ -107,7 +107,7 @@ def score(
     def words_and_candidates():
         def work(s: Slice, _: pa.RecordBatch):
             n = np.bincount(s.index, minlength=len(s.words))
-            h, m = _count(s.pair, 4)
+            h, m = _count(s.pair, 3)
             kind = np.concatenate((np.zeros(len(n), np.int8), np.ones(len(h), np.int8)))
             return [pa.array(kind), pa.array(np.concatenate((s.words.view(np.int64), h))), pa.array(np.concatenate((n, m)).astype(np.int64))]
 
