@@ -94,6 +94,26 @@ def test_near_classes_equal_all_pairs(spark):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def set_similarity(a, b):
+    """Jaccard similarity of the sets of five-word tuples."""
+    one, two = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_a_repeat_does_not_hide_what_texts_share(spark):
+    rng = random.Random(5)
+    line = [" ".join(f"v{rng.randrange(3_000)}" for _ in range(20)) for _ in range(12)]
+    base = "\n".join(line)
+    docs = [base, base + "\n" + line[-1], "\n".join([*line, line[3], *line[:2]]), "\n".join(line[:11] + [" ".join(f"v{rng.randrange(3_000)}" for _ in range(20))])]
+    shingles = [words.grams(words.hashed([t])[0], 5) for t in docs]
+    assert set_similarity(docs[0], docs[1]) > 0.95
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        want = set_similarity(docs[a], docs[b])
+        assert near.aligned_similarity(shingles[a], shingles[b], 0.8) == pytest.approx(want)
+    got = near.near_classes(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0}
+
+
 def test_alignment_is_bounded_by_jaccard_and_sees_order():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 1 << 62, 300).astype(np.uint64)

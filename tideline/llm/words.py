@@ -58,7 +58,7 @@ def grams(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def labelled(values: np.ndarray) -> np.ndarray:
-    """Each value joined with the number of its occurrence, so that repeats differ."""
+    """Each value joined with the number of its occurrence, so that repeats differ; first occurrences stay as they are."""
     order = np.argsort(values, kind="stable")
     ranked = values[order]
     new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(values) else np.zeros(0, bool)
@@ -67,4 +67,4 @@ def labelled(values: np.ndarray) -> np.ndarray:
     place = np.arange(len(values))
     nth = np.empty(len(values), dtype=np.uint64)
     nth[order] = place - np.maximum.accumulate(np.where(new, place, 0))
-    return mix(values + nth * np.uint64(0xD1B54A32D192ED03))
+    return np.where(nth > 0, mix(values + nth * np.uint64(0xD1B54A32D192ED03)), values)
