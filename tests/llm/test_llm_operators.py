@@ -114,6 +114,21 @@ def test_a_repeat_does_not_hide_what_texts_share(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def test_repeated_lines_leave_a_text_near_itself(spark):
+    rng = random.Random(6)
+    docs = []
+    for i in range(0, 120, 4):
+        line = [" ".join(f"v{rng.randrange(30_000)}" for _ in range(60)) for _ in range(8)]
+        docs += [(i, "\n".join(line)), *((i + j, "\n".join(x for x in line for _ in range(n))) for j, n in ((1, 2), (2, 5)))]
+        docs += [(i + 3, "\n".join(line * 5))]
+    for (_, a), (_, b) in ((docs[i], docs[i + j]) for i in range(0, 120, 4) for j in (1, 2, 3)):
+        one, two = (words.grams(words.hashed([t])[0], 5) for t in (a, b))
+        assert np.isin(near.sketch(one, 16, 3), near.sketch(two, 16, 3)).any()
+        assert near.aligned_similarity(one, two, 0.8) == pytest.approx(set_similarity(a, b))
+    got = near.near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 4 for i, _ in docs}
+
+
 def test_alignment_is_bounded_by_jaccard_and_sees_order():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 1 << 62, 300).astype(np.uint64)
