@@ -492,5 +492,36 @@ def test_lm_scores_of_awkward_rows_in_any_plan(awkward, nothing):
     assert lm.score(nothing).count() == 0
 
 
+def test_bigram_scores_are_the_same_in_any_plan(awkward):
+    plans = [{}, {"head": 0}, {"broadcast_words": 0}, {"broadcast_words": 0, "head": 5}]
+    got = [sorted((r.doc_id or 0, r.log_score) for r in lm.score(awkward, order=2, least=2, **p).collect()) for p in plans]
+    assert got[0] == got[1] == got[2] == got[3]
+
+
+@pytest.mark.parametrize("order, least", [(2, 2), (3, 1), (4, 2)])
+def test_lm_scores_equal_a_backoff_chain(spark, order, least):
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(0, 30)))) for i in range(40)]
+    docs += docs[:3]
+    count = {}
+    for _, t in docs:
+        w = t.split()
+        for n in range(1, order + 1):
+            for i in range(len(w) - n + 1):
+                g = tuple(w[i : i + n])
+                count[g] = count.get(g, 0) + 1
+    log = lambda x: round(np.log(x) * 1e6)
+    total = sum(n for g, n in count.items() if len(g) == 1)
+
+    def word(run):
+        if len(run) == 1:
+            return log(count[run]) - log(total)
+        return log(count[run]) - log(count[run[:-1]]) if count[run] >= least else log(0.4) + word(run[1:])
+
+    want = sorted((i, sum(word(tuple(t.split()[max(0, e - order) : e])) for e in range(1, len(t.split()) + 1))) for i, t in docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, r.log_score) for r in lm.score(df, order=order, least=least).collect()) == want
+
+
 def test_crc_of_pieces_is_little_endian():
     assert zlib.crc32(np.array([1, 2], dtype="<u4").tobytes()) == zlib.crc32(b"\x01\0\0\0\x02\0\0\0")

@@ -74,6 +74,94 @@ class Table:
 
 
 def score(
+    df: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    order: int = 3,
+    backoff: float = 0.4,
+    least: int = 1,
+    head: int = 1 << 19,
+    broadcast_words: int = 4_000_000,
+) -> DataFrame:
+    """(id, n_words, log_score, score): stupid-backoff score of every row under n-gram counts of all rows, n up to ``order``.
+
+    A word scores c(g) / c(g without its last word) for the longest run g of at most ``order`` words
+    of its text that ends there and has a count of at least ``least`` in the whole corpus, times
+    ``backoff`` for each order in between; a single word scores c(w) / N. With ``least`` = 2 a run
+    seen once, known only from the text being scored, backs off. Words are lower-cased runs of
+    letters and digits. ``log_score`` is the sum of natural logarithms in millionths, each rounded;
+    ``score`` their mean per word, null for texts without words (null and empty ones too). Repeated
+    rows count as often as they stand and get a row each. Other columns are left out.
+
+    Counts of all orders are added up in each slice before their shuffle. What a run adds to the
+    score of the run without its first word needs only counts, so it is worked out once for each
+    distinct run and joined to one row for each document and run. Order 2 has a plan of its own
+    (`_bigrams`), the only one that ``head`` and ``broadcast_words`` change.
+    """
+    if order == 2:
+        return _bigrams(df, id=id, text=text, backoff=backoff, least=least, head=head, broadcast_words=broadcast_words)
+    source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("k"))
+    log_back = int(micro_log(backoff))
+
+    def runs(s: Slice) -> list[tuple[np.ndarray, ...]]:
+        """For each order: places, hashes, hashes without the last and without the first word."""
+        w = s.words[s.index]
+        nth = np.arange(len(w)) - s.edge[:-1][s.doc]
+        at, h = np.arange(len(w)), mix(w)
+        out = [(at, h, np.zeros(len(w), np.uint64), np.zeros(len(w), np.uint64))]
+        for n in range(1, order):
+            last = np.zeros(len(w), np.uint64)
+            last[out[-1][0]] = out[-1][1]
+            at = np.flatnonzero(nth >= n)
+            out.append((at, mix(last[at - 1] * np.uint64(0x9E3779B97F4A7C15) + w[at] + np.uint64(n)), last[at - 1], last[at]))
+        return out
+
+    def corpus():
+        def work(s: Slice, _: pa.RecordBatch):
+            parts = [(h, p, q, np.full(len(at), n)) for n, (at, h, p, q) in enumerate(runs(s), 1)]
+            h, p, q, o = (np.concatenate(x) for x in zip(*parts))
+            h, place, n = np.unique(h, return_index=True, return_counts=True)
+            return [*(pa.array(x.view(np.int64)) for x in (h, p[place], q[place])), pa.array(o[place].astype(np.int32)), pa.array(n.astype(np.int64))]
+
+        return work
+
+    def spread():
+        def work(s: Slice, part: pa.RecordBatch):
+            docs, runs_of = part.column("k").to_numpy().view(np.uint64), runs(s)
+            h, doc = np.concatenate([x[1] for x in runs_of]), np.concatenate([s.doc[x[0]] for x in runs_of])
+            _, place, n = np.unique(mix(h ^ mix(doc.astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
+            return [pa.array(x.view(np.int64)) for x in (h[place], docs[doc[place]], n.astype(np.int64))]
+
+        return work
+
+    def sizes():
+        def work(s: Slice, part: pa.RecordBatch):
+            own = log_back * sum(np.maximum(s.size - n, 0) for n in range(1, order))
+            return [part.column("id"), part.column("k"), pa.array(s.size.astype(np.int64)), pa.array(np.asarray(own + 0 * s.size, np.int64))]
+
+        return work
+
+    sums = [F.sum("n").alias("c"), *(F.min(x).alias(x) for x in "pqo")]
+    counted = settle(_map(source.select("text"), corpus, "h long, p long, q long, o int, n long").groupBy("h").agg(*sums), "lm-runs")
+    log_total = int(micro_log(max(counted.where("o = 1").agg(F.sum("c")).first()[0] or 0, 1)))
+    logs = counted.withColumn("l", F.rint(F.ln("c") * MICRO).cast("long"))
+    before = logs.select(F.col("h").alias("p"), F.col("l").alias("lp"))
+    ratio = logs.join(before, "p", "left").select("h", "q", "o", "c", (F.col("l") - F.coalesce("lp", F.lit(log_total))).alias("v"))
+    ratio = settle(ratio.where((F.col("o") == 1) | (F.col("c") >= least)), "lm-ratios")
+    shorter = ratio.select(F.col("h").alias("q"), F.col("v").alias("vq"))
+    # Counts fall with the length of a run, so what the runs of a word add sums to its longest one that counts.
+    gain = F.col("v") - F.when(F.col("o") > 1, F.col("vq") + log_back).otherwise(0)
+    gains = settle(ratio.join(shorter, "q", "left").select("h", gain.alias("gain")), "lm-gains")
+    worth = settle(_map(source, spread, "h long, k long, n long"), "lm-rows").join(gains, "h").groupBy("k").agg(F.sum(F.col("n") * F.col("gain")).alias("s"))
+    kind = dict(source.dtypes)["id"]
+    docs = _map(source, sizes, f"id {kind}, k long, n_words long, own long").groupBy("id", "k", "n_words", "own").agg(F.count(F.lit(1)).alias("rows"))
+    each = docs.join(worth, "k", "left").withColumn("log_score", F.col("own") + F.coalesce((F.col("s") / F.col("rows")).cast("long"), F.lit(0)))
+    each = each.select("id", "n_words", "log_score", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    return each.select(F.col("id").alias(id), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.lit(float(MICRO)) / F.col("n_words")).alias("score"))
+
+
+def _bigrams(
     df: DataFrame,
     *,
     id: str = "doc_id",
