@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontam, html, langid, lines, lm, near, packing, quality, topk, urls
+from tideline.llm import audit, decontam, html, langid, lines, lm, near, packing, quality, search, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -180,3 +180,80 @@ scored AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(s, 0) AS log_score, CASE WHEN len(w) > 0 THEN s / 1000000.0::DOUBLE / len(w) END AS score
 FROM doc LEFT JOIN summed USING (r)
 """
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, folder, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH mark AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), test AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+     'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+     'D': regexp_matches(t, '[#$%&*|]'),
+     'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM doc LEFT JOIN mark USING (doc_id)
+), cell AS (
+  SELECT part, good, toxic, concat(CASE WHEN f.A THEN 'A' END, CASE WHEN f.B THEN 'B' END, CASE WHEN f.C THEN 'C' END,
+    CASE WHEN f.D THEN 'D' END, CASE WHEN f.E THEN 'E' END) AS fails, count(*) AS n
+  FROM test GROUP BY ALL
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), step AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[1:step - 1] AS before, filter_order[step] AS own FROM orders, unnest(range(1, 6)) AS t(step)
+), judged AS (
+  SELECT part, filter_order, step, own, good, toxic, n, fails, contains(fails, own) AS fail,
+    len([x for x in string_split(before, '') if x <> '' AND contains(fails, x)]) > 0 AS gone
+  FROM cell, step
+), summed AS (
+  SELECT part, filter_order, step, own,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND fail), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND fail), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (fails = own), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND fail AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND fail AND toxic), 0) AS BIGINT) AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return search.search(docs, table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+), total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM doc WHERE len(w) > 0),
+item AS (
+  SELECT i, item_id, unnest(list_distinct(w)) AS t FROM (
+    SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL)
+), tf AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM doc) WHERE t IN (SELECT t FROM item) GROUP BY r, t
+), weight AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY t
+), scored AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(weight.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(doc.w) * docs) // terms)))) AS BIGINT) AS score
+  FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN doc USING (r), total GROUP BY i, item_id, doc_id, r
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
