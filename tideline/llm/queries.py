@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import audit, decontam, html, langid, lines, lm, near, packing, quality, search, topk, urls
+from tideline.llm import audit, decontam, html, langid, lines, lm, near, packing, quality, search, topk, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -257,3 +257,23 @@ item AS (
 )
 SELECT * FROM ranked WHERE rank <= 50
 """
+
+
+@query
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages")).drop("record_id")
+
+
+ORACLES["op13_warc"] = """
+WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+hashed AS (SELECT *, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS first FROM page),
+-- 20 bits of the digest are five hexadecimal digits and four letters
+letters AS (
+  SELECT *, [CAST('0x' || h[5 * k + 1:5 * k + 5] AS INTEGER) for k in range(8)] AS chunks FROM hashed
+)
+SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes,
+  array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((c >> s) & 31) + 1, 1) for s in [15, 10, 5, 0]], '') for c in chunks], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM letters
+"""
