@@ -151,7 +151,7 @@ def _best(counted: DataFrame, scorer: Scorer, k: int) -> DataFrame:
         schema = to_arrow_schema(out)
         scorer = shared.value
         best = Best(scorer.items, k, schema.field("id").type)
-        step = max(1, CELLS // scorer.items)
+        step = max(1, CELLS // max(1, scorer.items))
         for batch in batches:
             for at in range(0, len(batch), step):
                 part = batch.slice(at, step)
