@@ -209,7 +209,7 @@ def stream_rate_limit(
     return (
         rows.mapInPandas(_first_rows(key, limit, period_s * US), rows.schema)
         .withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key, "bucket")
+        .groupBy(key)
         .transformWithState(processor, processor.output, "append", "eventTime")
         .withColumnRenamed("id", row_id)
     )
