@@ -525,3 +525,8 @@ def test_lm_scores_equal_a_backoff_chain(spark, order, least):
 
 def test_crc_of_pieces_is_little_endian():
     assert zlib.crc32(np.array([1, 2], dtype="<u4").tobytes()) == zlib.crc32(b"\x01\0\0\0\x02\0\0\0")
+
+
+def test_number_signs_are_no_letters():
+    assert langid.words_in("½ ² Ⅷ ① Été x_y 12ab x²y 日本 ǅ") == ["été", "x", "y", "ab", "x", "y", "日本", "ǆ"]
+    assert langid.words_in("½ ² Ⅷ ①") == []

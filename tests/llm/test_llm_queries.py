@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 from check import compare, duck
+from pyspark.sql import functions as F
 
 from tideline.llm.queries import ORACLES, QUERIES
 
@@ -41,3 +42,26 @@ def test_pipeline_stages_keep_their_promises(spark, tmp_path):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.collect()}
     assert corpus_pipeline.run(spark, FOLDER).groupBy("doc_id").count().count() == docs.count()
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Nulls, empty texts, repeated rows, an empty table, and own columns called like those of the operators."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    clash = ["score", "lang_pred", "removed_words", "removed_runs", "n_words", "n_hit", "items", "spans", "contaminated", "k", "hits"]
+    mine = {c: F.lit(f"own {c}") for c in clash}
+    odd = spark.createDataFrame([(9001, None, "en", "x", 0), (9002, "", None, "x", 0), (9003, "½ ² Ⅷ ①", "en", "x", 7), (None, "the thing", "en", None, None)], docs.schema)
+    rows = docs.union(odd).union(docs.limit(5)).withColumns(mine)
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, rows.limit(0), FOLDER)
+        assert none.count() == 0
+        if name == "packing":
+            continue
+        kept = stage(spark, rows, FOLDER)
+        assert kept.columns == rows.columns == none.columns
+        found = kept.collect()
+        assert all(r[c] == f"own {c}" for r in found for c in clash), name
+        ids = {r.doc_id for r in found}
+        assert (9001 in ids, 9003 in ids) == ((False, False) if name == "language_id" else (True, True)), name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, rows, FOLDER)
+    assert pieces.filter("start = 0").count() == rows.count()
+    assert pieces.filter("doc_id in (9001, 9002)").agg(F.sum("length")).first()[0] == 2

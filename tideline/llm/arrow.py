@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -34,6 +35,15 @@ def slices(batch: pa.RecordBatch, column: str | int, rows: int = ROWS, size: int
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a Python worker lives on for other tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def free(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores before it as it takes to be no column of ``df``."""
     while name in df.columns:
@@ -71,7 +81,7 @@ def widen(
                 made = work(values(texts.cast(pa.binary()) if as_bytes else texts))
                 arrays = [pa.array(v, t) for v, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *arrays], names=out.names)
-        # The worker lives on for other tasks; what this one has freed goes back to the machine.
-        pa.default_memory_pool().release_unused()
+        del work
+        release()
 
     return kept.mapInArrow(run, out)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tideline.llm.arrow import slices, widen
 from tideline.session import settle
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters and of number signs that are no digits.
+RUNS = re.compile(r"[^\W\d_]+")
 #: Marks the start of a word in the vocabulary's pieces.
 START = "▁"
 #: Probability of a character that no piece covers, the same in every language.
@@ -22,6 +23,14 @@ UNKNOWN = 1e-7
 REMEMBERED = 300_000
 
 
+def words_in(text: str) -> list[str]:
+    """Lower-cased runs of letters (Unicode categories L*)."""
+    runs = RUNS.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 def vocabulary(path: str) -> dict[str, int]:
     """The pieces of a sentencepiece model, without control, unknown and byte pieces."""
     import sentencepiece
@@ -104,7 +113,7 @@ def _count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
             for part in slices(batch, "text"):
                 counts: dict[tuple[str, str], int] = {}
                 for name, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for word in LETTERS.findall((value or "").lower()):
+                    for word in words_in(value or ""):
                         counts[name, word] = counts.get((name, word), 0) + 1
                 if counts:
                     names, words = zip(*counts)
@@ -212,7 +221,7 @@ def identify(
         scorer = Scorer(*shared.value) if langs else None
 
         def work(texts):
-            found = [LETTERS.findall(t.lower()) if t and scorer else [] for t in texts]
+            found = [words_in(t) if t and scorer else [] for t in texts]
             size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             out, sure = ["und"] * len(found), [0.0] * len(found)
             some = np.flatnonzero(size)

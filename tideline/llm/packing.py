@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,106 +13,109 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tideline.llm.arrow import slices, values
+from tideline.llm.arrow import release, slices, values
 
 #: Latin words with punctuation behind: both parts are pre-tokens of their own for tokenizers that cut at letters.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-SENTENCE_ENDS = frozenset(".!?…。！？")
-#: Distinct chunks and words that a task remembers; it starts anew beyond them.
-CHUNKS, WORDS = 300_000, 400_000
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
+SENTENCE_END = "[.!?…。！？]$"
+#: Bytes of distinct words that a task remembers, and about what a word takes besides its letters; it starts anew beyond them.
+REMEMBERED, ENTRY = 48 << 20, 160
 #: Text encoded at a time: more of it repeats words more often.
 ROWS, BYTES = 2048, 4 << 20
 
 
+#: Words by which a tokenizer shows that it spells bytes as characters and cuts nothing inside a word.
+PROBES = ["the", "extraordinarily", "été", "größe", "ÿ", "--", "zzqx"]
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Byte-level tokenizers write a byte as its Latin-1 character, those that don't show as the characters from 256 on, in order.
+SPELLING = {b: chr(b) for b in _SHOWN} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def spelled(word: str) -> str:
+    return word.encode().decode("latin-1").translate(SPELLING)
+
+
 class WordEncoder:
     """Encodes texts chunk by chunk, so that a task tokenises each distinct word about once.
 
     A chunk (what stands between white space) is one or two words: letters and the punctuation behind
     them, or the whole chunk if it is anything else. Right for tokenizers whose pre-tokens never cross
     white space or go from letters to punctuation, and for which case does not matter
-    (``word_bpe_49k``). The tokenizer itself encodes every distinct word; the ids of all remembered
-    words lie in one pool, in which a word is a slot.
+    (``word_bpe_49k``). Chunks are told apart, split and lower-cased as Arrow columns; the tokenizer
+    itself encodes every distinct word. The ids of all remembered words lie in one pool, in which a
+    word is a slot.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: Which ids close a pre-token.
-        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self._forget_words()
+        #: Whether words can skip the tokenizer's normalisation, which does nothing to lower-case letters.
+        self.direct = True
+        self.direct = all(np.array_equal(a, b) for a, b in zip(self._directly(PROBES), self._one_by_one(PROBES)))
+        self._forget()
 
-    def _forget_words(self) -> None:
+    def _forget(self) -> None:
         self.word = {"": 0}
         self.pool = np.zeros(0, np.uint32)
         self.begin = self.length = np.zeros(1, np.int64)
-        self._forget_chunks()
-
-    def _forget_chunks(self) -> None:
-        self.chunk: dict[str, int] = {}
-        self.parts = np.zeros((0, 2), np.int64)  # slots of the words of a chunk
-        self.stop = np.zeros(0, bool)
+        self.held = 0
 
     def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         return np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(i) for i in ids], np.int64)
 
-    def _in_rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and lengths of words that are one pre-token each, encoded many at a time."""
-        rows = [" ".join(words[i : i + 1_000]) for i in range(0, len(words), 1_000)]
-        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(self.tokenizer.encode(r, add_special_tokens=False).ids, np.uint32) for r in rows]])
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):
+    def _directly(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words that are one pre-token each, from the tokenizer's model alone."""
+        if not self.direct:
             return self._one_by_one(words)
-        return ids, np.diff(ends, prepend=0)
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain: dict[str, None] = {}
-        other: dict[str, None] = {}
-        pairs = []
-        for c in chunks:
-            m = PLAIN.fullmatch(c)
-            if m:
-                pair = m[1].lower(), m[2]
-                plain[pair[0]] = plain[pair[1]] = None
-            else:
-                pair = c, ""
-                other[c] = None
-            pairs.append(pair)
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(w if w.isascii() else spelled(w))] for w in words]
+        return np.array([i for word in ids for i in word], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _learn(self, words: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        if not words:
+            return
+        ids, length = encode(words)
+        self.word.update(zip(words, range(len(self.word), len(self.word) + len(words))))
+        self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
+        self.length = np.concatenate((self.length, length))
+        self.pool = np.concatenate((self.pool, ids))
+        self.held += ENTRY * len(words) + sum(map(len, words)) + ids.nbytes
+
+    def _slots(self, chunks: pa.Array) -> np.ndarray:
+        """The slots of the two words of each distinct chunk."""
+        split = pc.extract_regex(chunks, PLAIN)
+        plain = pc.is_valid(split).to_numpy(zero_copy_only=False)
+        letters = pc.coalesce(pc.utf8_lower(pc.struct_field(split, "letters")), chunks)
+        marks = pc.coalesce(pc.struct_field(split, "marks"), "")
+        coded = pa.concat_arrays([letters, marks]).dictionary_encode()
+        words, index = values(coded.dictionary), coded.indices.to_numpy()
+        if self.held > REMEMBERED:
+            self._forget()
+        whole = np.zeros(len(words), bool)  # chunks that are anything else
+        whole[index[: len(chunks)][~plain]] = True
         known = self.word
-        for words, encode in ((plain, self._in_rows), (other, self._one_by_one)):
-            new = [w for w in words if w not in known]
-            ids, length = encode(new)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(length) - length))
-            self.length = np.concatenate((self.length, length))
-            self.pool = np.concatenate((self.pool, ids))
-        self.chunk.update(zip(chunks, range(len(self.chunk), len(self.chunk) + len(chunks))))
-        slots = np.array([(known[a], known[b]) for a, b in pairs], np.int64).reshape(-1, 2)
-        self.parts = np.concatenate((self.parts, slots))
-        self.stop = np.concatenate((self.stop, np.array([c[-1:] in SENTENCE_ENDS for c in chunks], bool)))
+        new = [(w, o) for w, o in zip(words, whole.tolist()) if w not in known]
+        self._learn([w for w, o in new if not o], self._directly)
+        self._learn([w for w, o in new if o], self._one_by_one)
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))[index].reshape(2, -1).T
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each text's number of ids, and after which ids (and of which text) a sentence ends."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
-        chunks = values(coded.dictionary)
-        if len(self.word) > WORDS:
-            self._forget_words()
-        elif len(self.chunk) > CHUNKS:
-            self._forget_chunks()
-        self._learn([c for c in chunks if c not in self.chunk])
-        number = np.array([self.chunk[c] for c in chunks], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        word = self.parts[number].ravel()
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        word = self._slots(coded.dictionary)[number].ravel()
         size = self.length[word]
         end = np.cumsum(size)
         at = np.repeat(self.begin[word] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
         end = end[1::2]  # after each chunk
         edge = np.concatenate(([0], np.cumsum(counts)))
         total = np.concatenate(([0], end))[edge]
-        sentence = np.flatnonzero(self.stop[number])
+        stop = pc.match_substring_regex(coded.dictionary, SENTENCE_END).to_numpy(zero_copy_only=False)
+        sentence = np.flatnonzero(stop[number])
         return self.pool[at], np.diff(total), end[sentence], np.searchsorted(edge, sentence, side="right") - 1
 
 
@@ -289,6 +291,6 @@ def pack(
                     if packer.full():
                         yield from pieces(False)
         yield from pieces(True)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return kept.mapInArrow(run, out)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tideline.llm.arrow import widen
+from tideline.llm.arrow import release, widen
 from tideline.llm.decontam import FOLD, words_of
 from tideline.session import settle
 
@@ -160,7 +160,7 @@ def _best(counted: DataFrame, scorer: Scorer, k: int) -> DataFrame:
                 term, tf = lists.flatten().to_numpy(), part.column(3).flatten().to_numpy()
                 best.add(part.column(0), scorer.scores(part.column(1).to_numpy(), edge, term, tf))
         yield from best.trim().cast(schema).to_batches()
-        pa.default_memory_pool().release_unused()
+        release()
 
     return counted.select("id", "n", "term", "tf").filter(F.size("term") > 0).mapInArrow(run, out)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tideline.llm.arrow import BYTES, ROWS, slices
+from tideline.llm.arrow import BYTES, ROWS, release, slices
 from tideline.session import broadcast_if_small, shared_dir
 
 #: Fixed by the ARC formats: the fields of a header line in each version.
@@ -215,7 +215,7 @@ def _archived(df: DataFrame, folder: str, size: str, opening: Callable[[str], by
                         number, parts, held = number + 1, [], 0
         if parts:
             yield close()
-        pa.default_memory_pool().release_unused()
+        release()
 
     made = df.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
     # Level three is a twentieth larger than the usual six in less than half the time.
@@ -246,7 +246,7 @@ def _records(spark: SparkSession, folder: str, schema: str, read: Callable[[Sour
                         rows, held = [], 0
                 if rows:
                     yield batch_of(rows)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return files.mapInArrow(run, out)
 
