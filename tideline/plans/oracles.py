@@ -362,7 +362,8 @@ STREAM_PANES = {"m": TARDY, "lateness": 3 * DAY, "size": 3 * DAY, "columns": "ev
 ORACLES.update(
     {
         **dict.fromkeys(
-            ["stream_window_fixed", "restart_counts", "rescale_counts", "idempotent_sink_counts"], WINDOW_COUNTS
+            ["stream_window_fixed", "restart_counts", "rescale_counts", "idempotent_sink_counts", "restart_after_failure", "transactional_sink_counts"],
+            WINDOW_COUNTS,
         ),
         "stream_window_sliding": sliding_sql("event_type"),
         "stream_window_session": session_sql(GAP),
@@ -373,6 +374,7 @@ ORACLES.update(
         "stream_panes_after_all": panes_sql("all", 25, **STREAM_PANES),
         "stream_panes_after_each": panes_sql("each", 20, **STREAM_PANES),
         "stream_panes_once": panes_sql("count", 5, once=True, **STREAM_PANES),
+        "stream_late_counts": f"WITH {status_cte(TARDY, 3 * DAY, 3 * DAY)} SELECT status, count(*) AS n FROM st GROUP BY status",
         "stream_state_sessions": SESSION_SUMMARIES,
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
         "stream_rate_limit": f"""

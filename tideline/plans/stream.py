@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from tideline.plans.tables import arriving
 from tideline.session import shared_dir
 from tideline.sources import kafka
 from tideline.sources.arrivals import COARSE, TARDY, ArrivalModel
-from tideline.streaming import panes as sp, sessions as ss, sinks, windows as sw
+from tideline.streaming import accounting, panes as sp, rescale, sessions as ss, sinks, windows as sw
 from tideline.streaming.feed import SliceFeed, replay, start_to_files
 
 # No row is ever more than three days behind in the coarse model.
@@ -153,30 +154,32 @@ def stream_join_with_timeout(spark: SparkSession, folder: str) -> DataFrame:
 # --- recovery ---------------------------------------------------------------------------------
 
 
-def _interrupted(spark: SparkSession, folder: str, partitions: tuple[int, int], resume: bool) -> DataFrame:
-    """Stop after half of the slices; resume from the checkpoint, or replay all into a new one."""
+@query
+def restart_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Stop after half of the slices and resume from the checkpoint."""
     feed = feed_of(spark, folder)
     base = shared_dir(spark, "restart")
     half = len(feed.slices) // 2
-
-    for run, (slices, state_partitions) in enumerate(((feed.slices[:half], partitions[0]), (feed.slices[half:], partitions[1]))):
-        place = base if resume else f"{base}/{run}"
+    for slices in (feed.slices[:half], feed.slices[half:]):
         out = sw.stream_count_windows(feed.stream(), "event_type", win.fixed(DAY_S), DELAY_S)
-        running = start_to_files(out, f"{place}/out", f"{place}/checkpoint", state_partitions)
-        feed.play(running, slices)
-    return no_marker(spark.read.schema(out.schema).parquet(f"{place}/out"))
-
-
-@query
-def restart_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return _interrupted(spark, folder, (2, 2), resume=True)
+        feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint", 2), slices)
+    return no_marker(spark.read.schema(out.schema).parquet(f"{base}/out"))
 
 
 @query
 def rescale_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """State partitions are fixed by a checkpoint, so another parallelism means a new checkpoint, into
-    which what has been released is replayed before the rest."""
-    return _interrupted(spark, folder, (3, 5), resume=False)
+    """Half of the slices in three state partitions; then their state, and the other half alone, in five."""
+    feed = feed_of(spark, folder)
+    base = shared_dir(spark, "rescale")
+    half = len(feed.slices) // 2
+    out = sw.stream_count_windows(feed.stream(), "event_type", win.fixed(DAY_S), DELAY_S)
+    feed.play(start_to_files(out, f"{base}/before", f"{base}/old", 3), feed.slices[:half])
+    moved = rescale.moved_state(spark, f"{base}/old", "event_type")
+    rest = feed.later()
+    out = rescale.resume_count_windows(rest.stream(), "event_type", DAY_S, DELAY_S, moved)
+    rest.play(start_to_files(out, f"{base}/after", f"{base}/new", 5))
+    both = [spark.read.schema(out.schema).parquet(f"{base}/{part}") for part in ("before", "after")]
+    return no_marker(both[0].unionByName(both[1]))
 
 
 @query
@@ -197,6 +200,69 @@ def idempotent_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
     return win.count_windows(kept, "event_type", win.fixed(DAY_S))
 
 
+@query
+def restart_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The driver's code dies after a micro-batch is written and before it is committed; the restart runs it again."""
+    counts, _ = failed_once(spark, folder)
+    return counts
+
+
+def failed_once(spark: SparkSession, folder: str) -> tuple[DataFrame, list[int]]:
+    """What the sink holds after the failure and the restart, and the micro-batches in the order they ran."""
+    feed = feed_of(spark, folder)
+    base = shared_dir(spark, "failure")
+    write, ran = sinks.batch_writer(f"{base}/out"), []
+    fatal = len(feed.slices) // 2
+
+    def fragile(rows: DataFrame, batch_id: int) -> None:
+        write(rows, batch_id)
+        ran.append(batch_id)
+        if batch_id == fatal and ran.count(fatal) == 1:
+            raise RuntimeError("lost between write and commit")
+
+    rows = no_marker(feed.stream()).select("event_id", "ts", "event_type")
+    try:
+        feed.play(sinks.start_idempotent(rows, f"{base}/out", f"{base}/checkpoint", fragile))
+    except StreamingQueryException as e:
+        if "lost between write and commit" not in str(e):
+            raise
+    # What is released stays released: the new query finds the lost micro-batch in the checkpoint's offsets.
+    feed.play(sinks.start_idempotent(rows, f"{base}/out", f"{base}/checkpoint", fragile), feed.unreleased())
+    kept = sinks.read_batches(spark, f"{base}/out", rows.schema)
+    return win.count_windows(kept, "event_type", win.fixed(DAY_S)), ran
+
+
+@query
+def transactional_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows through a sink with a commit of its own, counted from what is committed."""
+    feed = feed_of(spark, folder)
+    base = shared_dir(spark, "transactional")
+    rows = no_marker(feed.stream()).select("event_id", "ts", "event_type")
+    feed.play(sinks.start_transactional(rows, f"{base}/out", f"{base}/checkpoint"))
+    kept = sinks.read_committed(spark, f"{base}/out", rows.schema)
+    return win.count_windows(kept, "event_type", win.fixed(DAY_S))
+
+
+# --- late data --------------------------------------------------------------------------------
+
+
+@query
+def stream_late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by status, folded from the metrics that the query reports with each micro-batch."""
+    feed = feed_of(spark, folder, TARDY)
+    base = shared_dir(spark, "late")
+    totals = accounting.MetricTotals()
+    spark.streams.addListener(totals)
+    try:
+        real = ~F.col("event_id").eqNullSafe(F.lit(MARKER["event_id"]))
+        out = accounting.stream_status_counts(feed.stream(), 3 * DAY_S, 3 * DAY_S, 6 * DAY_S, real)
+        feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint", feed.state_partitions()))
+        found = accounting.late_counts(totals.totals(), feed.untimed)
+    finally:
+        spark.streams.removeListener(totals)
+    return spark.createDataFrame(list(found.items()), "status string, n bigint")
+
+
 # --- message log ------------------------------------------------------------------------------
 
 

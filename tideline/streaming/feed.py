@@ -7,6 +7,7 @@ a slice or none of it (on file systems with atomic folder renames, such as HDFS)
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 from typing import Any
@@ -24,17 +25,19 @@ class SliceFeed:
 
     ``marker`` is a row (column values) that belongs to no real key. It is sent with every slice that
     does not itself move event time forward, two milliseconds past the newest, and twice at the end of
-    input, ``horizon_s`` ahead, so that every window, session and timer closes.
+    input, ``horizon_s`` ahead, so that every window, session and timer closes. Rows without a slice never
+    arrive; ``untimed`` is how many there are.
     """
 
     def __init__(self, rows: DataFrame, marker: dict[str, Any], horizon_s: int):
         self.spark: SparkSession = rows.sparkSession
         # A partition column comes last when files are read back; the stream's schema has to agree.
-        rows = rows.where("slice IS NOT NULL").select(*[c for c in rows.columns if c != "slice"], "slice")
+        rows = rows.select(*[c for c in rows.columns if c != "slice"], "slice")
         base = shared_dir(self.spark, "feed")
         self.base, self.schema = base, rows.schema
         self._staged, self._live = f"{base}/staged", f"{base}/live"
         beats = self._marker_rows(self._heartbeats(rows, horizon_s), marker)
+        rows = rows.where("slice IS NOT NULL")
         # Rebalancing splits a slice that holds much of the data over several tasks and files.
         marked = rows.unionByName(beats).hint("rebalance", F.col("slice"))
         marked.write.partitionBy("slice").parquet(self._staged)
@@ -47,12 +50,19 @@ class SliceFeed:
         """The feed below ``base`` after the loss of the driver: what is released stays released."""
         feed = cls.__new__(cls)
         feed.spark, feed.base, feed.schema = spark, base, schema
-        feed._staged, feed._live = f"{base}/staged", f"{base}/live"
+        feed._staged, feed._live, feed.untimed = f"{base}/staged", f"{base}/live", 0
         feed._fs, feed._path = feed._file_system(base)
         feed.slices = feed.unreleased()
         feed.rows = spark.read.schema(schema).parquet(feed._staged).count() if feed.slices else 0
         return feed
 
+    def later(self) -> SliceFeed:
+        """A feed of what is not released yet, whose stream sees nothing that has been."""
+        feed = self.reopen(self.spark, self.base, self.schema)
+        feed._live = f"{self.base}/live-{uuid.uuid4().hex[:12]}"
+        feed._fs.mkdirs(feed._path(feed._live))
+        return feed
+
     def unreleased(self) -> list[int]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self._staged))]
         return sorted(int(n.split("=")[1]) for n in names if n.startswith("slice="))
@@ -66,6 +76,8 @@ class SliceFeed:
             .orderBy("slice")
             .collect()
         )
+        self.untimed = sum(n for slice_no, _, n in tops if slice_no is None)
+        tops = [t for t in tops if t[0] is not None]
         self.rows = sum(n for _, _, n in tops)
         newest, beats = None, []
         for slice_no, top, _ in tops:
