@@ -6,7 +6,8 @@ from fixtures import LINES
 from pyspark.sql import functions as F
 
 from tideline.session import shared_dir
-from tideline.sources import kafka, offsets, synthetic, text
+from tideline.sources import kafka, log, offsets, synthetic, text
+from tideline.streaming.feed import start_to_files
 
 
 def test_text_round_trip_and_stream(spark):
@@ -86,3 +87,37 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "earliest",
     }
     assert kafka.sink_options("h:1", "out")["topic"] == "out"
+
+
+def test_log_is_read_in_spans_and_where_it_was_left(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), "id bigint, label string"
+    rows_of = lambda a, b: spark.range(a, b, 1, 2).select("id", F.concat(F.lit("r"), "id").alias("label"), F.lit(1).alias("unused"))
+    log.append_log(rows_of(0, 25), path, 0)
+    log.append_log(rows_of(25, 60), path, 1)
+    (tmp_path / "log" / log.folder_of(2)).mkdir()  # begun, not complete
+    whole = log.read_log(spark, path, schema, rows_per_partition=7)
+    assert sorted((r.id, r.label) for r in whole.collect()) == [(i, f"r{i}") for i in range(60)]
+
+    def run():
+        stream = log.read_log(spark, path, schema, stream=True, rows_per_partition=7)
+        query = start_to_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        query.processAllAvailable()
+        query.stop()
+        return sorted(r.id for r in spark.read.schema(schema).parquet(str(tmp_path / "out")).collect())
+
+    assert run() == list(range(60))
+    assert run() == list(range(60))
+    log.append_log(rows_of(60, 61), path, 2)
+    log.append_log(rows_of(61, 61), path, 3)
+    log.append_log(rows_of(61, 90), path, 4)
+    assert run() == list(range(90))
+
+
+def test_a_span_reads_only_its_rows(spark, tmp_path):
+    spark.range(0, 100, 1, 1).write.option("parquet.block.size", 64).parquet(str(tmp_path / log.folder_of(0)))
+    reader = log._LogReader({"path": str(tmp_path), "rowsPerPartition": "30"}, spark.range(1).schema)
+    spans = reader.partitions()
+    assert [(s.first, s.last) for s in spans] == [(0, 30), (30, 60), (60, 90), (90, 100)]
+    batches = [list(reader.read(s)) for s in spans]
+    assert [[x for b in part for x in b.column(0).to_pylist()] for part in batches] == [list(range(s.first, s.last)) for s in spans]
+    assert all(len(part) == 1 for part in batches)

@@ -362,7 +362,7 @@ STREAM_PANES = {"m": TARDY, "lateness": 3 * DAY, "size": 3 * DAY, "columns": "ev
 ORACLES.update(
     {
         **dict.fromkeys(
-            ["stream_window_fixed", "restart_counts", "rescale_counts", "idempotent_sink_counts", "restart_after_failure", "transactional_sink_counts"],
+            ["stream_window_fixed", "restart_counts", "rescale_counts", "idempotent_sink_counts", "restart_after_failure", "transactional_sink_counts", "stream_offset_range"],
             WINDOW_COUNTS,
         ),
         "stream_window_sliding": sliding_sql("event_type"),

@@ -11,7 +11,7 @@ from tideline.operators import panes as pn, windows as win
 from tideline.plans.batch import BURST, GAP_S, query
 from tideline.plans.tables import arriving
 from tideline.session import shared_dir
-from tideline.sources import kafka
+from tideline.sources import kafka, log
 from tideline.sources.arrivals import COARSE, TARDY, ArrivalModel
 from tideline.streaming import accounting, panes as sp, rescale, sessions as ss, sinks, windows as sw
 from tideline.streaming.feed import SliceFeed, replay, start_to_files
@@ -243,6 +243,25 @@ def transactional_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
     return win.count_windows(kept, "event_type", win.fixed(DAY_S))
 
 
+@query
+def stream_offset_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Events from a log that grows while it is read, by a query that is stopped and started again halfway."""
+    rows = arriving(spark, folder, COARSE).select("event_id", "ts", "event_type", "slice")
+    base = shared_dir(spark, "log")
+    first, last = rows.agg(F.min("slice"), F.max("slice")).first()
+    appends = 4
+    share = F.least(F.floor((F.coalesce("slice", F.lit(first)) - first) * appends / (last - first + 1)), F.lit(appends - 1))
+    for number in range(appends):
+        log.append_log(rows.where(share == number).drop("slice"), f"{base}/log", number)
+        if number % 2:  # the query finds two appends at each start, and stops
+            read = log.read_log(spark, f"{base}/log", rows.drop("slice").schema, stream=True)
+            running = start_to_files(read, f"{base}/out", f"{base}/checkpoint")
+            running.processAllAvailable()
+            running.stop()
+    kept = spark.read.schema(read.schema).parquet(f"{base}/out")
+    return win.count_windows(kept, "event_type", win.fixed(DAY_S))
+
+
 # --- late data --------------------------------------------------------------------------------
 
 

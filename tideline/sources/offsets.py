@@ -39,7 +39,7 @@ class _Chunk(InputPartition):
 
 
 class _OffsetReader(DataSourceReader):
-    """Chunks are grouped into at most ``MOST`` partitions, and each chunk is one record batch."""
+    """Chunks are grouped into at most ``MOST`` partitions, which are read in record batches of ``ROWS``."""
 
     MOST = 10_000
     ROWS = 65_536
@@ -54,9 +54,8 @@ class _OffsetReader(DataSourceReader):
         return [_Chunk(lo, min(lo + size, self._stop)) for lo in range(0, self._stop, size)]
 
     def read(self, partition):
-        step = min(self._chunk, self.ROWS)
-        for lo in range(partition.start, partition.stop, step):
-            offsets = np.arange(lo, min(lo + step, partition.stop), dtype=np.int64)
+        for lo in range(partition.start, partition.stop, self.ROWS):
+            offsets = np.arange(lo, min(lo + self.ROWS, partition.stop), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(offsets)], names=["offset"])
 
 
