@@ -181,3 +181,19 @@ def test_rate_limit_and_first_seen(spark):
         ("a", 0, 1, 0), ("a", 0, 2, 1), ("a", 1, 1, 3), ("b", 0, 1, 4),
     ]
     assert rows(batch_sessions.first_seen(df, ["key"])) == [("a", 0, 0), ("b", 4, 40)]
+
+
+def test_large_keys_next_to_missing_ones_stay_apart(spark):
+    big = 1 << 53
+    events = [(0, 1, None), (0, 2, big), (0, 3, big + 1), (0, 4, None), (1, 5, big + 1), (1, 30, big), (1, 31, None), (0, None, big)]
+    df = spark.createDataFrame([(sl, s, k, i) for i, (sl, s, k) in enumerate(events)], "slice bigint, s bigint, user bigint, event_id bigint")
+    df = df.withColumns({"ts": F.timestamp_seconds("s"), "value": F.lit(1.0), "arrival_us": F.col("slice") * 100 * US + F.col("event_id")})
+    mark = {"user": -1, "event_id": -1, "arrival_us": 0, "value": 0.0}
+    want = [(None, 1, 31 * US), (None, 2, 4 * US), (big, 1, 2 * US), (big, 1, 30 * US), (big + 1, 2, 5 * US)]
+    feed = SliceFeed(df.drop("s").repartition(1), mark, horizon_s=1_000)
+    found = replay(feed, lambda s: ss.stream_sessions(s, "user", 5, 4, delay_s=10), "sessions").where("not (user <=> -1)")
+    assert sorted(map(tuple, found.select("user", "events", "ended_us").collect()), key=repr) == sorted(want, key=repr)
+    feed = SliceFeed(df.drop("s").repartition(1), mark, horizon_s=1_000)
+    passed = replay(feed, lambda s: ss.stream_rate_limit(s, "user", 1, 20, delay_s=10), "limited").where("not (user <=> -1)")
+    got = sorted(map(tuple, passed.select("user", "period", "event_id").collect()), key=repr)
+    assert got == sorted([(None, 0, 0), (big, 0, 1), (big + 1, 0, 2), (big, 1, 5), (None, 1, 6)], key=repr)

@@ -7,14 +7,17 @@ event by the allowed delay, has passed everything that could still change it.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tideline.functions.numeric import US
 
@@ -37,33 +40,44 @@ def _rearm(handle: StatefulProcessorHandle, armed, due_us: int | None) -> None:
 _PARTIAL = "start_us bigint, last_us bigint, events bigint, firsts string"
 
 
+def _as_pandas(rows: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType) -> DataFrame:
+    """``fn`` over each Arrow batch. Integers stay integers where some are NULL, so large keys keep all their digits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            if batch.num_rows:
+                made = fn(batch.to_pandas(integer_object_nulls=True))
+                yield pa.RecordBatch.from_pandas(made, schema=arrow, preserve_index=False)
+
+    return rows.mapInArrow(run, schema)
+
+
 def _partial_sessions(key: str, gap_us: int, sample: int):
     """Fold the rows of each Arrow batch into partial sessions, before the shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            if rows.empty:
-                continue
-            rows = rows.sort_values([key, "ts_us", "id"])
-            ts, keys = rows["ts_us"].to_numpy(), rows[key].to_numpy()
-            opens = np.r_[True, (keys[1:] != keys[:-1]) | (ts[1:] - ts[:-1] > gap_us)]
-            starts = np.flatnonzero(opens)
-            stops = np.r_[starts[1:], len(rows)]
-            ids, values = rows["id"].tolist(), rows["value"].tolist()
-            firsts = [
-                json.dumps([(int(ts[i]), ids[i], values[i]) for i in range(a, min(b, a + sample))])
-                for a, b in zip(starts, stops)
-            ]
-            yield pd.DataFrame(
-                {
-                    key: keys[starts],
-                    "ts": rows["ts"].to_numpy()[stops - 1],
-                    "start_us": ts[starts],
-                    "last_us": ts[stops - 1],
-                    "events": stops - starts,
-                    "firsts": firsts,
-                }
-            )
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([key, "ts_us", "id"])
+        ts, keys = rows["ts_us"].to_numpy(), rows[key].to_numpy()
+        # Sorting puts missing keys last; they are one key.
+        missing = pd.isna(keys)
+        opens = np.r_[True, ((keys[1:] != keys[:-1]) & ~(missing[1:] & missing[:-1])) | (ts[1:] - ts[:-1] > gap_us)]
+        starts = np.flatnonzero(opens)
+        stops = np.r_[starts[1:], len(rows)]
+        ids, values = rows["id"].tolist(), rows["value"].tolist()
+        firsts = [
+            json.dumps([(int(ts[i]), ids[i], values[i]) for i in range(a, min(b, a + sample))])
+            for a, b in zip(starts, stops)
+        ]
+        made = {
+            key: keys[starts],
+            "ts": rows["ts"].array[stops - 1],
+            "start_us": ts[starts],
+            "last_us": ts[stops - 1],
+            "events": stops - starts,
+            "firsts": firsts,
+        }
+        return pd.DataFrame(made)
 
     return run
 
@@ -146,9 +160,8 @@ def stream_sessions(
     )
     key_type = stream.schema[key].dataType.simpleString()
     processor = SessionProcessor(key, key_type, gap_s, burst)
-    partial = rows.mapInPandas(
-        _partial_sessions(key, gap_s * US, sample=5), f"{key} {key_type}, ts timestamp, {_PARTIAL}"
-    )
+    schema = StructType([rows.schema[key], rows.schema["ts"]] + StructType.fromDDL(_PARTIAL).fields)
+    partial = _as_pandas(rows.where(F.col("ts").isNotNull()), _partial_sessions(key, gap_s * US, sample=5), schema)
     return (
         partial.withWatermark("ts", f"{delay_s} seconds")
         .groupBy(key)
@@ -159,10 +172,9 @@ def stream_sessions(
 def _first_rows(key: str, limit: int, period_us: int):
     """Keep what can pass a limiter: per Arrow batch the first rows of each key and period."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rows = rows.sort_values(["arrival_us", "id"])
-            yield rows.groupby([rows[key], rows["ts_us"] // period_us], sort=False, dropna=False).head(limit)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["arrival_us", "id"])
+        return rows.groupby([rows[key], rows["ts_us"] // period_us], sort=False, dropna=False).head(limit)
 
     return run
 
@@ -207,7 +219,7 @@ def stream_rate_limit(
     rows = stream.select(key, "ts", F.unix_micros("ts").alias("ts_us"), "arrival_us", F.col(row_id).alias("id"))
     processor = RateLimitProcessor(key, stream.schema[key].dataType.simpleString(), limit, period_s)
     return (
-        rows.mapInPandas(_first_rows(key, limit, period_s * US), rows.schema)
+        _as_pandas(rows.where(F.col("ts").isNotNull()), _first_rows(key, limit, period_s * US), rows.schema)
         .withWatermark("ts", f"{delay_s} seconds")
         .groupBy(key)
         .transformWithState(processor, processor.output, "append", "eventTime")
