@@ -375,6 +375,7 @@ ORACLES.update(
         "stream_panes_after_each": panes_sql("each", 20, **STREAM_PANES),
         "stream_panes_once": panes_sql("count", 5, once=True, **STREAM_PANES),
         "stream_late_counts": f"WITH {status_cte(TARDY, 3 * DAY, 3 * DAY)} SELECT status, count(*) AS n FROM st GROUP BY status",
+        "stream_flush_counts": "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY event_type",
         "stream_state_sessions": SESSION_SUMMARIES,
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
         "stream_rate_limit": f"""

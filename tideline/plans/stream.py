@@ -262,6 +262,13 @@ def stream_offset_range(spark: SparkSession, folder: str) -> DataFrame:
     return win.count_windows(kept, "event_type", win.fixed(DAY_S))
 
 
+@query
+def stream_flush_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts flushed by processing-time timers. When they fire is up to the clock; what they add up to is not."""
+    flushed = replay(feed_of(spark, folder), lambda stream: ss.stream_flush_counts(stream, "event_type", after_ms=1), "flushed")
+    return no_marker(flushed).groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
 # --- late data --------------------------------------------------------------------------------
 
 

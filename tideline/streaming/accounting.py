@@ -57,14 +57,15 @@ class MetricTotals(StreamingQueryListener):
 
 
 def added_up(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (keys, n, ts) of each Arrow batch added up by the keys, before the shuffle: n, and the newest ts."""
-    order = [*keys, "n", "ts"]
+    """Rows (keys, n and perhaps ts) of each Arrow batch added up by the keys, before the shuffle: n, and the newest ts."""
+    timed = "ts" in rows.columns
+    order = [*keys, "n", "ts"] if timed else [*keys, "n"]
     rows = rows.select(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                table = pa.Table.from_batches([batch]).group_by(keys).aggregate([("n", "sum"), ("ts", "max")])
+                table = pa.Table.from_batches([batch]).group_by(keys).aggregate([("n", "sum"), ("ts", "max")] if timed else [("n", "sum")])
                 yield from table.rename_columns(order).combine_chunks().to_batches()
 
     return rows.mapInArrow(run, rows.schema)

@@ -20,6 +20,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import StructType
 
 from tideline.functions.numeric import US
+from tideline.streaming.accounting import added_up
 
 
 def _rearm(handle: StatefulProcessorHandle, armed, due_us: int | None) -> None:
@@ -329,7 +330,7 @@ class WallClockFlush(StatefulProcessor):
         else:
             n = 0
             self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self._after)
-        self._count.update((n + sum(1 for _ in rows),))
+        self._count.update((n + sum(r["n"] for r in rows),))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
@@ -343,5 +344,10 @@ class WallClockFlush(StatefulProcessor):
 
 
 def stream_flush_counts(stream: DataFrame, key: str, after_ms: int) -> DataFrame:
+    """Counts per key of the rows that came since the last flush; each task sends one row for each key of a batch.
+
+    A timer is due at the first micro-batch that begins ``after_ms`` or more after the first row of a key.
+    """
     processor = WallClockFlush(key, stream.schema[key].dataType.simpleString(), after_ms)
-    return stream.groupBy(key).transformWithState(processor, processor.output, "append", "processingTime")
+    cells = added_up(stream.select(key, F.lit(1).cast("bigint").alias("n")), [key])
+    return cells.groupBy(key).transformWithState(processor, processor.output, "append", "processingTime")
