@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from tideline.operators.joins import lookup
 
 
+# The messages of the three checks, which results have to match word by word.
+MISSING = "missing field (region/amount)"
+UNKNOWN = "unknown region '%s'"
+NOT_POSITIVE = "non-positive amount %s"
+
+
 def validate(rows: DataFrame, regions: DataFrame, code: str = "code", name: str = "name") -> DataFrame:
     """Check ``region`` and ``amount``; the first failing check names the ``_error``.
 
@@ -18,9 +24,9 @@ def validate(rows: DataFrame, regions: DataFrame, code: str = "code", name: str
     joined = lookup(rows, regions, "region", code, name, "__name")
     region, amount = F.col("region"), F.col("amount")
     error = (
-        F.when(region.isNull() | amount.isNull(), F.lit("missing field (region/amount)"))
-        .when(F.col("__name").isNull(), F.concat(F.lit("unknown region '"), region, F.lit("'")))
-        .when(amount <= 0, F.concat(F.lit("non-positive amount "), amount.cast("string")))
+        F.when(region.isNull() | amount.isNull(), F.lit(MISSING))
+        .when(F.col("__name").isNull(), F.format_string(UNKNOWN, region))
+        .when(amount <= 0, F.format_string(NOT_POSITIVE, amount.cast("string")))
     )
     return joined.withColumn("_error", error).withColumn(
         "region_name", F.when(F.col("_error").isNull(), F.col("__name"))
