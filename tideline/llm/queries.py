@@ -159,24 +159,31 @@ SELECT * FROM ranked WHERE rank <= 5
 
 @query
 def op10_lm_score(spark: SparkSession, folder: str) -> DataFrame:
-    # The SQL below fixes bigrams that count from two on; lm.score alone takes trigrams that count from one on.
-    return lm.score(table(spark, folder, "documents"), order=2, least=2)
+    return lm.score(table(spark, folder, "documents"), order=3)
 
 
 ORACLES["op10_lm_score"] = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
-), word AS (SELECT r, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v FROM doc, unnest(range(1, len(w) + 1)) AS t(i)),
-uni AS (SELECT w, count(*) AS c FROM word GROUP BY w),
-big AS (SELECT v, w, count(*) AS c FROM word WHERE v IS NOT NULL GROUP BY v, w),
-total AS (SELECT CAST(round_even(1e6 * ln(count(*)), 0) AS BIGINT) AS n FROM word),
-scored AS (
-  SELECT word.r, CASE
-    WHEN word.v IS NULL THEN CAST(round_even(1e6 * ln(cw.c), 0) AS BIGINT) - total.n
-    WHEN big.c >= 2 THEN CAST(round_even(1e6 * ln(big.c), 0) AS BIGINT) - CAST(round_even(1e6 * ln(cv.c), 0) AS BIGINT)
-    ELSE CAST(round_even(1e6 * ln(0.4), 0) AS BIGINT) + CAST(round_even(1e6 * ln(cw.c), 0) AS BIGINT) - total.n END AS s
-  FROM word JOIN uni cw ON cw.w = word.w LEFT JOIN uni cv ON cv.w = word.v LEFT JOIN big ON big.v = word.v AND big.w = word.w, total
-), summed AS (SELECT r, CAST(sum(s) AS BIGINT) AS s FROM scored GROUP BY r)
+), word AS (
+  SELECT r, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v, CASE WHEN i > 2 THEN w[i - 2] END AS u FROM doc, unnest(range(1, len(w) + 1)) AS t(i)
+), one AS (SELECT w, count(*) AS c FROM word GROUP BY w),
+two AS (SELECT v, w, count(*) AS c FROM word WHERE v IS NOT NULL GROUP BY v, w),
+three AS (SELECT u, v, w, count(*) AS c FROM word WHERE u IS NOT NULL GROUP BY u, v, w),
+total AS (SELECT count(*) AS c FROM word),
+-- Every run of a text has a count of one at least, so its longest run decides; the scan of all counts leaves no word to back off.
+parted AS (
+  SELECT word.r,
+    CASE WHEN word.v IS NULL THEN own1.c WHEN word.u IS NULL THEN own2.c ELSE own3.c END AS above,
+    CASE WHEN word.v IS NULL THEN total.c WHEN word.u IS NULL THEN before1.c ELSE before2.c END AS below
+  FROM word JOIN one own1 ON own1.w = word.w
+    LEFT JOIN two own2 ON own2.v = word.v AND own2.w = word.w
+    LEFT JOIN three own3 ON own3.u = word.u AND own3.v = word.v AND own3.w = word.w
+    LEFT JOIN one before1 ON before1.w = word.v
+    LEFT JOIN two before2 ON before2.v = word.u AND before2.w = word.v, total
+), summed AS (
+  SELECT r, CAST(sum(CAST(round_even(1e6 * ln(above), 0) AS BIGINT) - CAST(round_even(1e6 * ln(below), 0) AS BIGINT)) AS BIGINT) AS s FROM parted GROUP BY r
+)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(s, 0) AS log_score, CASE WHEN len(w) > 0 THEN s / 1000000.0::DOUBLE / len(w) END AS score
 FROM doc LEFT JOIN summed USING (r)
 """
