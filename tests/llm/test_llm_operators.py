@@ -498,7 +498,7 @@ def test_bigram_scores_are_the_same_in_any_plan(awkward):
     assert got[0] == got[1] == got[2] == got[3]
 
 
-@pytest.mark.parametrize("order, least", [(2, 2), (3, 1), (4, 2)])
+@pytest.mark.parametrize("order, least", [(2, 2), (3, 1), (4, 1), (5, 1), (3, 2), (4, 2)])
 def test_lm_scores_equal_a_backoff_chain(spark, order, least):
     rng = random.Random(8)
     docs = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(0, 30)))) for i in range(40)]
