@@ -79,7 +79,8 @@ def _scan(df: DataFrame, items: list[tuple[str | None, bytes | None]], width: in
                 words = words_of(value)
                 hit, own = windows.find(words)
                 n_words.append(len(words))
-                found.append(sorted({windows.names[i] for i in own if windows.names[i] is not None}))
+                names = {windows.names[i] for i in own}
+                found.append(sorted(names - {None}) + [None] * (None in names))
                 hits.append(runs_of(value, hit) if own else [])
             return n_words, found, hits
 
@@ -117,14 +118,14 @@ def decontaminate(
     block_bytes: int = 1 << 20,
     carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add n_words, n_hit, items, spans and contaminated to every row of ``df``.
+    """Add n_words, n_hit, n_items, items, spans and contaminated to every row of ``df``.
 
     A window is ``width`` consecutive words of an item; an item of fewer, but not none, is one window.
     A word inside any occurrence of a window is hit; ``items`` are the distinct non-null ids (as
     strings, sorted) with an occurring window, ``spans`` the runs of hit words as code point offsets
     of the original text. ``contaminated``: some word is hit, and at least one word in
-    ``parts`` is. Null and empty texts have no words and are clean. Repeated rows are judged alike. A
-    null item id hits words but is not listed. Columns of ``df`` under the added names are replaced.
+    ``parts`` is. Null and empty texts have no words and are clean. Repeated rows are judged alike. Items
+    without an id hit words and count as one in ``n_items``, but are not listed. Columns of ``df`` under the added names are replaced.
 
     Texts are scanned where they lie, without a shuffle. The items travel in blocks of about
     ``block_bytes`` (measured); a benchmark of several blocks is scanned block by block, and the
@@ -134,7 +135,7 @@ def decontaminate(
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).cast("string").cast("binary").alias("t"))
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    added = ("n_words", "n_hit", "items", "spans", "contaminated")
+    added = ("n_words", "n_hit", "n_items", "items", "spans", "contaminated")
     names = [c for c in (carry if carry is not None else df.columns) if c not in added]
     hits = free(df, "hits")
     if blocks == 1:
@@ -152,7 +153,8 @@ def decontaminate(
         *names,
         "n_words",
         n_hit.alias("n_hit"),
-        "items",
+        F.size("items").cast("long").alias("n_items"),
+        F.array_compact("items").alias("items"),
         F.transform(hits, lambda run: F.struct(run["start"].alias("start"), run["end"].alias("end"))).alias("spans"),
     )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))
