@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -530,3 +531,75 @@ def test_crc_of_pieces_is_little_endian():
 def test_number_signs_are_no_letters():
     assert langid.words_in("½ ² Ⅷ ① Été x_y 12ab x²y 日本 ǅ") == ["été", "x", "y", "ab", "x", "y", "日本", "ǆ"]
     assert langid.words_in("½ ² Ⅷ ①") == []
+
+
+# --- main text: what must not be lost, time, neighbours ------------------------------------------
+
+FIRST = "The first paragraph of this article says that it is about the things which we have seen in the town."
+LATER = "This was the second paragraph and it is also about the things that we have seen in the town, LATER."
+
+
+@pytest.mark.parametrize("between", ["<svg/>", "<video-player src=x>v</video-player>", "<title-card>t</title-card>", "<select><option>one<option>two", "<video>", "<object><p>none</object>"])
+def test_text_after_an_odd_element_stays(between):
+    assert html.main_text(f"<article><p>{FIRST}</p>{between}<p>{LATER}</p></article>").endswith(LATER)
+
+
+@pytest.mark.parametrize("more", [LATER + " © the author", f"<a href=x>{LATER}</a>"])
+def test_paragraphs_with_a_sign_or_a_link_stay_in_an_article(more):
+    assert "LATER" in html.main_text(f"<article><p>{FIRST}</p><p>{more}</p></article>")
+
+
+@pytest.mark.parametrize("name", ["post category-social", "share-enabled"])
+def test_class_of_an_article_alone_loses_nothing(name):
+    assert html.main_text(f'<body><article class="{name}"><p>{LATER}</p></article></body>') == LATER
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "row no-header"])
+def test_class_that_tells_the_layout_loses_nothing(name):
+    assert html.main_text(f'<body><div class="{name}"><p>{LATER * 3}</p></div></body>') == LATER * 3
+
+
+def test_furniture_goes_whatever_its_density():
+    page = f"""<body><article><p>{FIRST}</p></article><section class="comments"><article class="comment"><p>{LATER * 4}</p></article></section>
+    <div class="site-footer">{LATER * 3}</div><div class="cookie-banner">{LATER * 3}</div><div hidden>{LATER * 3}</div></body>"""
+    assert html.main_text(page) == FIRST
+
+
+def test_pages_in_an_unlisted_language_are_judged_by_length_and_links():
+    text = "Pitkä kappale, jossa kerrotaan kaupungin historiasta, asukkaista, rakennuksista ynnä kaduista. " * 3
+    assert html.main_text(f'<body><ul><li><a href=x>Etusivu</a></li></ul><div><p>{text}</p></div></body>') == text.strip()
+
+
+@pytest.mark.parametrize("bad", ["<div ", '<a href="', "<!--", "<select>", "<a '>", "<", "<script>", "<p><b class=ad>", "<div>", "</div>"])
+def test_broken_markup_takes_linear_time(bad):
+    start = time.perf_counter()
+    for end in ("", ">", '"', "</select>"):
+        html.main_text(bad * (200_000 // len(bad)) + end)
+    assert time.perf_counter() - start < 12
+
+
+def test_neighbours_decide_as_a_naive_search_says():
+    rng = random.Random(4)
+    texts = ["Short one", "It was the town that we have seen and it is the one which they had. " * 4, "Lorem ipsum dolor " * 15]
+    for _ in range(200):
+        blocks = [(html.Block(linked=0 if rng.random() < 0.8 else len(t)), t) for t in rng.choices(texts, k=rng.randrange(1, 12))]
+        rules = [None if t == texts[0] and not b.linked else t == texts[1] and not b.linked for b, t in blocks]
+        if not any(t == texts[1] for _, t in blocks):
+            continue
+        want = []
+        for i, known in enumerate(rules):
+            for far in range(1, len(rules)):
+                if known is not None:
+                    break
+                near = [rules[j] for j in (i - far, i + far) if 0 <= j < len(rules) and rules[j] is not None]
+                known = any(near) if near else None
+            want.append(bool(known))
+        assert html.classify(blocks, html.Rules()) == want
+
+
+def test_items_without_an_id_count_but_are_not_listed(spark):
+    docs = spark.createDataFrame([(1, "one two three and more"), (2, "nothing here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), ("b", "two three and"), (None, "and more")], "item_id string, text string")
+    for size in (1 << 20, 8):
+        got = decontam.decontaminate(docs, bench, block_bytes=size).orderBy("doc_id").select("n_hit", "n_items", "items").collect()
+        assert [tuple(r) for r in got] == [(5, 2, ["b"]), (0, 0, [])]

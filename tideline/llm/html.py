@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -28,7 +29,8 @@ STOP_WORDS = frozenset(
     """.split()
 )
 # HTML elements by their part in a page.
-DROPPED = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "object", "canvas", "audio", "video")
+RAW = frozenset(("script", "style", "textarea", "title"))
+EMBEDDED = frozenset(("noscript", "template", "svg", "iframe", "select", "object", "canvas", "audio", "video"))
 BARRED = frozenset(("nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset", "label"))
 MAIN = frozenset(("article", "main"))
 BLOCK = frozenset(
@@ -49,14 +51,16 @@ FURNITURE = frozenset(
     """.split()
 )
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>" + "|".join(DROPPED) + r")\b.*?(?:</(?P=raw)\s*>|\Z)"
-    r"""|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>|(?P<text>[^<]+|<)""",
-    re.IGNORECASE | re.DOTALL,
-)
+# First words of a class that say how a page is laid out or filed, not what the element is.
+LAYOUT = frozenset("category cat col format has hide hides is js no not tag topic type with without".split())
+
+TAG = re.compile(r"</?[a-z]", re.IGNORECASE)
+NAME = re.compile(r"[^\s/>]+")
+ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
 MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 PART = re.compile(r"[a-z]+")
+CLASS = re.compile(r"[^\s]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,6 +71,7 @@ class Rules:
     links: float = 0.4  # share of characters in links that makes a block furniture
     few: float = 0.12  # shares of stop words
     many: float = 0.2
+    listed: float = 0.04  # share on a page below which its language is none of the listed ones
 
 
 @dataclass
@@ -80,19 +85,75 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def _furniture(attrs: str) -> bool:
+def _is_furniture(word: str, whole: bool) -> bool:
+    if word in FURNITURE:
+        return True
+    parts = PART.findall(word)
+    return not whole and bool(parts) and parts[0] not in LAYOUT and (parts[0] in FURNITURE or parts[-1] in FURNITURE)
+
+
+def _furniture(attrs: str, whole: bool) -> bool:
+    """Whether attributes hide an element or name it furniture; ``whole``: only by words that are one class."""
     if not attrs:
         return False
     if HIDDEN.search(attrs):
         return True
-    return any(not FURNITURE.isdisjoint(PART.findall((a or b or c).lower())) for a, b, c in MARKED.findall(attrs))
+    return any(_is_furniture(w, whole) for a, b, c in MARKED.findall(attrs) for w in CLASS.findall((a or b or c).lower()))
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """Texts ('', '', text) and tags ('<' or '</', name, attributes), in one forward pass over the page.
+
+    Comments, declarations and the content of scripts, styles, text areas and titles are left out,
+    to the end of the page where they have none. A tag that never ends is text; one with an open
+    quote ends at its first '>'. Each search that can fail is tried once after it failed, so time is
+    linear in the page, whatever its markup.
+    """
+    at, size, last_end = 0, len(html), html.rfind(">")
+    while at < size:
+        begin = html.find("<", at)
+        if begin < 0 or begin > last_end:
+            # Comments may be open to the end; any other '<' past the last '>' is text.
+            stop = html.find("<!--", at)
+            yield "", "", html[at : stop if stop >= 0 else size]
+            return
+        if begin > at:
+            yield "", "", html[at:begin]
+        if html.startswith("<!--", begin):
+            end = html.find("-->", begin + 4)
+            at = end + 3 if end >= 0 else size
+        elif html[begin + 1 : begin + 2] in ("!", "?"):
+            at = html.index(">", begin) + 1
+        elif not TAG.match(html, begin):
+            yield "", "", "<"
+            at = begin + 1
+        else:
+            kind = "</" if html[begin + 1] == "/" else "<"
+            name = NAME.match(html, begin + len(kind))
+            inside = ATTRIBUTES.match(html, name.end())
+            at = inside.end() if inside else html.find(">", name.end()) + 1
+            word = name.group().lower()
+            yield kind, word, html[name.end() : at - 1]
+            if kind == "<" and word in RAW:
+                end = re.compile(f"</{word}(?=[\\s/>])", re.IGNORECASE).search(html, at)
+                at = end.start() if end else size
 
 
 def blocks_of(html: str) -> list[Block]:
-    """Runs of text between block elements, in page order. Broken markup is read as browsers mostly do."""
+    """Runs of text between block elements, in page order. Broken markup is read as browsers mostly do.
+
+    An embedded element (a drop-down list, a video) ends with its parent at the latest; one that is
+    closed in its own tag or nowhere on the page holds nothing.
+    """
     out, now = [], Block()
     open_: list[tuple[str, bool, int]] = []  # element, whether it is furniture, its article
+    depth: Counter[str] = Counter()  # open elements by name
+    ends: dict[str, int] = {}  # number of the last end tag of each embedded element
     links = articles = 0
+    read = list(tokens(html))
+    for i, (kind, name, _) in enumerate(read):
+        if kind == "</" and name in EMBEDDED:
+            ends[name] = i
 
     def turn() -> None:
         nonlocal now
@@ -101,28 +162,26 @@ def blocks_of(html: str) -> list[Block]:
         _, barred, main = open_[-1] if open_ else ("", False, 0)
         now = Block(barred=barred, main=main)
 
-    for m in TOKEN.finditer(html):
-        text = m["text"]
-        if text is not None:
-            text = unescape(text)
+    def leave() -> None:
+        depth[open_.pop()[0]] -= 1
+
+    for i, (kind, name, attrs) in enumerate(read):
+        if not kind:
+            text = unescape(attrs)
             now.parts.append(text)
             if links:
                 now.linked += len(text)
             continue
-        name = m["name"]
-        if name is None:
-            continue
-        name = name.lower()
-        if m["end"]:
+        if kind == "</":
             if name == "a":
                 links = max(0, links - 1)
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
+            if depth[name]:
+                while open_[-1][0] != name:
+                    leave()
+                leave()
             if name in BLOCK:
                 turn()
-            elif open_ and now.barred != open_[-1][1]:
+            elif now.barred != (open_[-1][1] if open_ else False):
                 turn()
             continue
         if name == "br":
@@ -135,17 +194,19 @@ def blocks_of(html: str) -> list[Block]:
         if name == "a":
             links = 1  # links do not nest
             continue
-        attrs = m["attrs"]
-        if attrs.endswith("/") and name not in BLOCK:
+        block, embedded = name in BLOCK, name in EMBEDDED
+        if name in RAW or (embedded and ends.get(name, -1) < i) or (attrs.endswith("/") and not block):
             continue
-        block = name in BLOCK
-        marked = _furniture(attrs)
+        marked = embedded or _furniture(attrs, whole=name in MAIN)
         if not block and not marked:
             continue
+        if block and name not in ("option", "optgroup") and open_ and open_[-1][0] in ("select", "option", "optgroup"):
+            while open_ and open_[-1][0] in ("select", "option", "optgroup"):
+                leave()  # a list never holds blocks: its end tag is missing
         if block and open_ and open_[-1][0] == name and name in ("p", "li", "dd", "dt", "td", "th", "tr", "option"):
-            open_.pop()  # an open paragraph or list item ends where the next begins
+            leave()  # an open paragraph or list item ends where the next begins
         elif block and open_ and open_[-1][0] == "p":
-            open_.pop()
+            leave()
         _, barred, main = open_[-1] if open_ else ("", False, 0)
         if name in MAIN and not barred:
             articles += not main
@@ -155,6 +216,7 @@ def blocks_of(html: str) -> list[Block]:
         if name in ("body", "html"):
             barred = False
         open_.append((name, barred, main))
+        depth[name] += 1
         links = 0 if block else links
         turn()
     turn()
@@ -164,11 +226,21 @@ def blocks_of(html: str) -> list[Block]:
 def classify(blocks: Sequence[tuple[Block, str]], rules: Rules) -> list[bool]:
     """Whether each block (with its text) is main text: decided by rules first, then by the nearest decided blocks."""
     verdict: list[bool | None] = []
-    for block, text in blocks:
+    stops, sizes = [], []
+    for _, text in blocks:
         words = WORD.findall(text.lower())
-        dense = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        linked = block.linked / max(1, len(text))
-        if block.barred or linked > rules.links or "©" in text:
+        stops.append(sum(w in STOP_WORDS for w in words))
+        sizes.append(len(words))
+    own = [i for i, (block, _) in enumerate(blocks) if not block.barred]
+    # In a language whose stop words are not listed, length and links decide.
+    listed = sum(stops[i] for i in own) >= rules.listed * sum(sizes[i] for i in own)
+    for (block, text), n, size in zip(blocks, stops, sizes):
+        dense = n / size if size else 0.0
+        if not listed:
+            dense = rules.many if len(text) >= rules.long else rules.few
+        linked = block.linked / max(1, len(text)) > rules.links
+        short = len(text) < rules.short
+        if block.barred or (linked and (short or not block.main or dense < rules.few)) or ("©" in text and not block.main and len(text) < rules.long):
             verdict.append(False)
         elif block.main:
             verdict.append(True if dense >= rules.few or len(text) >= rules.short else None)
@@ -217,7 +289,8 @@ def extract(pages: DataFrame, *, html: str = "html", rules: Rules = Rules(), car
     Blocks are runs of text between block elements, with character references decoded and white
     space made one space; those kept are joined by an empty line. Navigation, headers, footers,
     asides, forms, hidden elements and elements whose class, id or role names furniture (adverts,
-    comments, notices and the like) are never main text. Other blocks are first judged by links,
+    comments, notices and the like; the first or last part of a compound counts, except in `article` and
+    `main`, where only whole words do) are never main text. Other blocks are first judged by links,
     length and stop words, and undecided ones take the verdict of the nearest decided blocks, within
     their article if they lie in one. Null, empty and text-free pages give an empty text. Rows stay
     where they are, repeated rows are read alike; columns called text and n_chars are replaced.
