@@ -19,7 +19,7 @@ def con():
 
 
 # The other streams take long and are compared by tests/check.py and on small stories in test_streaming.py.
-STREAMED = ("stream_panes_accumulating", "stream_rate_limit", "kafka_shape_counts", "stream_late_counts", "rescale_counts", "restart_after_failure", "transactional_sink_counts", "stream_offset_range", "stream_flush_counts")
+STREAMED = ("stream_panes_accumulating", "stream_rate_limit", "kafka_shape_counts", "stream_late_counts", "rescale_counts", "restart_after_failure", "transactional_sink_counts", "stream_offset_range", "stream_flush_counts", "stream_watermark_min", "stream_watermark_min_idle")
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if QUERIES[n].__module__.endswith("batch") or n in STREAMED])

@@ -197,3 +197,14 @@ def test_large_keys_next_to_missing_ones_stay_apart(spark):
     passed = replay(feed, lambda s: ss.stream_rate_limit(s, "user", 1, 20, delay_s=10), "limited").where("not (user <=> -1)")
     got = sorted(map(tuple, passed.select("user", "period", "event_id").collect()), key=repr)
     assert got == sorted([(None, 0, 0), (big, 0, 1), (big + 1, 0, 2), (big, 1, 5), (None, 1, 6)], key=repr)
+
+
+@pytest.mark.parametrize("idle_aware, want", [(False, [None, 10, 10, 10, 25, 30]), (True, [None, 10, 40, 40, 40, 40])])
+def test_watermark_of_two_inputs_waits_for_the_silent_one_unless_it_is_idle(spark, idle_aware, want):
+    from tideline.plans.stream import watermarks_of_two
+
+    # a alone; both; b silent; a silent and b behind what was reached; b again; both
+    data = [(0, 20, "a"), (1, 10, "b"), (1, 22, "a"), (2, 40, "a"), (3, 10, "b"), (4, 25, "b"), (5, 30, "b"), (5, 35, "a")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "event_id bigint, slice bigint, s bigint, channel string")
+    found = watermarks_of_two(spark, df.withColumn("ts", F.timestamp_seconds("s")), idle_aware).orderBy("slice")
+    assert [r["wm_us"] and r["wm_us"] // US for r in found.collect()] == want

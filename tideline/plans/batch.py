@@ -18,7 +18,7 @@ from tideline.operators import joins, panes as pn, routing, sessions, watermarks
 from tideline.plans.tables import arriving, events, table
 from tideline.session import broadcast_if_small, shared_dir
 from tideline.sources import offsets, synthetic, text
-from tideline.sources.arrivals import replay_order
+from tideline.sources.arrivals import ArrivalModel, replay_order
 
 HOUR_S = 3_600
 LATENESS_S = 6 * HOUR_S
@@ -399,21 +399,21 @@ def watermark_trail(spark: SparkSession, folder: str) -> DataFrame:
     return wm.firing_trail(closed).select("event_type", "win_end_us", "trail_s")
 
 
-def _channelled(spark: SparkSession, folder: str) -> DataFrame:
+def channelled(spark: SparkSession, folder: str, *model: ArrivalModel) -> DataFrame:
     """Two inputs: even users are on input b, except that b is silent for three slices in eight."""
     silent = (F.col("slice") % 8).isin(4, 5, 6)
     channel = F.when((F.col("user_id") % 2 == 0) & ~silent, "b").otherwise("a")
-    return arriving(spark, folder).withColumn("channel", channel)
+    return arriving(spark, folder, *model).withColumn("channel", channel)
 
 
 @query
 def watermark_min_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    return wm.merged_watermark(_channelled(spark, folder), "channel", ["a", "b"])
+    return wm.merged_watermark(channelled(spark, folder), "channel", ["a", "b"])
 
 
 @query
 def watermark_min_idle(spark: SparkSession, folder: str) -> DataFrame:
-    return wm.merged_watermark(_channelled(spark, folder), "channel", ["a", "b"], idle_aware=True)
+    return wm.merged_watermark(channelled(spark, folder), "channel", ["a", "b"], idle_aware=True)
 
 
 # --- panes and late data -----------------------------------------------------------------------

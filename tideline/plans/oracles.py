@@ -3,7 +3,7 @@ the pre-aggregation and bucketing of the Spark plans."""
 
 from __future__ import annotations
 
-from tideline.sources.arrivals import SIX_HOURLY, TARDY, ArrivalModel
+from tideline.sources.arrivals import COARSE, SIX_HOURLY, TARDY, ArrivalModel
 
 S = 1_000_000
 DAY = 86_400 * S
@@ -195,11 +195,24 @@ SESSION_SUMMARIES = f"""
         array_to_string(list_slice(list(value::VARCHAR ORDER BY ts_us, event_id), 1, 5), ',') AS sample_values,
         CASE WHEN count(*) >= 4 THEN 'BURST' ELSE 'ok' END AS flag
     FROM ses GROUP BY user_id, s"""
-CHANNELS = f"""{arrival_cte()},
+def channels_cte(m: ArrivalModel = SIX_HOURLY) -> str:
+    """``run``: newest event times of the inputs a and b in each slice, and so far."""
+    return f"""{arrival_cte(m)},
     ch AS (SELECT slice, max(ts_us) FILTER (WHERE channel = 'a') AS a, max(ts_us) FILTER (WHERE channel = 'b') AS b
         FROM (SELECT *, CASE WHEN user_id % 2 = 0 AND slice % 8 NOT IN (4, 5, 6) THEN 'b' ELSE 'a' END AS channel
               FROM arr) GROUP BY slice),
     run AS (SELECT slice, a, b, max(a) OVER (ORDER BY slice) AS ra, max(b) OVER (ORDER BY slice) AS rb FROM ch)"""
+
+
+def merged_sql(m: ArrivalModel = SIX_HOURLY, idle: bool = False, unit: int = 1) -> str:
+    """The watermark of both inputs after each slice, down to whole ``unit`` microseconds."""
+    least = "CASE WHEN ra IS NULL OR rb IS NULL THEN NULL ELSE least(ra, rb) END"
+    if idle:
+        least = """max(CASE WHEN ra IS NULL OR rb IS NULL THEN NULL
+                WHEN a IS NULL THEN rb WHEN b IS NULL THEN ra ELSE least(ra, rb) END) OVER (ORDER BY slice)"""
+    return f"WITH {channels_cte(m)} SELECT slice, {least} // {unit} * {unit} AS wm_us FROM run"
+
+
 CLOSED = f"""
     WITH {status_cte(lateness=0)},
     counts AS (SELECT event_type, e, count(*) AS n FROM st WHERE status IN ('EARLY', 'ON_TIME') GROUP BY event_type, e)
@@ -316,14 +329,8 @@ ORACLES.update(
         "watermark_trail": f"""
             SELECT event_type, win_end_us, floor((fired_arrival - win_end_us) / {S})::BIGINT AS trail_s
             FROM ({CLOSED})""",
-        "watermark_min_inputs": f"""
-            WITH {CHANNELS}
-            SELECT slice, CASE WHEN ra IS NOT NULL AND rb IS NOT NULL THEN least(ra, rb) END AS wm_us FROM run""",
-        "watermark_min_idle": f"""
-            WITH {CHANNELS}
-            SELECT slice, max(CASE WHEN ra IS NULL OR rb IS NULL THEN NULL
-                WHEN a IS NULL THEN rb WHEN b IS NULL THEN ra ELSE least(ra, rb) END) OVER (ORDER BY slice) AS wm_us
-            FROM run""",
+        "watermark_min_inputs": merged_sql(),
+        "watermark_min_idle": merged_sql(idle=True),
         "panes_accumulating": panes_sql("slice"),
         "panes_discarding": panes_sql("slice", accumulating=False),
         "panes_early_count": panes_sql("count", 10),
@@ -375,6 +382,9 @@ ORACLES.update(
         "stream_panes_after_each": panes_sql("each", 20, **STREAM_PANES),
         "stream_panes_once": panes_sql("count", 5, once=True, **STREAM_PANES),
         "stream_late_counts": f"WITH {status_cte(TARDY, 3 * DAY, 3 * DAY)} SELECT status, count(*) AS n FROM st GROUP BY status",
+        # The engine keeps milliseconds.
+        "stream_watermark_min": merged_sql(COARSE, unit=1_000),
+        "stream_watermark_min_idle": merged_sql(COARSE, idle=True, unit=1_000),
         "stream_flush_counts": "SELECT event_type, count(*)::BIGINT AS n FROM events GROUP BY event_type",
         "stream_state_sessions": SESSION_SUMMARIES,
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.numeric import DAY_S, US
 from tideline.operators import panes as pn, windows as win
-from tideline.plans.batch import BURST, GAP_S, query
+from tideline.plans.batch import BURST, GAP_S, channelled, query
 from tideline.plans.tables import arriving
 from tideline.session import shared_dir
 from tideline.sources import kafka, log
@@ -269,6 +269,42 @@ def stream_flush_counts(spark: SparkSession, folder: str) -> DataFrame:
     return no_marker(flushed).groupBy("event_type").agg(F.sum("n").alias("n"))
 
 
+# --- two inputs -------------------------------------------------------------------------------
+
+
+def watermarks_of_two(spark: SparkSession, rows: DataFrame, idle_aware: bool) -> DataFrame:
+    """The engine's watermark after each slice of a stream with inputs a and b, each with a watermark of its own."""
+    rows = rows.select("event_id", "ts", "channel", "slice")
+    if idle_aware:
+        beats = sw.idle_heartbeats(rows, "channel", ["a", "b"])
+        rows = rows.unionByName(beats.withColumn("event_id", F.lit(MARKER["event_id"]).cast(rows.schema["event_id"].dataType)))
+    # The feed's own markers belong to neither input.
+    feed = SliceFeed(rows, {"event_id": MARKER["event_id"], "channel": None}, HORIZON_S)
+    base = shared_dir(spark, "inputs")
+    marks = sw.WatermarkLog()
+    spark.streams.addListener(marks)
+    try:
+        # Both inputs read one source, so a slice of both is one micro-batch.
+        stream = feed.stream()
+        both = sw.merge_inputs([(stream.where(F.col("channel") == c), 0) for c in ("a", "b")])
+        out = win.count_windows(sw.WatermarkLog.observed(both), "channel", win.fixed(DAY_S))
+        feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint", feed.state_partitions()))
+        found = marks.after_slices()
+    finally:
+        spark.streams.removeListener(marks)
+    return spark.createDataFrame(found, "slice bigint, wm_us bigint")
+
+
+@query
+def stream_watermark_min(spark: SparkSession, folder: str) -> DataFrame:
+    return watermarks_of_two(spark, channelled(spark, folder, COARSE), idle_aware=False)
+
+
+@query
+def stream_watermark_min_idle(spark: SparkSession, folder: str) -> DataFrame:
+    return watermarks_of_two(spark, channelled(spark, folder, COARSE), idle_aware=True)
+
+
 # --- late data --------------------------------------------------------------------------------
 
 
