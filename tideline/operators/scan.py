@@ -102,6 +102,20 @@ def prefix_scan(
     return joined.drop("__k", *buckets, *[f"__{tag}_{n}" for n in cells for tag in ("c", "l", "p")])
 
 
+def range_buckets(df: DataFrame, order: Sequence[str], out: str, rows: int = 1 << 17, most: int = 20_000) -> DataFrame:
+    """Add the scan bucket ``out``: ranges of ``order`` that hold about ``rows`` rows each, however dense the order is.
+
+    There are as many as the rows need, at most ``most`` (they grow beyond ``rows`` then). Spark samples the
+    bounds; the rows are written once, so that everything that reads them, a restarted task too, finds the same
+    bucket. ``order`` should tell rows apart: equal ones share a bucket. Rows of a small table get bucket 0 unwritten.
+    """
+    parts = min(most, -(-df.count() // rows))
+    if parts <= 1:
+        return df.withColumn(out, F.lit(0))
+    ranged = df.repartitionByRange(parts, *order)
+    return settle(ranged.withColumn(out, F.spark_partition_id()), "ranges")
+
+
 def bucket_hot_keys(df: DataFrame, key: str, bucket: Column, out: str, hot_rows: int) -> DataFrame:
     """Add the scan bucket ``out``: ``bucket`` for keys with more than ``hot_rows`` rows, 0 for all others.
 

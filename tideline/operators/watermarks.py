@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.numeric import US
-from tideline.operators.scan import prefix_scan
+from tideline.operators.scan import prefix_scan, range_buckets
 from tideline.session import broadcast_if_small, settle
-from tideline.sources.arrivals import with_arrival_minute
 
 
 def window_end(ts_us: Column, size_s: int) -> Column:
@@ -139,18 +138,17 @@ def merged_watermark(
     return marks.select("slice", merged.alias("wm_us"))
 
 
-def event_skew(df: DataFrame, row_id: str = "event_id") -> DataFrame:
-    """``skew_us`` (arrival minus event time) and whether the row arrived behind a newer event."""
+def event_skew(df: DataFrame, row_id: str = "event_id", rows: int = 1 << 17) -> DataFrame:
+    """``skew_us`` (arrival minus event time) and whether the row arrived behind a newer event.
+
+    Rows are scanned in arrival order, in tasks of about ``rows`` rows."""
+    order = ["arrival_us", row_id]
     scanned = prefix_scan(
-        with_arrival_minute(df),
-        keys=[],
-        buckets=["slice", "arrival_min"],
-        order=["arrival_us", row_id],
-        peaks={"newest_us": F.col("ts_us")},
+        range_buckets(df, order, "__range", rows), keys=[], buckets=["__range"], order=order, peaks={"newest_us": F.col("ts_us")}
     )
     return scanned.withColumns(
         {
             "skew_us": F.col("arrival_us") - F.col("ts_us"),
             "out_of_order": F.coalesce(F.col("ts_us") < F.col("newest_us"), F.lit(False)),
         }
-    ).drop("newest_us", "arrival_min")
+    ).drop("newest_us", "__range")

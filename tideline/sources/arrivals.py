@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.numeric import US
-from tideline.operators.scan import prefix_scan
+from tideline.operators.scan import prefix_scan, range_buckets
 
 
 @dataclass(frozen=True)
@@ -60,13 +60,10 @@ def with_arrival_minute(df: DataFrame) -> DataFrame:
     return df.withColumn("arrival_min", F.floor(F.col("arrival_us") / (60 * US)).cast("bigint"))
 
 
-def replay_order(df: DataFrame, row_id: str = "event_id") -> DataFrame:
-    """Number the rows in arrival order from 0 (``arrival_seq``), without a global sort task."""
+def replay_order(df: DataFrame, row_id: str = "event_id", rows: int = 1 << 17) -> DataFrame:
+    """Number the rows in arrival order from 0 (``arrival_seq``), in tasks of about ``rows`` rows."""
+    order = ["arrival_us", row_id]
     scanned = prefix_scan(
-        with_arrival_minute(df),
-        keys=[],
-        buckets=["slice", "arrival_min"],
-        order=["arrival_us", row_id],
-        sums={"arrival_seq": F.lit(1).cast("bigint")},
+        range_buckets(df, order, "__range", rows), keys=[], buckets=["__range"], order=order, sums={"arrival_seq": F.lit(1).cast("bigint")}
     )
-    return scanned.withColumn("arrival_seq", F.col("arrival_seq") - 1)
+    return scanned.withColumn("arrival_seq", F.col("arrival_seq") - 1).drop("__range")
