@@ -281,42 +281,58 @@ def test_chunks_cover_the_text_and_gradients_are_right():
 
 
 def brute_lines(docs, least):
-    """Every maximal run of units that stands earlier, by comparing all places of a unit."""
-    units = {i: [u for u in map(str.strip, lines.cut((t or "").lower())) if u] for i, t in docs}
-    places = {}
+    """Texts as lists of the words that stay: a run of ``least`` words goes if the first place of its words is apart from it."""
+    words = {i: (t or "").split() for i, t in docs}
+    first = {}
     for i, _ in docs:
-        for p, u in enumerate(units[i]):
-            places.setdefault(u, []).append((i, p))
+        low = [w.lower() for w in words[i]]
+        for p in range(len(low) - least + 1):
+            first.setdefault(tuple(low[p : p + least]), (i, p))
     out = {}
-    for i, text in docs:
-        mine, gone = units[i], set()
-        for p in range(len(mine)):
-            for j, q in places[mine[p]]:
-                if (j, q) >= (i, p):
-                    break
-                n = 0
-                while p + n < len(mine) and q + n < len(units[j]) and mine[p + n] == units[j][q + n] and not (i == j and q + n >= p):
-                    n += 1
-                if sum(u.count(" ") + 1 for u in mine[p : p + n]) >= least:
-                    gone.update(range(p, p + n))
-        out[i] = lines.keep(text, [[g, g] for g in sorted(gone)])[0] if gone else text
+    for i, _ in docs:
+        low, gone = [w.lower() for w in words[i]], set()
+        for p in range(len(low) - least + 1):
+            j, q = first[tuple(low[p : p + least])]
+            if j != i or p - q >= least:
+                gone.update(range(p, p + least))
+        out[i] = ([w for p, w in enumerate(words[i]) if p not in gone], len(gone))
     return out
 
 
-def test_line_dedup_equals_brute_force(spark):
-    rng = random.Random(4)
-    pool = [" ".join(rng.choices("abcdefgh", k=rng.randrange(1, 9))) + rng.choice([".", "", "!"]) for _ in range(40)]
+@pytest.mark.parametrize("least,letters", [(12, "abcdefgh"), (25, "ab"), (9, "abcd")])
+def test_line_dedup_equals_brute_force(spark, least, letters):
+    rng = random.Random(least)
     docs = []
-    for i in range(120):
-        text = rng.choice(["\n", " "]).join(rng.choices(pool, k=rng.randrange(0, 25)))
-        if docs and rng.random() < 0.5:
-            other = rng.choice(docs)[1].split("\n")
-            at = rng.randrange(len(other))
-            text += "\n" + "\n".join(other[at : at + rng.randrange(1, 9)])
-        docs.append((i, text))
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: r.text for r in lines.dedup_lines(df, least=12).collect()}
-    assert got == brute_lines(docs, 12)
+    for i in range(150):
+        words = rng.choices([x + y + rng.choice(["", "", "."]) for x in letters for y in letters], k=rng.randrange(0, 90))
+        if rng.random() < 0.1:
+            words += rng.choices(["x", "y z", "Q"], k=1) * rng.randrange(1, 90)
+        for _ in range(rng.randrange(0, 4)):
+            other = rng.choice(docs)[1].split() if docs else words
+            a, n, at = rng.randrange(len(other) + 1), rng.randrange(least - 3, 4 * least), rng.randrange(len(words) + 1)
+            words[at:at] = [w.upper() if rng.random() < 0.1 else w for w in other[a : a + n]]
+        docs.append((i, "".join(w + rng.choice([" ", " ", "\n", "\t ", "\n\n"]) for w in words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.text.split(), r.removed_words) for r in lines.dedup_lines(df, least=least).collect()}
+    want = brute_lines(docs, least)
+    assert got == want and sum(n > 0 for _, n in want.values()) > 40
+
+
+def test_line_dedup_of_a_passage_inside_lines(spark):
+    passage = " ".join(f"w{n}" for n in range(60))
+    around = ["Start {} end.", "{}, in front", "Before:\n{}.", "one two three {} four. Five\n\nSix", "{}"]
+    docs = [(n, a.format(passage)) for n, a in enumerate(around)]
+    got = {r.doc_id: (r.text, r.removed_words, r.removed_runs) for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    # The last word of a passage differs where a mark follows it.
+    assert got[0] == (docs[0][1], 0, 0) and got[4] == ("", 60, 1)
+    assert got[1] == ("w59, in front", 59, 1) and got[2] == ("Before:\nw59.", 59, 1)
+    assert got[3] == ("one two three four. Five\n\nSix", 60, 1)
+
+
+def test_line_dedup_keeps_white_space_elsewhere():
+    assert lines.keep("a  b\nc d\t e", [[1, 1]]) == ("a\nc d\t e", 1)
+    assert lines.keep(" a b c ", [[0, 0], [2, 2]]) == ("b", 2)
+    assert lines.keep("a b", [[0, 1]]) == ("", 2)
 
 
 def test_line_dedup_of_awkward_rows(awkward, nothing):
@@ -329,6 +345,7 @@ def test_line_dedup_of_awkward_rows(awkward, nothing):
     assert by[0][0].startswith(STORY)
     # STORY has 26 words: its first occurrence (null id) stays, later ones go.
     assert by[8][0] == "Été à la plage.\nÉté à la plage.\nEin Ende." and STORY not in by[9][0]
+    assert by[0][0] == STORY and by[9][0] == "The cow"
     assert out.where("doc_id = 2").first().text is None
     assert lines.dedup_lines(nothing).count() == 0
 

@@ -1,186 +1,202 @@
-"""Line dedup: repeated runs of lines found by winnowed line hashes, deleted wherever they come later."""
+"""Line dedup: repeated runs found by winnowed hashes of lines, deleted wherever they come later.
+
+A line is laid from every word on, ``LINE`` words long, so a passage shares its lines with its repeat wherever it
+begins and ends and however either text is wrapped.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import free, slices, widen
-from tideline.llm.words import mix
+from tideline.llm.arrow import free, release, slices, values, widen
+from tideline.llm.words import coded, mix
 from tideline.session import settle
 
-def cut(text: str) -> list[str]:
-    """Units of a text: lines, cut after a sentence end too, so passages inside long lines are found.
-
-    One character of the text, a line end or a space, stands between two units.
-    """
-    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n").split("\n")
+#: Words of a line.
+LINE = 9
+#: Words are what stands between ASCII white space.
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SPACE = " \t\n\v\f\r"
+#: Odd multipliers of the two hashes of a run of words.
+BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+
+
+class Runs:
+    """Two 64-bit hashes of any run of the words of many texts, from running sums."""
+
+    def __init__(self, texts: list[str | None]):
+        of, index, self.edge = coded(texts, None)
+        self._sums, self._back = [], []
+        for salt, base in enumerate(BASES):
+            words = mix(of + np.uint64(salt * BASES[0] & (1 << 64) - 1))[index]
+            power = np.full(len(words) + 1, base, np.uint64)
+            power[0] = 1
+            np.cumprod(power, out=power)
+            self._sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * power[:-1], dtype=np.uint64))))
+            inverse = np.full(len(words) + 1, pow(base, -1, 1 << 64), np.uint64)
+            inverse[0] = 1
+            self._back.append(np.cumprod(inverse, out=inverse))
+
+    def hash(self, begin: np.ndarray, end: np.ndarray, which: int, tag: np.ndarray | int = 0) -> np.ndarray:
+        """Hashes of the words from ``begin`` to before ``end``, joined with a small number."""
+        whole = (self._sums[which][end] - self._sums[which][begin]) * self._back[which][begin]
+        return mix(mix(whole) + np.asarray(tag, np.uint64)).view(np.int64)
+
+
+def fingerprints(runs: Runs, least: int, line: int = LINE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the smallest line hash of each ``least`` words of a text begins, its text, and the hashes of all lines."""
+    total, width = int(runs.edge[-1]), least - line + 1
+    if total < least:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    start = np.arange(total - line + 1)
+    hashes = runs.hash(start, start + line, 0)
+    first = np.arange(total - least + 1)
+    row = np.searchsorted(runs.edge, first, side="right") - 1
+    first = first[first + least <= runs.edge[row + 1]]
+    best = np.lib.stride_tricks.sliding_window_view(hashes, width).argmin(axis=1)
+    at = np.unique(first + best[first])
+    return at, np.searchsorted(runs.edge, at, side="right") - 1, hashes
 
 
-def windows(words: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shortest windows of at least ``least`` words: the last unit of the one from each unit, the first of the one up to it.
+def _measure(df: DataFrame, least: int) -> DataFrame:
+    """Per document (``id``, ``k``): its fingerprints ``h`` at word ``p``, with two hashes of the words around.
 
-    ``begin`` and ``end`` bound the unit's document; -1 where the document has too few words.
+    Those words, from ``p - (least - LINE)`` to before ``e``, hold every run of ``least`` words with the line in it.
     """
-    total = np.concatenate(([0], np.cumsum(words)))
-    last = np.searchsorted(total, total[:-1] + least, side="left") - 1
-    first = np.searchsorted(total, total[1:] - least, side="right") - 1
-    return np.where(last < end, last, -1), np.where(first >= begin, first, -1)
-
-
-def minima(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Units that are the (rightmost) smallest hash of some window ``[unit, last]``."""
-    first = np.flatnonzero(last >= 0)
-    stop, best, least = last[first], first.copy(), hashes[first].copy()
-    step = 1
-    while len(first):
-        live = first + step <= stop
-        if not live.any():
-            break
-        at = np.where(live, first + step, first)
-        better = live & (hashes[at] <= least)
-        best[better], least[better] = at[better], hashes[at[better]]
-        step += 1
-    return np.unique(best)
-
-
-def _measure(df: DataFrame, least: int) -> DataFrame:
-    """Per document (``k``): hashes and words of its non-blank units, as packed numbers, and its fingerprints."""
+    reach = least - LINE
 
     def make():
-        digest = xxhash.xxh64_intdigest
-
         def work(texts):
-            hashes: list[int] = []
-            words: list[int] = []
-            edge = [0]
-            for text in texts:
-                units = [u for u in map(str.strip, cut((text or "").lower())) if u]
-                hashes += map(digest, units)
-                words += [u.count(" ") + 1 for u in units]
-                edge.append(len(hashes))
-            h, w, bounds = np.array(hashes, np.uint64), np.array(words, np.int64), np.array(edge)
-            n = np.diff(bounds)
-            last, _ = windows(w, np.repeat(bounds[:-1], n), np.repeat(bounds[1:], n), least)
-            chosen = minima(h, last)
-            cut_at = np.searchsorted(chosen, bounds).tolist()
-            value = h.view(np.int64)
-            spans = list(zip(edge[:-1], edge[1:]))
-            return (
-                [h[a:b].astype("<u8").tobytes() for a, b in spans],
-                [w[a:b].astype("<u4").tobytes() for a, b in spans],
-                [
-                    [{"h": x, "u": y} for x, y in zip(value[chosen[i:j]].tolist(), (chosen[i:j] - a).tolist())]
-                    for i, j, (a, _) in zip(cut_at[:-1], cut_at[1:], spans)
-                ],
-            )
+            runs = Runs(texts)
+            at, row, hashes = fingerprints(runs, least)
+            base = runs.edge[row]
+            low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
+            shape = (at - low) * (2 * least) + (high - low)
+            columns = (hashes[at], runs.hash(low, high, 0, shape), runs.hash(low, high, 1, shape), at - base, high - base)
+            names = ("h", "c", "d", "p", "e")
+            found = [dict(zip(names, x)) for x in zip(*(c.tolist() for c in columns))]
+            cut = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+            return ([found[a:b] for a, b in zip(cut[:-1], cut[1:])],)
 
         return work
 
-    return widen(df, "text", "hashes binary, words binary, prints array<struct<h: long, u: int>>", make, ["id", "k"])
+    return widen(df, "text", "prints array<struct<h: long, c: long, d: long, p: int, e: int>>", make, ["id", "k"])
 
 
 def _windows(marked: DataFrame, least: int) -> DataFrame:
-    """Rows (w, id, k, first, last) for the shortest windows both ways that hold a marked unit."""
-    out = marked.select("id", "k").schema.add("w", "long").add("first", "integer").add("last", "integer")
+    """Rows (id, k, w, x, first): each run of ``least`` words that holds a line beginning at one of ``points``."""
+    out = marked.select("id", "k").schema.add("w", "long").add("x", "long").add("first", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "hashes"):
-                hashes = np.frombuffer(b"".join(part.column("hashes").to_pylist()), "<u8").astype(np.uint64)
-                words = np.frombuffer(b"".join(part.column("words").to_pylist()), "<u4").astype(np.int64)
-                n = pc.binary_length(part.column("words")).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-                edge = np.concatenate(([0], np.cumsum(n)))
-                row = np.repeat(np.arange(len(n)), n)
-                to, since = windows(words, edge[:-1][row], edge[1:][row], least)
-                units = part.column("units")
-                of = np.repeat(edge[:-1], pc.list_value_length(units).to_numpy(zero_copy_only=False))
-                marks = np.zeros(len(words) + 1, np.int64)
-                marks[units.flatten().to_numpy(zero_copy_only=False) + of + 1] = 1
-                marks = np.cumsum(marks)
-                unit = np.arange(len(words))
-                pairs = np.concatenate((np.stack((unit, to), 1)[to >= 0], np.stack((since, unit), 1)[since >= 0]))
-                pairs = pairs[marks[pairs[:, 1] + 1] > marks[pairs[:, 0]]]
-                first, last = np.divmod(np.unique(pairs[:, 0] * (len(words) + 1) + pairs[:, 1]), len(words) + 1)
-                key = np.zeros(len(first), np.uint64)
-                for step in range(int((last - first).max()) + 1 if len(first) else 0):
-                    live = first + step <= last
-                    key[live] = mix(key[live] * np.uint64(0x9E3779B97F4A7C15) + hashes[first[live] + step])
-                mine = row[first] if len(first) else first
-                at = pa.array(mine)
-                base = edge[:-1][mine]
-                columns = [part.column("id").take(at), part.column("k").take(at), pa.array(key.view(np.int64))]
-                spans = [pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, *spans], names=out.names)
-
-    return marked.select("id", "k", "hashes", "words", "units").mapInArrow(run, out)
+            for part in slices(batch, "text"):
+                runs = Runs(values(part.column("text")))
+                points = part.column("points")
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(points).to_numpy(zero_copy_only=False))
+                at = points.flatten().to_numpy(zero_copy_only=False) + runs.edge[row]
+                first = (at[:, None] - np.arange(least - LINE + 1)).ravel()
+                row = np.repeat(row, least - LINE + 1)
+                first = np.unique(first[(first >= runs.edge[row]) & (first + least <= runs.edge[row + 1])])
+                row = np.searchsorted(runs.edge, first, side="right") - 1
+                place = pa.array(row)
+                hashes = [pa.array(runs.hash(first, first + least, which)) for which in (0, 1)]
+                columns = [part.column("id").take(place), part.column("k").take(place), *hashes]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array((first - runs.edge[row]).astype(np.int32))], names=out.names)
+        release()
+
+    return marked.select("id", "k", "text", "points").mapInArrow(run, out)
 
 
 def keep(text: str, runs: list[list[int]]) -> tuple[str, int]:
-    """``text`` without the units of ``runs`` (numbers of non-blank units, both ends included), and the words cut out."""
-    units = cut(text)
-    solid = [i for i, u in enumerate(units) if u.strip()]
-    gone: set[int] = set()
+    """``text`` without the words of ``runs`` (numbers of words, both ends included, in order), and how many were cut out.
+
+    White space on both sides of a cut becomes a line end if one stood there or in what was cut, else one space.
+    """
+    spans = [m.span() for m in WORD.finditer(text)]
+    out, at = "", 0
     for a, b in runs:
-        gone.update(range(solid[a], solid[b] + 1))
-    between = "".join(text[end - 1 : end] for end in accumulate(len(u) + 1 for u in units))
-    left = [i for i in range(len(units)) if i not in gone]
-    out: list[str] = []
-    for i, after in zip(left, left[1:]):
-        out.append(units[i])
-        out.append(between[i] if after == i + 1 else "\n" if "\n" in between[i:after] else " ")
-    out += [units[i] for i in left[-1:]]
-    return "".join(out).strip("\n"), sum(units[i].strip().count(" ") + 1 for i in gone if units[i].strip())
+        out += text[at : spans[a][0]]
+        before = out.rstrip(SPACE)
+        gap = out[len(before) :] + text[spans[a][0] : spans[b][1]]
+        at = spans[b + 1][0] if b + 1 < len(spans) else len(text)
+        gap += text[spans[b][1] : at]
+        out = before + ("\n" if "\n" in gap else " ") if before and at < len(text) else before
+    return out + text[at:], sum(b - a + 1 for a, b in runs)
 
 
 def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least: int = 25) -> DataFrame:
-    """``df`` with later repeated runs of lines cut out of ``text``, plus ``removed_words`` and ``removed_runs``.
-
-    A unit is a line, or a sentence of it; units compare by their lower-cased text without white
-    space around, and a unit has one word more than it has spaces. A run of
-    consecutive units (blank ones aside) of at least ``least`` words that stands earlier, in this
-    document or one before it in the order of ``id``, is deleted; its first occurrence stays, and a
-    run does not count as the repeat of one that it overlaps. Shorter repeats stay.
-
-    Fingerprints are the smallest unit hashes of all shortest windows of ``least`` words, so equal
-    runs share one. Documents with a repeated fingerprint extend around it both ways to the shortest
-    windows that hold it; a window that has an earlier equal is deleted, and these windows cover
-    exactly the repeated runs. A unit or a window met many times is one row when first occurrences
-    are looked for (added up before the shuffle), and the joins that spread them can be split.
-
-    A null text stays null, an empty one empty, with nothing removed. Rows equal in id and text are
-    one document and get the same result. Null ids come first. Columns of ``df`` called
-    removed_words and removed_runs are replaced; all others are carried along.
+    """``df`` with later repeated runs of words cut out of ``text``, plus ``removed_words`` and ``removed_runs``.
+
+    Words are what stands between ASCII white space, lower-cased. A run of ``least`` words (at least ``LINE``) whose first
+    occurrence in the table, in the order of ``id``, does not overlap it is deleted; longer runs are
+    covered by such ones. So a passage goes wherever it begins and ends, its first occurrence stays,
+    and shorter repeats stay. A run does not count as the repeat of one that it overlaps.
+
+    Lines of ``LINE`` words begin at every word. The smallest line hash of each run of ``least`` words
+    is a fingerprint, so equal runs share one. Around a repeated fingerprint a match is extended both
+    ways to all words that such a run can reach: where those are repeated too they are deleted at
+    once, and where they differ (at the ends of a passage) each run of ``least`` words is compared by
+    itself. Both decisions take 128 bits of hashes. Repeats are found and their first places looked up by
+    aggregates that add up before the shuffle; the joins that spread the first places can be split.
+
+    A null text stays null, an empty one empty, with nothing removed; a long one is one row of numbers while it is
+    measured. Rows equal in id and text are one document and get the same result. Null ids come
+    first. Columns of ``df`` called removed_words and removed_runs are replaced; all others are carried along.
     """
+    if least < LINE:
+        raise ValueError(f"least must be {LINE} words or more")
     key = F.xxhash64(F.col(id), F.col(text))
     source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), key.alias("k"))
     docs = settle(_measure(source, least).where(F.size("prints") > 0), "line-hashes")
-    prints = docs.select("id", "k", F.explode("prints").alias("p")).select("id", "k", "p.h", "p.u")
-    # Rows equal in id and text are one document. Plain numbers add up without sorting, so they find
-    # what is repeated; first occurrences are looked for among those rows alone.
-    def repeated(rows: DataFrame, key: str, place: str) -> DataFrame:
-        ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("k", place) for f in (F.min, F.max)]
-        twice = (F.col("min_k") != F.col("max_k")) | (F.col(f"min_{place}") != F.col(f"max_{place}"))
-        return settle(rows.groupBy(key).agg(*ends).where(twice).select(key), "line-repeated")
-
-    units = prints.join(repeated(prints, "h", "u"), "h", "left_semi").groupBy("k").agg(F.collect_set("u").alias("units"))
-    near = settle(_windows(docs.dropDuplicates(["k"]).join(units, "k"), least), "line-windows")
-    near = settle(near.join(repeated(near, "w", "first"), "w", "left_semi"), "line-windows")
-    firsts = near.groupBy("w").agg(F.min(F.struct("id", "k", "first", "last")).alias("a"))
-    firsts = settle(firsts.select("w", F.col("a.k").alias("k1"), F.col("a.first").alias("first1"), F.col("a.last").alias("last1")), "line-firsts")
-    later = near.join(firsts, "w").where((F.col("k") != F.col("k1")) | (F.col("first") > F.col("last1")))
+    prints = docs.select("id", "k", F.inline("prints"))
+
+    def ends(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+        """Keys met at more than one place, with the first; rows equal in id and text are one document."""
+        at = F.struct("id", "k", place)
+        both = rows.groupBy(*keys).agg(F.min(at).alias("a"), F.max(at).alias("z"))
+        found = both.where(~F.col("a").eqNullSafe(F.col("z")))
+        return found.select(*keys, F.col("a.id").alias("id1"), F.col("a.k").alias("k1"), F.col(f"a.{place}").alias("at1"))
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        """Fingerprints met at more than one place; plain numbers add up without sorting."""
+        twice = (F.col("k0") != F.col("k1")) | (F.col("p0") != F.col("p1"))
+        added = rows.groupBy("h").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("p").alias("p0"), F.max("p").alias("p1"))
+        return rows.join(settle(added.where(twice).select("h"), "line-repeated"), "h", "left_semi")
+
+    def apart(place: str, width) -> F.Column:
+        other = (F.col("k") != F.col("k1")) | ~F.col("id").eqNullSafe(F.col("id1"))
+        return F.col("k1").isNotNull() & (other | (F.col(place) - F.col("at1") >= width))
+
+    near = settle(repeated(prints), "line-near")
+    low = F.greatest(F.col("p") - (least - LINE), F.lit(0))
+    firsts = settle(ends(near, ["c", "d"], "p"), "line-firsts")
+    judged = near.join(firsts, ["c", "d"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
+    judged = settle(judged, "line-judged")
+    points = repeated(judged.where(~F.col("later"))).groupBy("id", "k").agg(F.collect_set("p").alias("points"))
+
+    def same(left: DataFrame, right: DataFrame) -> F.Column:
+        return (left["k"] == right["k"]) & left["id"].eqNullSafe(right["id"])
+
+    points = settle(points, "line-points")
+    marked = source.join(points, same(source, points)).select(source["id"], source["k"], "text", "points")
+    runs = settle(_windows(marked, least), "line-windows")
+    later = runs.join(settle(ends(runs, ["w", "x"], "first"), "line-firsts"), ["w", "x"]).where(apart("first", F.lit(least)))
+    covered = judged.where("later").select("id", "k", "first", (F.col("e") - 1).alias("last"))
+    cuts = covered.unionByName(later.select("id", "k", "first", (F.col("first") + (least - 1)).alias("last")))
+
     kept = df.drop("removed_words", "removed_runs")
-    k, runs = free(df, "k"), free(df, "runs")
-    found = later.groupBy("k").agg(F.collect_set(F.struct("first", "last")).alias(runs)).withColumnRenamed("k", k)
-    joined = kept.withColumn(k, key).join(found, k, "left").drop(k)
-    return _delete(joined, text, runs).select(*kept.columns, "removed_words", "removed_runs")
+    k, i, spans, own = free(df, "k"), free(df, "i"), free(df, "spans"), free(df, "own")
+    found = cuts.groupBy(F.col("id").alias(i), F.col("k").alias(k)).agg(F.collect_set(F.struct("first", "last")).alias(spans))
+    joined = kept.withColumn(own, key).join(found, (F.col(own) == F.col(k)) & F.col(id).eqNullSafe(F.col(i)), "left").drop(own, k, i)
+    return _delete(joined, text, spans).select(*kept.columns, "removed_words", "removed_runs")
 
 
 def _delete(joined: DataFrame, text: str, runs: str) -> DataFrame:

@@ -22,12 +22,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def coded(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def coded(texts: Sequence[str | None], table: bytes | None = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct lower-cased words, all words in a row as places among them, and where each text's words begin.
 
-    The last array has one more entry for the end.
+    The last array has one more entry for the end. ``table`` says which byte stands for each; with None words are
+    parted by white space alone.
     """
-    folded = [t.lower().encode().translate(SPACED) if t else b"" for t in texts]
+    folded = [t.lower().encode().translate(table) if t else b"" for t in texts]
     lists = pc.ascii_split_whitespace(pa.array(folded, pa.binary()).cast(pa.string()))
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     words = lists.flatten().dictionary_encode()
