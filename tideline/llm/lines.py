@@ -67,7 +67,7 @@ def fingerprints(runs: Runs, least: int, line: int = LINE) -> tuple[np.ndarray,
 
 
 def _measure(df: DataFrame, least: int) -> DataFrame:
-    """Per document (``id``, ``k``): its fingerprints ``h`` at word ``p``, with two hashes of the words around.
+    """Per document (``id``, ``k``): its fingerprints ``h`` at word ``p``, with a hash ``c`` of the words around.
 
     Those words, from ``p - (least - LINE)`` to before ``e``, hold every run of ``least`` words with the line in it.
     """
@@ -80,15 +80,15 @@ def _measure(df: DataFrame, least: int) -> DataFrame:
             base = runs.edge[row]
             low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
             shape = (at - low) * (2 * least) + (high - low)
-            columns = (hashes[at], runs.hash(low, high, 0, shape), runs.hash(low, high, 1, shape), at - base, high - base)
-            names = ("h", "c", "d", "p", "e")
+            columns = (hashes[at], runs.hash(low, high, 1, shape), at - base, high - base)
+            names = ("h", "c", "p", "e")
             found = [dict(zip(names, x)) for x in zip(*(c.tolist() for c in columns))]
             cut = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
             return ([found[a:b] for a, b in zip(cut[:-1], cut[1:])],)
 
         return work
 
-    return widen(df, "text", "prints array<struct<h: long, c: long, d: long, p: int, e: int>>", make, ["id", "k"])
+    return widen(df, "text", "prints array<struct<h: long, c: long, p: int, e: int>>", make, ["id", "k"])
 
 
 def _windows(marked: DataFrame, least: int) -> DataFrame:
@@ -144,7 +144,7 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
     is a fingerprint, so equal runs share one. Around a repeated fingerprint a match is extended both
     ways to all words that such a run can reach: where those are repeated too they are deleted at
     once, and where they differ (at the ends of a passage) each run of ``least`` words is compared by
-    itself. Both decisions take 128 bits of hashes. Repeats are found and their first places looked up by
+    itself. A match takes 128 bits: hashes of the line and of the words around it, or two of a run. Repeats are found and their first places looked up by
     aggregates that add up before the shuffle; the joins that spread the first places can be split.
 
     A null text stays null, an empty one empty, with nothing removed; a long one is one row of numbers while it is
@@ -158,37 +158,34 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
     docs = settle(_measure(source, least).where(F.size("prints") > 0), "line-hashes")
     prints = docs.select("id", "k", F.inline("prints"))
 
+    # Rows equal in id and text count as repeats here; they are no places apart, so nothing of theirs is cut.
     def ends(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
-        """Keys met at more than one place, with the first; rows equal in id and text are one document."""
-        at = F.struct("id", "k", place)
-        both = rows.groupBy(*keys).agg(F.min(at).alias("a"), F.max(at).alias("z"))
-        found = both.where(~F.col("a").eqNullSafe(F.col("z")))
-        return found.select(*keys, F.col("a.id").alias("id1"), F.col("a.k").alias("k1"), F.col(f"a.{place}").alias("at1"))
-
-    def repeated(rows: DataFrame) -> DataFrame:
-        """Fingerprints met at more than one place; plain numbers add up without sorting."""
-        twice = (F.col("k0") != F.col("k1")) | (F.col("p0") != F.col("p1"))
-        added = rows.groupBy("h").agg(F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("p").alias("p0"), F.max("p").alias("p1"))
-        return rows.join(settle(added.where(twice).select("h"), "line-repeated"), "h", "left_semi")
+        """Keys met more than once, with their first place."""
+        found = rows.groupBy(*keys).agg(F.min(F.struct("id", "k", place)).alias("a"), F.count("*").alias("n")).where("n > 1")
+        found = found.select(*keys, F.col("a.id").alias("id1"), F.col("a.k").alias("k1"), F.col(f"a.{place}").alias("at1"))
+        return settle(found, "line-firsts")
+
+    def repeated(rows: DataFrame, name: str) -> DataFrame:
+        """Rows whose ``name`` is met more than once; plain numbers add up without sorting."""
+        return rows.join(settle(rows.groupBy(name).count().where("count > 1").select(name), "line-repeated"), name, "left_semi")
 
     def apart(place: str, width) -> F.Column:
         other = (F.col("k") != F.col("k1")) | ~F.col("id").eqNullSafe(F.col("id1"))
         return F.col("k1").isNotNull() & (other | (F.col(place) - F.col("at1") >= width))
 
-    near = settle(repeated(prints), "line-near")
+    near = settle(repeated(prints, "h"), "line-near")
     low = F.greatest(F.col("p") - (least - LINE), F.lit(0))
-    firsts = settle(ends(near, ["c", "d"], "p"), "line-firsts")
-    judged = near.join(firsts, ["c", "d"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
+    judged = near.join(ends(near, ["h", "c"], "p"), ["h", "c"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
     judged = settle(judged, "line-judged")
-    points = repeated(judged.where(~F.col("later"))).groupBy("id", "k").agg(F.collect_set("p").alias("points"))
+    points = repeated(judged.where(~F.col("later")), "h").groupBy("id", "k").agg(F.collect_set("p").alias("points"))
 
     def same(left: DataFrame, right: DataFrame) -> F.Column:
         return (left["k"] == right["k"]) & left["id"].eqNullSafe(right["id"])
 
     points = settle(points, "line-points")
     marked = source.join(points, same(source, points)).select(source["id"], source["k"], "text", "points")
-    runs = settle(_windows(marked, least), "line-windows")
-    later = runs.join(settle(ends(runs, ["w", "x"], "first"), "line-firsts"), ["w", "x"]).where(apart("first", F.lit(least)))
+    runs = settle(repeated(settle(_windows(marked, least), "line-windows"), "w"), "line-windows")
+    later = runs.join(ends(runs, ["w", "x"], "first"), ["w", "x"]).where(apart("first", F.lit(least)))
     covered = judged.where("later").select("id", "k", "first", (F.col("e") - 1).alias("last"))
     cuts = covered.unionByName(later.select("id", "k", "first", (F.col("first") + (least - 1)).alias("last")))
 
