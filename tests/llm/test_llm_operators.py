@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import time
 import zlib
@@ -277,6 +278,31 @@ def test_chunks_cover_the_text_and_gradients_are_right():
         assert grad[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-4)
 
 
+def test_quality_score_equals_a_naive_network():
+    shape = quality.Shape(chunk=16, overlap=4, width=3, filters=3, hidden=4)
+    net = quality.Network(shape)
+    p = {k: v.astype(float) for k, v in net.params.items()}
+    for text in (b"", b"short", b"A longer text of several chunks, read to its end."):
+        step, hidden = shape.chunk - shape.overlap, []
+        for at in range(0, max(1, len(text) - shape.overlap), step):
+            piece = text[at : at + shape.chunk].ljust(shape.chunk, b"\0")
+            top = [max(sum(p["filters"][j, piece[i + j], f] for j in range(3)) for i in range(14)) for f in range(3)]
+            hidden.append([max(0.0, sum(top[f] * p["w1"][f, n] for f in range(3)) + p["b1"][n]) for n in range(4)])
+        both = [sum(h[n] for h in hidden) / len(hidden) for n in range(4)] + [max(h[n] for h in hidden) for n in range(4)]
+        want = 1 / (1 + math.exp(-sum(x * w for x, w in zip(both, p["w2"])) - p["b2"][0]))
+        chunks = quality.chunks_of(text, shape)
+        assert net.score(chunks, np.array([len(chunks)]))[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_quality_trains_with_all_chunks_of_a_text(spark):
+    shape = quality.Shape(chunk=16, overlap=4, width=3, filters=3, hidden=4)
+    texts = ["x" * 5_000 + "END", None, ""]
+    rows = spark.createDataFrame([(t, n % 2) for n, t in enumerate(texts)], "text string, quality int")
+    got = quality._training_chunks(rows, "text", "quality", shape)
+    assert sorted(len(c) for c, _ in got) == sorted(len(quality.chunks_of((t or "").encode(), shape)) for t in texts)
+    assert any(b"END" in c.tobytes() for c, _ in got)
+
+
 # --- line dedup --------------------------------------------------------------------------------
 
 

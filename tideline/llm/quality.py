@@ -123,20 +123,11 @@ def fit(network: Network, samples: Sequence[tuple[np.ndarray, int]], epochs: int
     return network
 
 
-def _training_chunks(labelled: DataFrame, text: str, label: str, shape: Shape, each: int) -> list[tuple[np.ndarray, int]]:
-    """Up to ``each`` chunks of every row, evenly spaced over its whole text, on the driver."""
+def _training_chunks(labelled: DataFrame, text: str, label: str, shape: Shape) -> list[tuple[np.ndarray, int]]:
+    """All chunks of every row, on the driver."""
 
     def make():
-        def work(texts):
-            out = []
-            for t in texts:
-                chunks = chunks_of(t or b"", shape)
-                if len(chunks) > each:
-                    chunks = chunks[np.linspace(0, len(chunks) - 1, each).astype(int)]
-                out.append(chunks.tobytes())
-            return (out,)
-
-        return work
+        return lambda texts: ([chunks_of(t or b"", shape).tobytes() for t in texts],)
 
     rows = widen(labelled.select(text, F.col(label).cast("int").alias("y")), text, "x binary", make, ["y"], as_bytes=True).collect()
     return sorted(((np.frombuffer(x, np.uint8).reshape(-1, shape.chunk), y) for y, x in rows), key=lambda s: (s[1], s[0].tobytes()))
@@ -149,22 +140,23 @@ def learn(
     label: str = "quality",
     order: str | Column = "doc_id",
     sample_docs: int = 2000,
-    chunks_each: int = 12,
+    sample_bytes: int = 16 << 20,
     epochs: int = 12,
     shape: Shape = Shape(),
 ) -> Network | None:
     """A network fitted to about ``sample_docs`` rows with a label, picked by a hash of ``order``.
 
-    The rate comes from a count of all labelled rows. Of each picked row at most ``chunks_each``
-    chunks of its whole text train the filters, so at most ``sample_docs * chunks_each`` chunks reach
-    the driver. None if no row is labelled.
+    The rate comes from the number and the bytes of all labelled rows: about ``sample_docs`` rows and no more than about
+    ``sample_bytes`` bytes of text. A picked row trains with its whole text, a very long one too. None if no row is
+    labelled; null and empty texts are one chunk of padding.
     """
     known = labelled.where(F.col(label).isNotNull())
-    size = known.count()
+    size, total = known.agg(F.count("*"), F.sum(F.octet_length(F.col(text).cast("string")))).first()
     if not size:
         return None
     place = F.pmod(F.xxhash64(F.lit("quality"), order), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    samples = _training_chunks(known.where(place < min(1.0, sample_docs / size)), text, label, shape, chunks_each)
+    rate = min(1.0, sample_docs / size, sample_bytes / (total or 1))
+    samples = _training_chunks(known.where(place < rate), text, label, shape)
     return fit(Network(shape), samples, epochs=epochs) if samples else None
 
 
