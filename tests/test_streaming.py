@@ -208,3 +208,20 @@ def test_watermark_of_two_inputs_waits_for_the_silent_one_unless_it_is_idle(spar
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "event_id bigint, slice bigint, s bigint, channel string")
     found = watermarks_of_two(spark, df.withColumn("ts", F.timestamp_seconds("s")), idle_aware).orderBy("slice")
     assert [r["wm_us"] and r["wm_us"] // US for r in found.collect()] == want
+
+
+def timers_of_400_keys(spark, build):
+    """How many timers the first slice sets."""
+    df = spark.range(400).select(
+        F.col("id").alias("event_id"), F.lit(0).cast("bigint").alias("slice"), F.timestamp_seconds(LATER + F.col("id") % 50).alias("ts"),
+        F.concat(F.lit("k"), "id").alias("key"), F.lit(1.0).alias("value"), F.col("id").alias("arrival_us"), (F.col("id") % 2 == 0).alias("click"),
+    )
+    feed = SliceFeed(df, {**MARK, "click": True}, horizon_s=10_000)
+    base = shared_dir(spark, "shards")
+    query = start_to_files(build(feed.stream()), f"{base}/out", f"{base}/checkpoint", 2)
+    feed.play(query, feed.slices[:1])
+    return sum(o.customMetrics["numRegisteredTimers"] for p in query.recentProgress for o in p.stateOperators)
+
+
+def test_timeout_join_calls_the_state_for_shards_of_keys(spark):
+    assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_join_with_timeout(s, "key", F.col("click"), 1_000, 10)) <= 64

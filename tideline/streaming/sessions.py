@@ -13,11 +13,11 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegralType, LongType, StringType, StructType
 
 from tideline.functions.numeric import US
 from tideline.streaming.accounting import added_up
@@ -41,8 +41,50 @@ def _rearm(handle: StatefulProcessorHandle, armed, due_us: int | None) -> None:
 _PARTIAL = "start_us bigint, last_us bigint, events bigint, firsts string"
 
 
+_BLOB = "data binary"
+
+
+def _packed(rows: pd.DataFrame) -> tuple[bytes]:
+    """Rows as one state value, in Arrow's own format."""
+    table = pa.Table.from_pandas(rows, preserve_index=False).replace_schema_metadata(None)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpacked(value: tuple) -> pd.DataFrame:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(value[0]))).read_pandas()
+
+
+def _codes(rows: pd.DataFrame) -> np.ndarray:
+    """A number for each key; the missing key is one of its own."""
+    return pd.factorize(rows["k"], use_na_sentinel=False)[0] * 2 + rows["no_k"].to_numpy(dtype=bool)
+
+
+def plain(column: Column, dtype: DataType, name: str) -> list[Column]:
+    """``column`` without NULLs and ``no_<name>``, which says where they were, so that pandas keeps large integers."""
+    start = {"string": "", "binary": "", "boolean": "false", "date": "1970-01-01", "timestamp": "1970-01-01"}
+    blank = F.lit(start.get(dtype.simpleString().removesuffix("_ntz"), "0")).cast(dtype)
+    return [F.coalesce(column, blank).alias(name), column.isNull().alias(f"no_{name}")]
+
+
+def whole(name: str, as_name: str) -> Column:
+    return F.when(~F.col(f"no_{name}"), F.col(name)).alias(as_name)
+
+
+def _floor_div(us: str, width_us: int) -> Column:
+    return F.expr(f"({us} - pmod({us}, {width_us}L)) div {width_us}L")
+
+
+def _shard(shards: int) -> Column:
+    """Keys travel and are kept in ``shards`` groups: a task then works on the columns of many keys at once
+    and calls the state a few times for all of them."""
+    return F.pmod(F.xxhash64("k", "no_k"), F.lit(shards)).alias("shard")
+
+
 def _as_pandas(rows: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType) -> DataFrame:
-    """``fn`` over each Arrow batch. Integers stay integers where some are NULL, so large keys keep all their digits."""
+    """``fn`` over each Arrow batch. Integers stay integers where some are NULL, so large ones keep all their digits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
@@ -232,83 +274,103 @@ class TimeoutJoinProcessor(StatefulProcessor):
     """Each left row with the first right row in its timeout, or unmatched when the timeout is over.
 
     Left rows wait until then; right rows are kept while a left row, waiting or still to come, can
-    need them."""
+    need them. Rows of the keys of a shard are appended to the state as they come and read again
+    when a timeout is over."""
 
-    def __init__(self, key: str, key_type: str, timeout_s: int):
-        self._key = key
+    output = "k {}, no_k boolean, id bigint, no_id boolean, matched_us bigint, matched boolean"
+
+    def __init__(self, timeout_s: int):
         self._timeout = timeout_s * US
-        self.output = f"{key} {key_type}, id bigint, matched_us bigint, matched boolean"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._left = handle.getListState("left", "ts_us bigint, id bigint")
-        self._right = handle.getListState("right", "ts_us bigint")
+        self._rows = handle.getListState("rows", _BLOB)
+        self._marks = handle.getValueState("marks", "first_left bigint, last_right bigint")
         self._armed = handle.getValueState("armed", "at_ms bigint")
 
-    def _resolve(self, key: tuple, left: list[tuple], right: list[int], wm_us: int) -> Iterator[Row]:
-        left, right = sorted(left), sorted(right)
-        waiting, i = [], 0
-        for ts_us, row_id in left:
-            if ts_us + self._timeout >= wm_us:
-                waiting.append((ts_us, row_id))
-                continue
-            while i < len(right) and right[i] < ts_us:
-                i += 1
-            hit = right[i] if i < len(right) and right[i] <= ts_us + self._timeout else None
-            yield Row(**{self._key: key[0], "id": row_id, "matched_us": hit, "matched": hit is not None})
-        needed_from = min([wm_us, *[t for t, _ in waiting]])
-        self._left.clear()
-        self._right.clear()
-        if waiting:
-            self._left.put(waiting)
-        kept = [(t,) for t in right if t >= needed_from]
-        if kept:
-            self._right.put(kept)
-        due = [waiting[0][0] + self._timeout] if waiting else [t for (t,) in kept[-1:]]
-        _rearm(self._handle, self._armed, due[0] if due else None)
-
-    def _stored(self) -> tuple[list[tuple], list[int]]:
-        left = list(self._left.get()) if self._left.exists() else []
-        right = [t for (t,) in self._right.get()] if self._right.exists() else []
-        return left, right
+    @staticmethod
+    def _marks_of(rows: pd.DataFrame) -> tuple[int | None, int | None]:
+        left, right = rows.loc[rows["is_left"], "t"], rows.loc[~rows["is_left"], "t"]
+        return int(left.min()) if len(left) else None, int(right.max()) if len(right) else None
+
+    def _mark(self, first_left: int | None, last_right: int | None) -> None:
+        if first_left is None and last_right is None:
+            self._marks.clear()
+            _rearm(self._handle, self._armed, None)
+        else:
+            self._marks.update((first_left, last_right))
+            _rearm(self._handle, self._armed, last_right if first_left is None else first_left + self._timeout)
+
+    def _resolve(self, rows: pd.DataFrame, wm_us: int) -> Iterator[pd.DataFrame]:
+        codes, t, is_left = _codes(rows), rows["t"].to_numpy(), rows["is_left"].to_numpy(dtype=bool)
+        # At equal times a right row follows the left ones, which it matches.
+        order = np.lexsort((~is_left, t, codes))
+        rows, codes, t, is_left = rows.iloc[order], codes[order], t[order], is_left[order]
+        places = np.where(is_left, len(rows) - 1, np.arange(len(rows)))
+        following = np.minimum.accumulate(places[::-1])[::-1]
+        matched = ~is_left[following] & (codes[following] == codes) & (t[following] <= t + self._timeout)
+        due = is_left & (t + self._timeout < wm_us)
+        waiting = is_left & ~due
+        needed_from = min(wm_us, int(t[waiting].min())) if waiting.any() else wm_us
+        kept = rows[waiting | (~is_left & (t >= needed_from))]
+        if len(kept):
+            self._rows.put([_packed(kept)])
+        else:
+            self._rows.clear()
+        self._mark(*self._marks_of(kept))
+        if due.any():
+            yield rows.loc[due, ["k", "no_k", "id", "no_id"]].assign(matched_us=t[following][due], matched=matched[due])
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        new = pd.concat(rows, ignore_index=True)[["k", "no_k", "t", "id", "no_id", "is_left"]]
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1_000
+        first_left, last_right = self._marks_of(new)
+        if self._marks.exists():
+            known_left, known_right = self._marks.get()
+            first_left = min((m for m in (first_left, known_left) if m is not None), default=None)
+            last_right = max((m for m in (last_right, known_right) if m is not None), default=None)
+        if first_left is not None and first_left + self._timeout < wm_us:
+            yield from self._resolve(pd.concat([*self._stored(), new], ignore_index=True), wm_us)
+        else:
+            self._rows.appendValue(_packed(new))
+            self._mark(first_left, last_right)
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        left, right = self._stored()
-        for r in rows:
-            if r["is_left"]:
-                left.append((r["ts_us"], r["id"]))
-            else:
-                right.append(r["ts_us"])
-        yield from self._resolve(key, left, right, timerValues.getCurrentWatermarkInMs() * 1_000)
+    def _stored(self) -> list[pd.DataFrame]:
+        return [_unpacked(r) for r in self._rows.get()] if self._rows.exists() else []
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self._armed.clear()
-        left, right = self._stored()
-        yield from self._resolve(key, left, right, timerValues.getCurrentWatermarkInMs() * 1_000)
+        stored = self._stored()
+        if stored:
+            yield from self._resolve(pd.concat(stored, ignore_index=True), timerValues.getCurrentWatermarkInMs() * 1_000)
 
     def close(self) -> None:
         pass
 
 
 def stream_join_with_timeout(
-    stream: DataFrame, key: str, is_left, timeout_s: int, delay_s: int, row_id: str = "event_id"
+    stream: DataFrame, key: str, is_left, timeout_s: int, delay_s: int, row_id: str = "event_id", shards: int = 32
 ) -> DataFrame:
     """``stream`` holds both sides; ``is_left`` is a boolean column telling them apart.
 
     A key is spread over buckets of ``timeout_s``: a left row lies in its own, a right row goes to its
-    own and the one before, which hold all left rows it can match. State of a bucket ends with it.
+    own and the one before, which hold all left rows it can match. A state key is a shard of keys and a
+    bucket, and ends with the bucket.
     """
-    bucket = F.floor(F.unix_micros("ts") / (timeout_s * US)).cast("bigint")
-    rows = stream.select(
-        key, "ts", F.unix_micros("ts").alias("ts_us"), F.col(row_id).alias("id"), is_left.alias("is_left"),
-        F.explode(F.when(is_left, F.array(bucket)).otherwise(F.array(bucket - 1, bucket))).alias("bucket"),
+    key_type = stream.schema[key].dataType
+    bucket = _floor_div("t", timeout_s * US)
+    rows = stream.where(F.col("ts").isNotNull()).select(
+        *plain(F.col(key), key_type, "k"), "ts", F.unix_micros("ts").alias("t"),
+        *plain(F.col(row_id).cast("bigint"), LongType(), "id"), F.coalesce(is_left, F.lit(False)).alias("is_left"),
     )
-    processor = TimeoutJoinProcessor(key, stream.schema[key].dataType.simpleString(), timeout_s)
+    rows = rows.select("*", F.explode(F.when(F.col("is_left"), F.array(bucket)).otherwise(F.array(bucket - 1, bucket))).alias("bucket"))
+    processor = TimeoutJoinProcessor(timeout_s)
     return (
         rows.withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key, "bucket")
-        .transformWithState(processor, processor.output, "append", "eventTime")
-        .withColumnRenamed("id", row_id)
+        .select(_shard(shards), "*")
+        .groupBy("shard", "bucket")
+        .transformWithStateInPandas(processor, processor.output.format(key_type.simpleString()), "append", "eventTime")
+        .select(whole("k", key), whole("id", row_id), F.when(F.col("matched"), F.col("matched_us")).alias("matched_us"), "matched")
     )
 
 
