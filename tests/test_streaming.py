@@ -225,3 +225,7 @@ def timers_of_400_keys(spark, build):
 
 def test_timeout_join_calls_the_state_for_shards_of_keys(spark):
     assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_join_with_timeout(s, "key", F.col("click"), 1_000, 10)) <= 64
+
+
+def test_sessions_call_the_state_for_shards_of_keys(spark):
+    assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_sessions(s, "key", 5, 4, 10)) <= 64

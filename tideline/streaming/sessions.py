@@ -6,7 +6,6 @@ event by the allowed delay, has passed everything that could still change it.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -38,9 +37,6 @@ def _rearm(handle: StatefulProcessorHandle, armed, due_us: int | None) -> None:
         armed.update((due_ms,))
 
 
-_PARTIAL = "start_us bigint, last_us bigint, events bigint, firsts string"
-
-
 _BLOB = "data binary"
 
 
@@ -96,119 +92,137 @@ def _as_pandas(rows: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sche
     return rows.mapInArrow(run, schema)
 
 
-def _partial_sessions(key: str, gap_us: int, sample: int):
-    """Fold the rows of each Arrow batch into partial sessions, before the shuffle."""
+def _merged_sessions(rows: pd.DataFrame, gap_us: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (k, no_k, t, id, last, n) in order, the first row of each session, its last time and its count.
+
+    A row stands for ``n`` rows from ``t`` to ``last``, so partial sessions merge by the rule for rows."""
+    ids = rows["id"].to_numpy()
+    if ids.dtype == object:
+        ids = pd.factorize(rows["id"], sort=True, use_na_sentinel=False)[0]
+    codes = _codes(rows)
+    order = np.lexsort((ids, rows["t"].to_numpy(), codes))
+    rows, codes = rows.iloc[order], codes[order]
+    t = rows["t"].to_numpy()
+    reach = rows["last"].groupby(codes).cummax().to_numpy()
+    starts = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (t[1:] - reach[:-1] > gap_us)])
+    stops = np.r_[starts[1:], len(rows)]
+    return rows, starts, reach[stops - 1], np.add.reduceat(rows["n"].to_numpy(), starts)
+
+
+def _first_of(rows: pd.DataFrame, starts: np.ndarray, last: np.ndarray, n: np.ndarray, sample: int):
+    """The first ``sample`` rows of each session and the session each belongs to. Its first row stands for all of it."""
+    session = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(rows)]))
+    kept = np.arange(len(rows)) - starts[session] < sample
+    spans, counts = rows["t"].to_numpy().copy(), np.zeros(len(rows), dtype=np.int64)
+    spans[starts], counts[starts] = last, n
+    return rows.assign(last=spans, n=counts)[kept], session[kept]
+
+
+def _partial_sessions(gap_us: int, sample: int):
+    """Fold the rows of each Arrow batch into partial sessions of at most ``sample`` rows, before the shuffle."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([key, "ts_us", "id"])
-        ts, keys = rows["ts_us"].to_numpy(), rows[key].to_numpy()
-        # Sorting puts missing keys last; they are one key.
-        missing = pd.isna(keys)
-        opens = np.r_[True, ((keys[1:] != keys[:-1]) & ~(missing[1:] & missing[:-1])) | (ts[1:] - ts[:-1] > gap_us)]
-        starts = np.flatnonzero(opens)
-        stops = np.r_[starts[1:], len(rows)]
-        ids, values = rows["id"].tolist(), rows["value"].tolist()
-        firsts = [
-            json.dumps([(int(ts[i]), ids[i], values[i]) for i in range(a, min(b, a + sample))])
-            for a, b in zip(starts, stops)
-        ]
-        made = {
-            key: keys[starts],
-            "ts": rows["ts"].array[stops - 1],
-            "start_us": ts[starts],
-            "last_us": ts[stops - 1],
-            "events": stops - starts,
-            "firsts": firsts,
-        }
-        return pd.DataFrame(made)
+        merged, starts, last, n = _merged_sessions(rows.assign(last=rows["t"], n=1), gap_us)
+        ends = merged["ts"].array[np.r_[starts[1:], len(merged)] - 1]
+        first, session = _first_of(merged, starts, last, n, sample)
+        return first.assign(ts=ends[session], text=[str(v) for v in first["value"].tolist()])
 
     return run
 
 
 class SessionProcessor(StatefulProcessor):
-    """Sessions per key, from partial sessions. Each open session is an accumulator of fixed size: bounds,
-    row count and its first values. They merge when rows close the gap between them."""
+    """Sessions of the keys of a shard, from partial sessions. An open session is kept as an accumulator of
+    bounded size: its bounds, row count and first rows. They merge when rows close the gap between them."""
 
-    def __init__(self, key: str, key_type: str, gap_s: int, burst: int, sample: int = 5):
-        self._key = key
+    output = "k {}, no_k boolean, events bigint, ended_us bigint, sample_values string, flag string"
+
+    def __init__(self, gap_s: int, burst: int, sample: int = 5):
         self._gap = gap_s * US
         self._burst = burst
         self._sample = sample
-        self.output = f"{key} {key_type}, events bigint, ended_us bigint, sample_values string, flag string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._open = handle.getListState("open", _PARTIAL)
+        self._open = handle.getValueState("open", _BLOB)
         self._armed = handle.getValueState("armed", "at_ms bigint")
 
-    def _merge(self, sessions: list[list]) -> list[list]:
-        merged: list[list] = []
-        for s in sorted(sessions, key=lambda s: s[0]):
-            if merged and s[0] - merged[-1][1] <= self._gap:
-                into = merged[-1]
-                into[1] = max(into[1], s[1])
-                into[2] += s[2]
-                into[3] = sorted(into[3] + s[3])[: self._sample]
-            else:
-                merged.append(s)
-        return merged
-
-    def _close(self, key: tuple, sessions: list[list], wm_us: int) -> Iterator[Row]:
-        still_open = []
-        for start, last, events, firsts in sessions:
-            if last + self._gap < wm_us:
-                yield Row(
-                    **{
-                        self._key: key[0],
-                        "events": events,
-                        "ended_us": last,
-                        "sample_values": ",".join(str(v) for _, _, v in firsts),
-                        "flag": "BURST" if events >= self._burst else "ok",
-                    }
-                )
-            else:
-                still_open.append((start, last, events, json.dumps(firsts)))
-        self._open.clear()
-        due_us = None
-        if still_open:
-            self._open.put(still_open)
-            due_us = min(s[1] for s in still_open) + self._gap
-        _rearm(self._handle, self._armed, due_us)
-
-    @staticmethod
-    def _read(stored) -> list[list]:
-        return [[a, b, n, [tuple(f) for f in json.loads(firsts)]] for a, b, n, firsts in stored]
-
-    def _stored(self) -> list[list]:
-        return self._read(self._open.get()) if self._open.exists() else []
+    def _close(self, rows: list[pd.DataFrame], wm_us: int) -> Iterator[pd.DataFrame]:
+        if self._open.exists():
+            rows = [_unpacked(self._open.get()), *rows]
+        if not rows:
+            return
+        merged, starts, last, n = _merged_sessions(pd.concat(rows, ignore_index=True), self._gap)
+        first, session = _first_of(merged, starts, last, n, self._sample)
+        over = last + self._gap < wm_us
+        if over.all():
+            self._open.clear()
+        else:
+            self._open.update(_packed(first[~over[session]]))
+        _rearm(self._handle, self._armed, None if over.all() else int(last[~over].min()) + self._gap)
+        if over.any():
+            texts = first["text"].tolist()
+            ends = np.cumsum(np.bincount(session, minlength=len(starts)))
+            head = merged.iloc[starts[over]]
+            yield pd.DataFrame(
+                {
+                    "k": head["k"].array,
+                    "no_k": head["no_k"].array,
+                    "events": n[over],
+                    "ended_us": last[over],
+                    "sample_values": [",".join(texts[a:b]) for a, b in zip(np.r_[0, ends[:-1]][over], ends[over])],
+                    "flag": np.where(n[over] >= self._burst, "BURST", "ok"),
+                }
+            )
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        partial = self._read((r["start_us"], r["last_us"], r["events"], r["firsts"]) for r in rows)
-        sessions = self._merge(self._stored() + partial)
-        yield from self._close(key, sessions, timerValues.getCurrentWatermarkInMs() * 1_000)
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        new = [r[["k", "no_k", "t", "id", "text", "last", "n"]] for r in rows]
+        yield from self._close(new, timerValues.getCurrentWatermarkInMs() * 1_000)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         self._armed.clear()
-        yield from self._close(key, self._stored(), timerValues.getCurrentWatermarkInMs() * 1_000)
+        yield from self._close([], timerValues.getCurrentWatermarkInMs() * 1_000)
 
     def close(self) -> None:
         pass
 
 
+def _last_id(column: Column, dtype: DataType) -> Column:
+    """Ids for ordering, missing ones last."""
+    if isinstance(dtype, IntegralType):
+        return F.coalesce(column.cast("bigint"), F.lit((1 << 63) - 1))
+    return F.coalesce(column, F.lit("\U0010ffff")) if isinstance(dtype, StringType) else column
+
+
 def stream_sessions(
-    stream: DataFrame, key: str, gap_s: int, burst: int, delay_s: int, value: str = "value", row_id: str = "event_id"
+    stream: DataFrame,
+    key: str,
+    gap_s: int,
+    burst: int,
+    delay_s: int,
+    value: str = "value",
+    row_id: str = "event_id",
+    shards: int = 64,
 ) -> DataFrame:
-    rows = stream.select(
-        key, "ts", F.unix_micros("ts").alias("ts_us"), F.col(row_id).alias("id"), F.col(value).alias("value")
+    """Sessions per key: row count, last event time, first five values, ``BURST`` or ``ok``.
+
+    ``shards`` should be a few times the number of state partitions; a checkpoint fixes it. The open sessions
+    of a shard are read and written once for each micro-batch that brings it rows or ends one of them.
+    """
+    key_type = stream.schema[key].dataType
+    rows = stream.where(F.col("ts").isNotNull()).select(
+        *plain(F.col(key), key_type, "k"), "ts", F.unix_micros("ts").alias("t"),
+        _last_id(F.col(row_id), stream.schema[row_id].dataType).alias("id"), F.col(value).alias("value"),
     )
-    key_type = stream.schema[key].dataType.simpleString()
-    processor = SessionProcessor(key, key_type, gap_s, burst)
-    schema = StructType([rows.schema[key], rows.schema["ts"]] + StructType.fromDDL(_PARTIAL).fields)
-    partial = _as_pandas(rows.where(F.col("ts").isNotNull()), _partial_sessions(key, gap_s * US, sample=5), schema)
+    fields = [f for f in rows.schema.fields if f.name != "value"]
+    schema = StructType([*fields, *StructType.fromDDL("text string, last bigint, n bigint").fields])
+    partial = _as_pandas(rows, _partial_sessions(gap_s * US, sample=5), schema)
+    processor = SessionProcessor(gap_s, burst)
     return (
         partial.withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key)
-        .transformWithState(processor, processor.output, "append", "eventTime")
+        .select(_shard(shards), "*")
+        .groupBy("shard")
+        .transformWithStateInPandas(processor, processor.output.format(key_type.simpleString()), "append", "eventTime")
+        .select(whole("k", key), "events", "ended_us", "sample_values", "flag")
     )
 
 
