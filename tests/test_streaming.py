@@ -229,3 +229,7 @@ def test_timeout_join_calls_the_state_for_shards_of_keys(spark):
 
 def test_sessions_call_the_state_for_shards_of_keys(spark):
     assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_sessions(s, "key", 5, 4, 10)) <= 64
+
+
+def test_rate_limit_calls_the_state_for_shards_of_keys(spark):
+    assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_rate_limit(s, "key", 2, 1_000, 10)) <= 32

@@ -226,44 +226,51 @@ def stream_sessions(
     )
 
 
-def _first_rows(key: str, limit: int, period_us: int):
+def _first_rows(limit: int):
     """Keep what can pass a limiter: per Arrow batch the first rows of each key and period."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["arrival_us", "id"])
-        return rows.groupby([rows[key], rows["ts_us"] // period_us], sort=False, dropna=False).head(limit)
+        return rows.groupby([_codes(rows), rows["period"]], sort=False).head(limit)
 
     return run
 
 
 class RateLimitProcessor(StatefulProcessor):
-    """Lets the first ``limit`` rows per period through, in arrival order; counts live until the period
-    can get no more rows."""
+    """Lets the first ``limit`` rows per key and period through, in arrival order. The counts of the keys of
+    a shard live until the period can get no more rows."""
 
-    def __init__(self, key: str, key_type: str, limit: int, period_s: int):
-        self._key = key
+    output = "k {}, no_k boolean, period bigint, nth bigint, id bigint, no_id boolean"
+
+    def __init__(self, limit: int, period_s: int):
         self._limit = limit
         self._period = period_s * US
-        self.output = f"{key} {key_type}, period bigint, nth bigint, id bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._counts = handle.getMapState("counts", "period bigint", "n bigint")
+        self._counts = handle.getValueState("counts", _BLOB)
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        for _, row_id, ts_us in sorted((r["arrival_us"], r["id"], r["ts_us"]) for r in rows):
-            period = ts_us // self._period
-            n = self._counts.getValue((period,))[0] if self._counts.containsKey((period,)) else 0
-            if n == 0:
-                self._handle.registerTimer((period + 1) * self._period // 1_000)
-            if n < self._limit:
-                self._counts.updateValue((period,), (n + 1,))
-                yield Row(**{self._key: key[0], "period": period, "nth": n + 1, "id": row_id})
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        new = pd.concat(rows, ignore_index=True).sort_values(["arrival_us", "no_id", "id"], ignore_index=True)
+        period = int(key[1])
+        if self._counts.exists():
+            old = _unpacked(self._counts.get())
+        else:
+            old = new[["k", "no_k"]].iloc[:0].assign(n=np.zeros(0, dtype=np.int64))
+            self._handle.registerTimer((period + 1) * self._period // 1_000)
+        codes = _codes(pd.concat([old[["k", "no_k"]], new[["k", "no_k"]]], ignore_index=True) if len(old) else new)
+        before = np.zeros(codes.max() + 1, dtype=np.int64)
+        before[codes[: len(old)]] = old["n"].to_numpy()
+        codes = codes[len(old) :]
+        new = new.assign(n=before[codes] + new.groupby(codes).cumcount().to_numpy() + 1)
+        passed = new[new["n"] <= self._limit]
+        if len(passed):
+            counts = pd.concat([old, passed[["k", "no_k", "n"]]], ignore_index=True) if len(old) else passed[["k", "no_k", "n"]]
+            self._counts.update(_packed(counts.groupby(["k", "no_k"], sort=False, dropna=False, as_index=False)["n"].max()))
+            yield passed[["k", "no_k", "id", "no_id"]].assign(period=period, nth=passed["n"])
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        over = expiredTimerInfo.getExpiryTimeInMs() * 1_000 // self._period - 1
-        if self._counts.containsKey((over,)):
-            self._counts.removeKey((over,))
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self._counts.clear()
         return iter(())
 
     def close(self) -> None:
@@ -271,16 +278,28 @@ class RateLimitProcessor(StatefulProcessor):
 
 
 def stream_rate_limit(
-    stream: DataFrame, key: str, limit: int, period_s: int, delay_s: int, row_id: str = "event_id"
+    stream: DataFrame,
+    key: str,
+    limit: int,
+    period_s: int,
+    delay_s: int,
+    row_id: str = "event_id",
+    shards: int = 32,
 ) -> DataFrame:
-    rows = stream.select(key, "ts", F.unix_micros("ts").alias("ts_us"), "arrival_us", F.col(row_id).alias("id"))
-    processor = RateLimitProcessor(key, stream.schema[key].dataType.simpleString(), limit, period_s)
+    """The first ``limit`` rows of each key and period, in arrival order. A state key is a shard of keys and a period."""
+    key_type = stream.schema[key].dataType
+    rows = stream.where(F.col("ts").isNotNull()).withColumn("__us", F.unix_micros("ts")).select(
+        *plain(F.col(key), key_type, "k"), "ts", _floor_div("__us", period_s * US).alias("period"), "arrival_us",
+        *plain(F.col(row_id).cast("bigint"), LongType(), "id"),
+    )
+    processor = RateLimitProcessor(limit, period_s)
     return (
-        _as_pandas(rows.where(F.col("ts").isNotNull()), _first_rows(key, limit, period_s * US), rows.schema)
+        _as_pandas(rows, _first_rows(limit), rows.schema)
         .withWatermark("ts", f"{delay_s} seconds")
-        .groupBy(key)
-        .transformWithState(processor, processor.output, "append", "eventTime")
-        .withColumnRenamed("id", row_id)
+        .select(_shard(shards), "*")
+        .groupBy("shard", "period")
+        .transformWithStateInPandas(processor, processor.output.format(key_type.simpleString()), "append", "eventTime")
+        .select(whole("k", key), "period", "nth", whole("id", row_id))
     )
 
 
