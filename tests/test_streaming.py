@@ -233,3 +233,18 @@ def test_sessions_call_the_state_for_shards_of_keys(spark):
 
 def test_rate_limit_calls_the_state_for_shards_of_keys(spark):
     assert 0 < timers_of_400_keys(spark, lambda s: ss.stream_rate_limit(s, "key", 2, 1_000, 10)) <= 32
+
+
+def test_rows_of_a_window_wait_as_blocks(spark):
+    data = [(0, i % 50, 1) for i in range(400)] + [(1, 55, 1)]
+    feed = SliceFeed(story(spark, data, LATER).drop("ts_us", "s").coalesce(1), MARK, horizon_s=100_000)
+    base = shared_dir(spark, "blocks")
+    out = sp.stream_panes(feed.stream(), "key", "value", 60, 30, early=pn.any_of(7))
+    feed.play(start_to_files(out, f"{base}/out", f"{base}/checkpoint", 2), feed.slices[:1])
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{base}/checkpoint")
+    assert 0 < waiting.count() <= 4
+
+
+def test_a_dropped_row_after_a_jump_of_time_does_not_fire_the_window_again(spark):
+    data = [(0, 5, 5), (1, 200, None), (2, 8, 100), (3, 300, None)]
+    assert pane_trace(spark, data, 60, 30) == [(0, "ON_TIME", 5.0)]

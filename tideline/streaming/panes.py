@@ -11,38 +11,40 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tideline.functions.numeric import US
 from tideline.operators.panes import Early, units
 from tideline.operators.watermarks import window_end
+from tideline.streaming.sessions import plain, whole
 
 _STATE = "total bigint, held bigint, held_n bigint, next_index bigint, fired boolean, counting boolean, early_panes bigint, wm bigint"
-_ROW = "arrival_us bigint, id bigint, amount bigint"
 
 
 class PaneProcessor(StatefulProcessor):
     """State: what is in the window so far (``window``) and the rows of the last micro-batch
-    (``waiting``). Amounts are whole units (``units``)."""
+    (``waiting``). Amounts are whole units (``units``). Rows travel and wait as blocks of the columns
+    arrival, id, amount, and the panes they fire are found by position in their order."""
 
-    def __init__(
-        self, key: str, key_type: str, size_s: int, lateness_s: int, early: Early | None, late: str, accumulating: bool
-    ):
-        self._key = key
+    output = "k {}, no_k boolean, win_end_us bigint, pane_index bigint, timing string, amount bigint"
+
+    def __init__(self, size_s: int, lateness_s: int, early: Early | None, late: str, accumulating: bool):
         self._delay_us = (size_s + lateness_s) * US
         self._lateness_us = lateness_s * US
         self._early = early
         self._late = late
         self._accumulating = accumulating
-        self.output = f"{key} {key_type}, win_end_us bigint, pane_index bigint, timing string, amount bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._window = handle.getValueState("window", _STATE)
-        self._waiting = handle.getListState("waiting", _ROW)
+        self._waiting = handle.getListState("waiting", "data binary")
 
     def _load(self) -> dict[str, Any]:
         names = [c.split()[0] for c in _STATE.split(", ")]
@@ -54,74 +56,76 @@ class PaneProcessor(StatefulProcessor):
         ms = timers.getCurrentWatermarkInMs()
         return ms * 1_000 + self._delay_us if ms > 0 else None
 
-    def _pane(self, key: tuple, st: dict[str, Any], timing: str, delta: int) -> Row:
-        st["total"] += delta
-        index = st["next_index"]
-        st["next_index"] += 1
-        amount = st["total"] if self._accumulating else delta
-        return Row(**{self._key: key[0], "win_end_us": key[1], "pane_index": index, "timing": timing, "amount": amount})
-
-    def _early_panes(self, key: tuple, st: dict[str, Any], rows: list[tuple]) -> Iterator[Row]:
-        """Rows of one slice that are certainly early."""
-        how = self._early
-
-        def fire() -> Iterator[Row]:
-            delta = st["held"]
-            st["held"], st["held_n"] = 0, 0
-            st["early_panes"] += 1
-            yield self._pane(key, st, "EARLY", delta)
-
-        def may_fire() -> bool:
-            limit = 2 if how.kind == "each" else 1
-            return how.repeat or st["early_panes"] < limit
-
-        for _, _, amount in rows:
-            st["held"] += amount
-            st["held_n"] += 1
-            counts = how is not None and (
-                how.kind in ("count", "any") or (how.kind == "each" and st["counting"])
-            )
-            if counts and st["held_n"] >= how.n and may_fire():
-                st["counting"] = False
-                yield from fire()
-        if how is None or not st["held_n"] or not may_fire():
-            return
-        tick = how.kind in ("slice", "any") or (how.kind == "all" and st["held_n"] >= how.n)
-        if tick or (how.kind == "each" and not st["counting"]):
-            st["counting"] = True
-            yield from fire()
+    def _panes(self, key: tuple, st: dict[str, Any], timing: str, deltas: np.ndarray) -> pd.DataFrame:
+        """One pane for each delta, in this order."""
+        totals = st["total"] + np.cumsum(deltas)
+        indexes = np.arange(st["next_index"], st["next_index"] + len(deltas))
+        st["total"], st["next_index"] = int(totals[-1]), int(indexes[-1]) + 1
+        return pd.DataFrame(
+            {
+                "k": [key[0]] * len(deltas),
+                "no_k": bool(key[1]),
+                "win_end_us": key[2],
+                "pane_index": indexes,
+                "timing": timing,
+                "amount": totals if self._accumulating else deltas,
+            }
+        )
 
-    def _advance(self, key: tuple, st: dict[str, Any], now: int | None) -> Iterator[Row]:
+    def _early_deltas(self, st: dict[str, Any], amounts: np.ndarray) -> np.ndarray:
+        """What the early panes add that the rows of one slice fire, which are certainly early."""
+        how, m = self._early, len(amounts)
+        sums = st["held"] + np.cumsum(amounts)
+        left = m if how is None or how.repeat else max(0, (2 if how.kind == "each" else 1) - st["early_panes"])
+        # Rows after which the trigger fires, counted from 0.
+        at = np.zeros(0, dtype=np.int64)
+        if how is not None and (how.kind in ("count", "any") or (how.kind == "each" and st["counting"])):
+            at = np.arange(max(how.n - st["held_n"], 1) - 1, m, how.n)[: min(left, 1) if how.kind == "each" else left]
+            st["counting"] = st["counting"] and not len(at)
+        held_n = m - 1 - int(at[-1]) if len(at) else st["held_n"] + m
+        if how is not None and held_n and (how.repeat or len(at) < left):
+            tick = how.kind in ("slice", "any") or (how.kind == "all" and held_n >= how.n)
+            if tick or (how.kind == "each" and not st["counting"]):
+                st["counting"] = True
+                at, held_n = np.r_[at, m - 1], 0
+        st["early_panes"] += len(at)
+        st["held"], st["held_n"] = int(sums[-1]) - (int(sums[at[-1]]) if len(at) else 0), held_n
+        return np.diff(sums[at], prepend=0)
+
+    def _advance(self, key: tuple, st: dict[str, Any], now: int | None) -> Iterator[pd.DataFrame]:
         """What the watermark reached by the last micro-batch makes due."""
         if now is None or now == st["wm"]:
             return
-        rows = sorted(self._waiting.get()) if self._waiting.exists() else []
+        amounts = _in_order([r[0] for r in self._waiting.get()] if self._waiting.exists() else [])
         self._waiting.clear()
-        if now < key[1]:
-            if rows:
-                yield from self._early_panes(key, st, rows)
+        if now < key[2]:
+            if len(amounts):
+                deltas = self._early_deltas(st, amounts)
+                if len(deltas):
+                    yield self._panes(key, st, "EARLY", deltas)
             return
         if not st["fired"] and st["wm"] is not None:
-            st["held"] += sum(r[2] for r in rows)
-            delta, st["held"], st["held_n"], st["fired"] = st["held"], 0, 0, True
-            yield self._pane(key, st, "ON_TIME", delta)
+            delta = st["held"] + int(amounts.sum())
+            st["held"], st["held_n"], st["fired"] = 0, 0, True
+            yield self._panes(key, st, "ON_TIME", np.array([delta], dtype=np.int64))
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         st, now = self._load(), self._now(timerValues)
         yield from self._advance(key, st, now)
-        end = key[1]
-        arrived = sorted((r["arrival_us"], r["id"], r["amount"]) for r in rows)
+        end = key[2]
+        blocks = [block for frame in rows for block in frame["block"]]
         if now is not None and now >= end + self._lateness_us:
+            # The timer that ends the window comes next and must not fire its panes again.
+            if self._window.exists():
+                self._save(st)
             return
         if now is not None and now >= end:
-            if self._late == "per_slice":
-                yield self._pane(key, st, "LATE", sum(a[2] for a in arrived))
-            else:
-                for a in arrived:
-                    yield self._pane(key, st, "LATE", a[2])
+            amounts = _in_order(blocks)
+            late = amounts.sum(keepdims=True) if self._late == "per_slice" else amounts
+            yield self._panes(key, st, "LATE", late)
             self._save(st)
         else:
-            self._waiting.appendList(arrived)
+            self._waiting.appendList([(bytes(block),) for block in blocks])
             st["wm"] = now if now is not None else -1
             self._save(st)
             spark_ms = timerValues.getCurrentWatermarkInMs()
@@ -129,12 +133,12 @@ class PaneProcessor(StatefulProcessor):
             self._handle.registerTimer((end - self._delay_us) // 1_000)
         self._handle.registerTimer((end + self._lateness_us - self._delay_us) // 1_000)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         if not self._window.exists():
             return
         st, now = self._load(), self._now(timerValues)
         yield from self._advance(key, st, now)
-        if now is not None and now >= key[1] + self._lateness_us:
+        if now is not None and now >= key[2] + self._lateness_us:
             self._window.clear()
             self._waiting.clear()
         else:
@@ -147,15 +151,45 @@ class PaneProcessor(StatefulProcessor):
         pass
 
 
+def _in_order(blocks: list[bytes]) -> np.ndarray:
+    """The amounts of the rows in ``blocks`` in order of arrival and id."""
+    rows = np.concatenate([np.zeros((3, 0), dtype="<i8"), *(np.frombuffer(b, dtype="<i8").reshape(3, -1) for b in blocks)], axis=1)
+    arrival, ids, amounts = rows
+    return amounts[np.lexsort((amounts, ids, arrival))]
+
+
+_KEYS = ["k", "no_k", "win_end_us"]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each key and window of an Arrow batch, with its newest time and its rows as one block.
+
+    The engine drops rows by that time. What it would have dropped among older rows the processor drops as
+    well, since the delay covers window and lateness.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        numbers = pa.array(np.arange(table.num_rows))
+        groups = table.append_column("row", numbers).group_by(_KEYS).aggregate([("ts", "max"), ("row", "list")])
+        columns = [table.column(c).fill_null(0).to_numpy() for c in ("arrival_us", "id", "amount")]
+        matrix = np.stack(columns).astype("<i8")
+        lists = groups.column("row_list").combine_chunks()
+        places, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+        made = [np.ascontiguousarray(matrix[:, places[a:b]]).tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)]
+        out = groups.select([*_KEYS, "ts_max"]).rename_columns([*_KEYS, "ts"]).append_column("block", pa.array(made, pa.binary()))
+        yield from out.combine_chunks().to_batches()
+
+
 def _combine_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up the rows of each (key, window) inside an Arrow batch, before the shuffle."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        keys = table.column_names[:2]
-        summed = table.group_by(keys).aggregate(
+        summed = table.group_by(_KEYS).aggregate(
             [("ts", "max"), ("arrival_us", "max"), ("id", "max"), ("amount", "sum")]
         )
-        yield from summed.select([*keys, "ts_max", "arrival_us_max", "id_max", "amount_sum"]).rename_columns(
+        yield from summed.select([*_KEYS, "ts_max", "arrival_us_max", "id_max", "amount_sum"]).rename_columns(
             table.column_names
         ).combine_chunks().to_batches()
 
@@ -175,12 +209,14 @@ def stream_panes(
     """Panes of a stream of arrival slices; columns as in the batch form but for ``is_first/is_last``.
 
     When no trigger looks at single rows, rows are added up in each task first, so a hot key sends the
-    processor one row per task. Otherwise all rows of a key and window go through one task, in order.
+    processor one row per task. Otherwise all rows of a key and window go through one task, in order, as
+    blocks of numbers of one Arrow batch each.
     Event times must be later than 1970 by more than ``size_s + lateness_s``, since a Spark watermark is
     never negative.
     """
-    rows = stream.select(
-        key,
+    key_type = stream.schema[key].dataType
+    rows = stream.where(F.col("ts").isNotNull()).select(
+        *plain(F.col(key), key_type, "k"),
         window_end(F.unix_micros("ts"), size_s).alias("win_end_us"),
         "ts",
         "arrival_us",
@@ -189,14 +225,14 @@ def stream_panes(
     )
     if late == "per_slice" and (early is None or early.kind == "slice"):
         rows = rows.mapInArrow(_combine_rows, rows.schema)
-    processor = PaneProcessor(
-        key, stream.schema[key].dataType.simpleString(), size_s, lateness_s, early, late, accumulating
-    )
+    shape = StructType([*[rows.schema[c] for c in (*_KEYS, "ts")], StructField("block", BinaryType())])
+    processor = PaneProcessor(size_s, lateness_s, early, late, accumulating)
     fired = (
-        rows.withWatermark("ts", f"{size_s + lateness_s} seconds")
-        .groupBy(key, "win_end_us")
-        .transformWithState(processor, processor.output, "append", "eventTime")
+        rows.mapInArrow(_blocks, shape)
+        .withWatermark("ts", f"{size_s + lateness_s} seconds")
+        .groupBy(*_KEYS)
+        .transformWithStateInPandas(processor, processor.output.format(key_type.simpleString()), "append", "eventTime")
     )
     return fired.select(
-        key, "win_end_us", "pane_index", "timing", (F.col("amount") / F.lit(10.0**digits)).alias("value")
+        whole("k", key), "win_end_us", "pane_index", "timing", (F.col("amount") / F.lit(10.0**digits)).alias("value")
     )
