@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tideline.llm import decontam, html, langid, lines, lm, near, packing, quality, topk, urls, words
-from tideline.llm.queries import identified
+from tideline.llm.queries import QUERIES, identified
 
 LONG = " ".join(f"Word{i % 977} is number {i}." for i in range(6_000))
 STORY = "The cat sat on the mat and the dog lay down by the fire while it rained all day in the old town by the sea."
@@ -303,6 +303,20 @@ def test_quality_trains_with_all_chunks_of_a_text(spark):
     assert any(b"END" in c.tobytes() for c, _ in got)
 
 
+def test_quality_counts_labelled_texts_without_dealing_them_out(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(n, "word " * n) for n in range(40)] + [(None, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(0, 40, 3)] + [(3, 1)], "doc_id long, quality int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    plans, frame = [], type(docs)
+    first = frame.first
+    monkeypatch.setattr(frame, "first", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or first(df))
+    assert QUERIES["op4_quality"](spark, str(tmp_path)).count() == 42
+    (plan,) = plans
+    above = plan[: plan.index("Join")]
+    assert "octet_length" not in above and "octet_length" in plan
+
+
 # --- line dedup --------------------------------------------------------------------------------
 
 

@@ -139,6 +139,7 @@ def learn(
     text: str = "text",
     label: str = "quality",
     order: str | Column = "doc_id",
+    size: str | Column | None = None,
     sample_docs: int = 2000,
     sample_bytes: int = 16 << 20,
     epochs: int = 12,
@@ -149,13 +150,17 @@ def learn(
     The rate comes from the number and the bytes of all labelled rows: about ``sample_docs`` rows and no more than about
     ``sample_bytes`` bytes of text. A picked row trains with its whole text, a very long one too. None if no row is
     labelled; null and empty texts are one chunk of padding.
+
+    ``size`` is the column with the bytes of a text. Where ``labelled`` is a join, measure it before the join, so that
+    numbers are dealt out to be counted and not whole texts.
     """
     known = labelled.where(F.col(label).isNotNull())
-    size, total = known.agg(F.count("*"), F.sum(F.octet_length(F.col(text).cast("string")))).first()
-    if not size:
+    size = F.octet_length(F.col(text).cast("string")) if size is None else size
+    rows, total = known.agg(F.count("*"), F.sum(size)).first()
+    if not rows:
         return None
     place = F.pmod(F.xxhash64(F.lit("quality"), order), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate = min(1.0, sample_docs / size, sample_bytes / (total or 1))
+    rate = min(1.0, sample_docs / rows, sample_bytes / (total or 1))
     samples = _training_chunks(known.where(place < rate), text, label, shape)
     return fit(Network(shape), samples, epochs=epochs) if samples else None
 

@@ -128,7 +128,8 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "quality").where(remainder(3) != 1)
-    network = quality.learn(docs.join(labels, "doc_id"))
+    measured = docs.withColumn("bytes", F.octet_length("text"))
+    network = quality.learn(measured.join(labels, "doc_id"), size="bytes")
     scored = quality.score(docs, network, carry=["doc_id"])
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
