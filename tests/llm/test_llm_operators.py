@@ -8,14 +8,16 @@ import math
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import decontam, html, langid, lines, lm, near, packing, quality, topk, urls, words
+from tideline.llm import blocks, decontam, html, langid, lines, lm, near, packing, quality, topk, urls, words
 from tideline.llm.queries import QUERIES, identified
 
 LONG = " ".join(f"Word{i % 977} is number {i}." for i in range(6_000))
@@ -581,6 +583,26 @@ def test_lm_scores_equal_a_backoff_chain(spark, order, least):
     assert sorted((r.doc_id, r.log_score) for r in lm.score(df, order=order, least=least).collect()) == want
 
 
+def test_counts_travel_in_blocks_and_not_as_rows_of_runs(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS", 7)
+    rng = random.Random(3)
+    docs = [(i, rng.choice([None, "", "one", "two words", " ".join(rng.choices("abcdef", k=rng.randrange(60)))])) for i in range(80)]
+    df = spark.createDataFrame(docs, "id long, text string").repartition(3)
+    kept = blocks.keep_words(df, words.SPACED, "test-words")
+    schema = df.selectExpr("id", "text AS counts").schema
+
+    def work(slice, counts):
+        return [slice.row["id"], pa.array([str(counts[a:b].tolist()) for a, b in zip(slice.edge[:-1], slice.edge[1:])])]
+
+    got = {r.id: r.counts for r in blocks.with_counts(kept, lambda s: words.mix(s.of[s.index]), 10, work, schema).collect()}
+    split = {i: (t or "").split() for i, t in docs}
+    met = Counter(w for ws in split.values() for w in ws)
+    assert got == {i: str([met[w] for w in ws]) for i, ws in split.items()}
+    # A row for each document and run is what filled the disk.
+    plan = lm.score(df, id="id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "bucket" in plan
+
+
 def test_crc_of_pieces_is_little_endian():
     assert zlib.crc32(np.array([1, 2], dtype="<u4").tobytes()) == zlib.crc32(b"\x01\0\0\0\x02\0\0\0")
 

@@ -9,13 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.llm import blocks
 from tideline.llm.arrow import slices, values
-from tideline.llm.words import coded, mix
+from tideline.llm.words import SPACED, coded, mix
 from tideline.session import settle
 
 #: Log probabilities are whole millionths, so sums do not depend on their order.
 MICRO = 1_000_000
 ROWS, BYTES = 4096, 8 << 20
+#: Bits of a hash by which short runs that may be a whole text are known; 1 MiB for all tasks.
+MARKED = 20
 
 
 def micro_log(x: np.ndarray | float) -> np.ndarray:
@@ -98,10 +101,10 @@ def score(
     score of the run without its first word needs only counts, so it is worked out once for each
     distinct run and joined to one row for each document and run. With ``least`` = 1 every run of a
     text has a count, so nothing backs off and the sum needs fewer counts (`_all_counts`); order 2 has
-    a plan of its own too (`_bigrams`). Only these two heed ``head``, and ``broadcast_words`` only the latter.
+    a plan of its own too (`_bigrams`). Only the latter heeds ``head`` and ``broadcast_words``.
     """
     if order > 2 and least <= 1:
-        return _all_counts(df, id=id, text=text, order=order, head=head)
+        return _all_counts(df, id=id, text=text, order=order)
     if order == 2:
         return _bigrams(df, id=id, text=text, backoff=backoff, least=least, head=head, broadcast_words=broadcast_words)
     source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("k"))
@@ -167,114 +170,69 @@ def score(
     return each.select(F.col("id").alias(id), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.lit(float(MICRO)) / F.col("n_words")).alias("score"))
 
 
-def _all_counts(df: DataFrame, *, id: str, text: str, order: int, head: int) -> DataFrame:
+def _all_counts(df: DataFrame, *, id: str, text: str, order: int) -> DataFrame:
     """`score` for counts from one on and an ``order`` of three or more.
 
     The score of a word is log c(its run) - log c(that run without its last word), and what one word
     subtracts is what the word before would add at the next lower order. Summed over a text of at
     least ``order`` words there remain: plus its runs of ``order`` words, minus its runs of one word
     less, the first and the last of these left out, minus log N; of a shorter text, the whole text's
-    count and log N. Rows (hash, document, times, factor) are dealt by hash once, their count is a
-    window sum over the hash, and they are summed per document, in each task first.
+    count and log N.
 
-    The ``head`` most frequent runs among those met three times in a slice of texts are counted apart
-    (added up before the shuffle, 16 bytes each on the driver) and looked up where the text is. So a
-    hash has two rows a slice at most, or is rarer than ``head`` others. ``head`` changes the plan and
-    not the result.
+    Texts are kept as numbered words in slices. A slice sends each distinct run once, whatever its
+    number of documents, as sorted hashes in blocks (`blocks.with_counts`), gets the counts back in the same
+    order and sums its texts. So a frequent run is one entry a slice. Runs of less than ``order`` - 1 words count only
+    as whole texts; they are sent where the first ``MARKED`` bits of their hash are those of such a text.
     """
     spark = df.sparkSession
-    source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(id), F.col(text)).alias("k"))
-
-    def runs(s: Slice) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each length up to ``order``: places of last words, and hashes."""
-        w = s.words[s.index]
-        nth = np.arange(len(w)) - s.edge[:-1][s.doc]
+    kept = blocks.keep_words(df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")), SPACED, "lm-words")
+    total = blocks.count_words(kept)
+    log_total = int(micro_log(max(total, 1)))
+
+    def runs(words: blocks.Words, most: int = order) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length up to ``most``: places of last words, and hashes."""
+        w = words.of[words.index]
+        nth = np.arange(len(w)) - words.edge[:-1][words.doc]
         out = [(np.arange(len(w)), mix(w))]
-        for n in range(1, order):
+        for n in range(1, most):
             last = np.zeros(len(w), np.uint64)
             last[out[-1][0]] = out[-1][1]
             at = np.flatnonzero(nth >= n)
             out.append((at, mix(last[at - 1] * np.uint64(0x9E3779B97F4A7C15) + w[at] + np.uint64(n))))
         return out
 
-    def first_pass():
-        """Kinds: 0 counts of short runs, 1 candidates of the head, 2 texts that are a short run, 3 number of words."""
-
-        def work(s: Slice, part: pa.RecordBatch):
-            each = runs(s)
-            short, n = _count(np.concatenate([h for _, h in each[: order - 2]]))
-            often, m = _count(np.concatenate([h for _, h in each[order - 2 :]]), 3)
-            whole = np.zeros(len(s.size), np.uint64)
-            for size, (at, h) in enumerate(each[: order - 2], 1):
-                ends = at[s.size[s.doc[at]] == size]
-                ends = ends[ends == s.edge[1:][s.doc[ends]] - 1]
-                whole[s.doc[ends]] = h[np.searchsorted(at, ends)]
-            tiny = np.flatnonzero((s.size > 0) & (s.size < order - 1))
-            kinds = np.repeat(np.arange(4, dtype=np.int8), (len(short), len(often), len(tiny), 1))
-            h = np.concatenate((short, often, whole[tiny].view(np.int64), [0]))
-            k = np.zeros(len(h), np.int64)
-            k[len(short) + len(often) : len(h) - 1] = part.column("k").to_numpy()[tiny]
-            return [pa.array(kinds), pa.array(h), pa.array(k), pa.array(np.concatenate((n, m, np.ones(len(tiny)), [len(s.index)])).astype(np.int64))]
-
-        return work
-
-    counted = settle(_map(source.select("text", "k"), first_pass, "kind byte, h long, k long, n long").groupBy("kind", "h", "k").agg(F.sum("n").alias("c")), "lm-short")
-    log_total = int(micro_log(max(counted.where("kind = 3").agg(F.sum("c")).first()[0] or 0, 1)))
-    top = counted.where("kind = 1").orderBy(F.col("c").desc(), "h").limit(head).select("h", "c")
-    chosen = spark.sparkContext.broadcast(Table(top))
-
-    def head_counts():
-        def work(s: Slice, _: pa.RecordBatch):
-            h, n = _count(np.concatenate([h for _, h in runs(s)[order - 2 :]]))
-            mine = chosen.value.get(h, 0) > 0
-            return [pa.array(h[mine]), pa.array(n[mine].astype(np.int64))]
-
-        return work
-
-    exact = spark.sparkContext.broadcast(Table(_map(source.select("text"), head_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))))
-
-    def spread():
-        """One row for each document (times = -1 - its words, factor = what is known of its score) and each of its rarer runs."""
-
-        def work(s: Slice, part: pa.RecordBatch):
-            (at, low), (_, full) = runs(s)[order - 2 :]
-            size, docs = s.size[s.doc[at]], len(s.size)
-            inner = (at > s.edge[:-1][s.doc[at]] + order - 2) & (at < s.edge[1:][s.doc[at]] - 1)
-            ends = np.flatnonzero(np.arange(len(s.index)) >= s.edge[:-1][s.doc] + order - 1)
-            h, doc = np.concatenate((low, full)), np.concatenate((s.doc[at], s.doc[ends]))
-            factor = np.concatenate((np.where(size == order - 1, 1, -inner.astype(np.int64)), np.ones(len(full), np.int64)))
-            c = exact.value.get(h.view(np.int64), 0)
-            known = c > 0
-            own = np.bincount(doc[known], weights=factor[known] * micro_log(c[known].astype(float)), minlength=docs).astype(np.int64)
-            own -= np.where(s.size > 0, log_total, 0)
-            h, doc, factor = h[~known], doc[~known], factor[~known]
-            _, place, back, n = np.unique(mix(h ^ mix(doc.astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True, return_counts=True)
-            factor = np.bincount(back, weights=factor, minlength=len(place)).astype(np.int64)
-            # Rows of a document stand together, equal factors too, which compresses best.
-            by_doc = np.lexsort((factor, doc[place]))
-            place, n, factor = place[by_doc], n[by_doc], factor[by_doc]
-            k = part.column("k").to_numpy()
-            keys, of = np.concatenate((k, h[place].view(np.int64))), np.concatenate((k, k[doc[place]]))
-            return [pa.array(keys), pa.array(of), pa.array(np.concatenate((-1 - s.size, n)).astype(np.int32)), pa.array(np.concatenate((own, factor)))]
-
-        return work
-
-    rows = _map(source.select("text", "k"), spread, "h long, k long, n int, x long")
-    c = F.sum(F.greatest("n", F.lit(0))).over(Window.partitionBy("h"))
-    log_c = F.rint(F.ln(F.greatest("c", F.lit(1))) * MICRO).cast("long")
-    doc = F.col("n") < 0
-    sums = {"s": F.when(doc, F.col("x")).otherwise(F.col("x") * log_c), "words": F.when(doc, -1 - F.col("n")).otherwise(0), "rows": doc.cast("long")}
-    summed = rows.withColumn("c", c).groupBy("k").agg(*(F.sum(v).alias(name) for name, v in sums.items()))
-    short = counted.where("kind = 2").select("h", "k", F.col("c").alias("times")).join(counted.where("kind = 0").select("h", "c"), "h")
-    short = short.select("k", (F.col("times") * log_c).alias("more"))
-    ids = source.select("id", "k").groupBy("k").agg(F.first("id").alias("id"))
-    each = summed.join(short, "k", "left").join(ids, "k")
-    each = each.select(
-        "id",
-        (F.col("words") / F.col("rows")).cast("long").alias("n_words"),
-        ((F.col("s") + F.coalesce("more", F.lit(0))) / F.col("rows")).cast("long").alias("log_score"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))),
-    )
+    def marks(words: blocks.Words) -> list:
+        size = words.size[words.doc]
+        whole = [h[size[at] == n] for n, (at, h) in enumerate(runs(words, order - 2), 1)]
+        return [pa.array(np.unique(np.concatenate(whole) >> np.uint64(64 - MARKED)).astype(np.int64))]
+
+    marked = np.zeros(1 << MARKED, bool)
+    marked[np.asarray(blocks.each(kept, marks, "mark long").distinct().toArrow()["mark"], np.int64)] = True
+    shared = spark.sparkContext.broadcast(marked)
+
+    def sent(words: blocks.Words) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = runs(words)
+        own = [shared.value[h >> np.uint64(64 - MARKED)] for _, h in found[: order - 2]]
+        return [(at[mine], h[mine]) for (at, h), mine in zip(found, own)] + found[order - 2 :]
+
+    def keys(words: blocks.Words) -> np.ndarray:
+        words.sent = sent(words)  # for `summed`
+        return np.concatenate([h for _, h in words.sent])
+
+    def summed(words: blocks.Words, counts: np.ndarray) -> list:
+        logs, start, sums = micro_log(counts.astype(float)), 0, np.zeros(len(words.size), np.int64)
+        size, place = words.size[words.doc], np.arange(len(words.index)) - words.edge[:-1][words.doc]
+        for n, (at, _) in enumerate(words.sent, 1):
+            # A text of fewer than ``order`` words counts as a whole.
+            factor = ((size[at] == n) | (n == order)).astype(np.int64)
+            if n == order - 1:
+                factor -= (place[at] >= n) & (place[at] < size[at] - 1)
+            sums += np.bincount(words.doc[at], weights=factor * logs[start : start + len(at)], minlength=len(sums)).astype(np.int64)
+            start += len(at)
+        return [words.row["id"], pa.array(words.size), pa.array(sums - np.where(words.size > 0, log_total, 0))]
+
+    kind = df.select(F.col(id).alias("id")).schema
+    each = blocks.with_counts(kept, keys, total * order, summed, kind.add("n_words", "long").add("log_score", "long"))
     return each.select(F.col("id").alias(id), "n_words", "log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.lit(float(MICRO)) / F.col("n_words")).alias("score"))
 
 
