@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import os
 import random
 import time
 import zlib
@@ -377,6 +378,21 @@ def test_line_dedup_keeps_white_space_elsewhere():
     assert lines.keep("a b", [[0, 1]]) == ("", 2)
 
 
+def test_line_dedup_leaves_only_what_its_result_reads(spark):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(root))
+    text = " ".join(f"w{n}" for n in range(90))
+    out = lines.dedup_lines(spark.createDataFrame([(1, text), (2, "a " + text), (3, text[:200])], "doc_id long, text string"))
+    left = {name.rpartition("-")[0] for name in set(os.listdir(root)) - before}
+    assert "line-hashes" not in left and "line-near" not in left and "line-judged" in left
+    assert [r.text for r in out.orderBy("doc_id").collect()][:2] == [text, "a"]
+
+
+def test_cuts_touch_or_stay_apart():
+    cuts = np.sort(np.array([(3 << 32) + 5, (6 << 32) + 6, (4 << 32) + 4, (9 << 32) + 12]))
+    assert lines._merged(cuts) == [(3, 6), (9, 12)]
+
+
 def test_line_dedup_of_awkward_rows(awkward, nothing):
     out = lines.dedup_lines(awkward)
     assert set(out.columns) == set(awkward.columns) | {"removed_words", "removed_runs"}

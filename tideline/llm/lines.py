@@ -6,8 +6,7 @@ begins and ends and however either text is wrapped.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,15 +14,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import free, release, slices, values, widen
+from tideline.llm.arrow import free, release, slices, values
 from tideline.llm.words import coded, mix
-from tideline.session import settle
+from tideline.session import discard, settle
 
 #: Words of a line.
 LINE = 9
 #: Words are what stands between ASCII white space.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SPACE = " \t\n\v\f\r"
+SPACE = b" \t\n\v\f\r"
 #: Odd multipliers of the two hashes of a run of words.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
@@ -61,34 +59,38 @@ def fingerprints(runs: Runs, least: int, line: int = LINE) -> tuple[np.ndarray,
     first = np.arange(total - least + 1)
     row = np.searchsorted(runs.edge, first, side="right") - 1
     first = first[first + least <= runs.edge[row + 1]]
-    best = np.lib.stride_tricks.sliding_window_view(hashes, width).argmin(axis=1)
+    count = total - least + 1
+    smallest, best = hashes[:count].copy(), np.zeros(count, np.int64)
+    for j in range(1, width):
+        less = hashes[j : j + count] < smallest
+        np.copyto(smallest, hashes[j : j + count], where=less)
+        best[less] = j
     at = np.unique(first + best[first])
     return at, np.searchsorted(runs.edge, at, side="right") - 1, hashes
 
 
 def _measure(df: DataFrame, least: int) -> DataFrame:
-    """Per document (``id``, ``k``): its fingerprints ``h`` at word ``p``, with a hash ``c`` of the words around.
+    """Fingerprints of each document (``id``, ``k``): ``h`` at word ``p``, with a hash ``c`` of the words around.
 
     Those words, from ``p - (least - LINE)`` to before ``e``, hold every run of ``least`` words with the line in it.
     """
     reach = least - LINE
+    out = df.select("id", "k").schema.add("h", "long").add("c", "long").add("p", "integer").add("e", "integer")
 
-    def make():
-        def work(texts):
-            runs = Runs(texts)
-            at, row, hashes = fingerprints(runs, least)
-            base = runs.edge[row]
-            low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
-            shape = (at - low) * (2 * least) + (high - low)
-            columns = (hashes[at], runs.hash(low, high, 1, shape), at - base, high - base)
-            names = ("h", "c", "p", "e")
-            found = [dict(zip(names, x)) for x in zip(*(c.tolist() for c in columns))]
-            cut = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
-            return ([found[a:b] for a, b in zip(cut[:-1], cut[1:])],)
-
-        return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                runs = Runs(values(part.column("text")))
+                at, row, hashes = fingerprints(runs, least)
+                base = runs.edge[row]
+                low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
+                shape = (at - low) * (2 * least) + (high - low)
+                place, small = pa.array(row), (pa.array(x.astype(np.int32)) for x in (at - base, high - base))
+                columns = [part.column("id").take(place), part.column("k").take(place), pa.array(hashes[at])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(runs.hash(low, high, 1, shape)), *small], names=out.names)
+        release()
 
-    return widen(df, "text", "prints array<struct<h: long, c: long, p: int, e: int>>", make, ["id", "k"])
+    return df.select("id", "k", "text").mapInArrow(run, out)
 
 
 def _windows(marked: DataFrame, least: int) -> DataFrame:
@@ -115,21 +117,25 @@ def _windows(marked: DataFrame, least: int) -> DataFrame:
     return marked.select("id", "k", "text", "points").mapInArrow(run, out)
 
 
-def keep(text: str, runs: list[list[int]]) -> tuple[str, int]:
+def keep(text: str, runs: Sequence[Sequence[int]]) -> tuple[str, int]:
     """``text`` without the words of ``runs`` (numbers of words, both ends included, in order), and how many were cut out.
 
     White space on both sides of a cut becomes a line end if one stood there or in what was cut, else one space.
     """
-    spans = [m.span() for m in WORD.finditer(text)]
-    out, at = "", 0
+    raw = text.encode()
+    byte = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff((byte != 32) & ((byte < 9) | (byte > 13)), prepend=False, append=False))
+    begin, end = edges[::2].tolist(), edges[1::2].tolist()
+    out, at = bytearray(), 0
     for a, b in runs:
-        out += text[at : spans[a][0]]
-        before = out.rstrip(SPACE)
-        gap = out[len(before) :] + text[spans[a][0] : spans[b][1]]
-        at = spans[b + 1][0] if b + 1 < len(spans) else len(text)
-        gap += text[spans[b][1] : at]
-        out = before + ("\n" if "\n" in gap else " ") if before and at < len(text) else before
-    return out + text[at:], sum(b - a + 1 for a, b in runs)
+        out += raw[at : begin[a]]
+        at = begin[b + 1] if b + 1 < len(begin) else len(raw)
+        line = b"\n" in raw[begin[a] : at]
+        while out and out[-1] in SPACE:
+            line |= out.pop() == 10
+        if out and at < len(raw):
+            out += b"\n" if line else b" "
+    return (bytes(out) + raw[at:]).decode(), sum(b - a + 1 for a, b in runs)
 
 
 def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least: int = 25) -> DataFrame:
@@ -155,8 +161,7 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
         raise ValueError(f"least must be {LINE} words or more")
     key = F.xxhash64(F.col(id), F.col(text))
     source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), key.alias("k"))
-    docs = settle(_measure(source, least).where(F.size("prints") > 0), "line-hashes")
-    prints = docs.select("id", "k", F.inline("prints"))
+    prints = settle(_measure(source, least), "line-hashes")
 
     # Rows equal in id and text count as repeats here; they are no places apart, so nothing of theirs is cut.
     def ends(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
@@ -174,9 +179,11 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
         return F.col("k1").isNotNull() & (other | (F.col(place) - F.col("at1") >= width))
 
     near = settle(repeated(prints, "h"), "line-near")
+    discard(prints)
     low = F.greatest(F.col("p") - (least - LINE), F.lit(0))
     judged = near.join(ends(near, ["h", "c"], "p"), ["h", "c"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
     judged = settle(judged, "line-judged")
+    discard(near)
     points = repeated(judged.where(~F.col("later")), "h").groupBy("id", "k").agg(F.collect_set("p").alias("points"))
 
     def same(left: DataFrame, right: DataFrame) -> F.Column:
@@ -184,18 +191,27 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
 
     points = settle(points, "line-points")
     marked = source.join(points, same(source, points)).select(source["id"], source["k"], "text", "points")
-    runs = settle(repeated(settle(_windows(marked, least), "line-windows"), "w"), "line-windows")
+    windows = settle(_windows(marked, least), "line-windows")
+    runs = settle(repeated(windows, "w"), "line-windows")
+    discard(windows)
     later = runs.join(ends(runs, ["w", "x"], "first"), ["w", "x"]).where(apart("first", F.lit(least)))
     covered = judged.where("later").select("id", "k", "first", (F.col("e") - 1).alias("last"))
     cuts = covered.unionByName(later.select("id", "k", "first", (F.col("first") + (least - 1)).alias("last")))
 
     kept = df.drop("removed_words", "removed_runs")
     k, i, spans, own = free(df, "k"), free(df, "i"), free(df, "spans"), free(df, "own")
-    found = cuts.groupBy(F.col("id").alias(i), F.col("k").alias(k)).agg(F.collect_set(F.struct("first", "last")).alias(spans))
+    found = cuts.groupBy(F.col("id").alias(i), F.col("k").alias(k)).agg(F.collect_set(F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")).alias(spans))
     joined = kept.withColumn(own, key).join(found, (F.col(own) == F.col(k)) & F.col(id).eqNullSafe(F.col(i)), "left").drop(own, k, i)
     return _delete(joined, text, spans).select(*kept.columns, "removed_words", "removed_runs")
 
 
+def _merged(cuts: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of words from sorted cuts (first << 32 | last); those that touch are one."""
+    first, last = cuts >> 32, np.maximum.accumulate(cuts & 0xFFFFFFFF)
+    new = np.flatnonzero(first[1:] > last[:-1] + 1) + 1
+    return list(zip(first[np.concatenate(([0], new))].tolist(), last[np.concatenate((new - 1, [len(last) - 1]))].tolist()))
+
+
 def _delete(joined: DataFrame, text: str, runs: str) -> DataFrame:
     names = joined.columns
     out = joined.drop(runs).withColumns({"removed_words": F.lit(0).cast("long"), "removed_runs": F.lit(0).cast("long")}).schema
@@ -205,18 +221,14 @@ def _delete(joined: DataFrame, text: str, runs: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, runs_at = names.index(text), names.index(runs)
         for batch in batches:
-            texts, removed, count = [], [], []
-            for value, cuts in zip(batch.column(at).to_pylist(), batch.column(runs_at).to_pylist()):
-                spans: list[list[int]] = []
-                for a, b in sorted((r["first"], r["last"]) for r in cuts or ()):
-                    if spans and a <= spans[-1][1] + 1:
-                        spans[-1][1] = max(spans[-1][1], b)
-                    else:
-                        spans.append([a, b])
-                new, words = keep(value, spans) if spans else (value, 0)
-                texts.append(new)
-                removed.append(words)
-                count.append(len(spans))
+            texts, removed, count = values(batch.column(at)), [0] * len(batch), [0] * len(batch)
+            cuts = batch.column(runs_at)
+            numbers, ends = cuts.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(cuts).fill_null(0).to_numpy(zero_copy_only=False))
+            for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+                if a < b and texts[i]:
+                    spans = _merged(np.sort(numbers[a:b]))
+                    texts[i], removed[i] = keep(texts[i], spans)
+                    count[i] = len(spans)
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != runs_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(count, pa.int64())], names=out.names)
 

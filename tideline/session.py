@@ -73,3 +73,12 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of settled frames that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
