@@ -99,6 +99,7 @@ def beside(kept: DataFrame, other: DataFrame, work: Callable[[Words, pa.Table],
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         made = [pa.Table.from_arrays(work(words, right), names=schema.names) for words in _loaded(left, carry)]
+        release()
         return pa.concat_tables(made) if made else pa.table([pa.array([], f.type) for f in _arrow(schema)], names=schema.names)
 
     return kept.groupBy("slice").cogroup(other.groupBy("slice")).applyInArrow(run, schema)
@@ -138,14 +139,23 @@ def with_counts(kept: DataFrame, keys: Callable[[Words], np.ndarray], total: int
         counts[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(first, append=len(h)))
         ends = np.cumsum([len(x) for x in parts])
         packed = [pack(x) for x in np.split(counts, ends[:-1])]
+        del parts, n, h, order, first, counts
+        release()
         return pa.Table.from_arrays([rows.column("slice"), rows.column("bucket"), pa.array(packed, pa.binary())], names=["slice", "bucket", "c"])
 
     def look_up(words: Words, rows: pa.Table) -> list:
-        _, place = np.unique(keys(words), return_inverse=True)
-        order = np.argsort(rows.column("bucket").to_numpy())
-        blobs = values(rows.column("c"))
-        counts = np.concatenate([np.zeros(0, np.int64), *(unpack(blobs[i], np.int64) for i in order)])
-        return work(words, counts[place])
+        order, blobs = np.argsort(rows.column("bucket").to_numpy()), values(rows.column("c"))
+        own = np.concatenate([np.zeros(0, np.int64), *(unpack(blobs[i], np.int64) for i in order)])
+        h = keys(words)
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
+        times = np.diff(first, append=len(h))
+        del h
+        counts = np.empty(len(order), np.int64)
+        counts[order] = np.repeat(own, times)
+        del order, own, first, times
+        return work(words, counts)
 
     dealt = each(kept, deal, "slice long, bucket int, h binary, n binary")
     counted = dealt.groupBy("bucket").applyInArrow(add_up, "slice long, bucket int, c binary")

@@ -216,18 +216,22 @@ def _all_counts(df: DataFrame, *, id: str, text: str, order: int) -> DataFrame:
         return [(at[mine], h[mine]) for (at, h), mine in zip(found, own)] + found[order - 2 :]
 
     def keys(words: blocks.Words) -> np.ndarray:
-        words.sent = sent(words)  # for `summed`
-        return np.concatenate([h for _, h in words.sent])
+        found = sent(words)
+        words.sent = [at.astype(np.int32) if len(words.index) < 1 << 31 else at for at, _ in found]  # for `summed`
+        return np.concatenate([h for _, h in found])
 
     def summed(words: blocks.Words, counts: np.ndarray) -> list:
-        logs, start, sums = micro_log(counts.astype(float)), 0, np.zeros(len(words.size), np.int64)
-        size, place = words.size[words.doc], np.arange(len(words.index)) - words.edge[:-1][words.doc]
-        for n, (at, _) in enumerate(words.sent, 1):
+        start, sums = 0, np.zeros(len(words.size), np.int64)
+        for n, at in enumerate(words.sent, 1):
+            doc = words.doc[at]
+            size, place = words.size[doc], at - words.edge[doc]
             # A text of fewer than ``order`` words counts as a whole.
-            factor = ((size[at] == n) | (n == order)).astype(np.int64)
+            factor = ((size == n) | (n == order)).astype(np.int64)
             if n == order - 1:
-                factor -= (place[at] >= n) & (place[at] < size[at] - 1)
-            sums += np.bincount(words.doc[at], weights=factor * logs[start : start + len(at)], minlength=len(sums)).astype(np.int64)
+                factor -= (place >= n) & (place < size - 1)
+            del size, place
+            worth = factor * micro_log(counts[start : start + len(at)].astype(float))
+            sums += np.bincount(doc, weights=worth, minlength=len(sums)).astype(np.int64)
             start += len(at)
         return [words.row["id"], pa.array(words.size), pa.array(sums - np.where(words.size > 0, log_total, 0))]
 
