@@ -393,6 +393,54 @@ def test_cuts_touch_or_stay_apart():
     assert lines._merged(cuts) == [(3, 6), (9, 12)]
 
 
+def test_lines_travel_in_blocks_and_not_as_rows(spark, monkeypatch):
+    """A row for each line and run of words, shuffled and sorted, was most of the processor's time."""
+    settled, settle = [], blocks.settle
+    monkeypatch.setattr(blocks, "settle", lambda df, purpose: settled.append((purpose, out := settle(df, purpose), out.count())) or out)
+    monkeypatch.setattr(lines, "discard", lambda *frames: None)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefghijkl", k=rng.randrange(20, 300))) for _ in range(60)]
+    docs = [(i, rng.choice([t, f"{rng.choice(texts)} {t}", None, ""])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.removed_words for r in lines.dedup_lines(df).collect()} == {i: n for i, (_, n) in brute_lines(docs, 25).items()}
+    assert [(purpose, n <= 4) for purpose, _, n in settled] == [("line-hashes", True), ("line-windows", True)]
+    prints, numbers = settled[0][1], lines.PRINT
+    assert prints.agg(F.sum("n")).first()[0] > 300
+    # Every row whose key is met twice comes back with its document, and no other.
+    every = []
+    for r in prints.collect():
+        place, *columns = (blocks.unpack(r[c], t) for c, t in ({"place": np.int32} | numbers).items())
+        every += zip((r.id[i] for i in place), *(c.tolist() for c in columns))
+    met = Counter(h for _, h, *_ in every)
+    # The smallest hashes of many would nearly all go to one bucket.
+    assert max(Counter(h >> 62 for h in met).values()) < 0.4 * len(met)
+    got = [tuple(r) for r in blocks.repeats(prints, "h", numbers).select("id", *numbers).collect()]
+    assert sorted(got) == sorted(r for r in every if met[r[1]] > 1) and 0 < len(got) < len(every)
+
+
+def test_fingerprints_equal_a_naive_search():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["a", "b"] if i % 2 else "abcdefghij", k=rng.randrange(70))) for i in range(30)] + [None, "", "x " * 90]
+    runs = lines.Runs(texts)
+    for least in (9, 10, 13, 25, 40):
+        at, row, hashes = lines.fingerprints(runs, least)
+        want = {(first + int(np.argmin(hashes[first : first + least - 8])), d) for d, (a, b) in enumerate(zip(runs.edge, runs.edge[1:])) for first in range(a, b - least + 1)}
+        assert list(zip(at, row)) == sorted(want)
+
+
+def test_words_between_white_space_are_told_apart():
+    rng = random.Random(7)
+    some = ["".join(rng.choices("aàb\0Ü。\u2028", k=n)) for n in (*range(1, 20), 63, 64, 65, 66, 500) for _ in range(3)] + ["a" * n for n in range(1, 140)]
+    texts = [None, "", " ", "\t\x0b\x0c\r\n"] + ["".join(w + rng.choice([" ", "\n", "\x0b\t", " \x0c "]) for w in rng.choices(some, k=90)) for _ in range(9)] + ["end", ""]
+    hashes, edge = words.spaced(texts)
+    split = [(t or "").lower().encode().split() for t in texts]
+    assert edge.tolist() == [0, *np.cumsum([len(ws) for ws in split])]
+    of: dict = {}
+    assert all(of.setdefault(w, h) == h for w, h in zip((w for ws in split for w in ws), hashes.tolist()))
+    assert len(hashes) == edge[-1] and len(set(of.values())) == len(of) > 150
+    assert words.spaced([])[1].tolist() == [0]
+
+
 def test_line_dedup_of_awkward_rows(awkward, nothing):
     out = lines.dedup_lines(awkward)
     assert set(out.columns) == set(awkward.columns) | {"removed_words", "removed_runs"}

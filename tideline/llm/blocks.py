@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tideline.llm.arrow import release, slices, values
 from tideline.llm.words import coded
@@ -21,6 +21,8 @@ from tideline.session import settle
 
 #: Texts and bytes of text in a slice, unless one text is longer.
 ROWS, BYTES = 1 << 14, 16 << 20
+#: Bytes of text whose rows of numbers are made at a time, unless one text is longer: they stay near the processor.
+PIECE = 1 << 18
 #: Hashes that a bucket may get at most; counted once for each slice that holds them.
 BUCKET = 1 << 21
 
@@ -111,22 +113,28 @@ def _arrow(schema: StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def with_counts(kept: DataFrame, keys: Callable[[Words], np.ndarray], total: int, work: Callable[[Words, np.ndarray], list], schema: StructType) -> DataFrame:
-    """Columns of ``work(words, counts)`` for each slice: how often each of ``keys(words)``, hashes, is met in all slices.
+#: What ``dealt`` makes.
+DEALT = "slice long, bucket int, h binary, n binary"
 
-    ``total`` is about the number of keys of all slices; it sets the number of buckets.
-    """
-    bits = max(6, int(np.ceil(np.log2(max(total, 1) / BUCKET))))
 
-    def deal(words: Words) -> list:
-        h, n = np.unique(keys(words), return_counts=True)
-        cut = np.searchsorted(h, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-        cut = np.concatenate(([0], cut, [len(h)]))
-        full = np.flatnonzero(np.diff(cut))
-        ranges = list(zip(cut[full], cut[full + 1]))
-        apart = [pack(np.diff(h[a:b], prepend=np.uint64(0))) for a, b in ranges]
-        blobs = [pa.array(x, pa.binary()) for x in (apart, [pack(n[a:b]) for a, b in ranges])]
-        return [pa.array(np.full(len(full), words.slice, np.int64)), pa.array(full.astype(np.int32)), *blobs]
+def spread(total: int) -> int:
+    """Bits of the number of a bucket, for about ``total`` hashes of all slices."""
+    return max(6, int(np.ceil(np.log2(max(total, 1) / BUCKET))))
+
+
+def dealt(number: int, h: np.ndarray, n: np.ndarray, bits: int) -> list:
+    """Columns of a slice's distinct sorted hashes ``h`` and their counts, a row for each bucket."""
+    cut = np.searchsorted(h, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    cut = np.concatenate(([0], cut, [len(h)]))
+    full = np.flatnonzero(np.diff(cut))
+    ranges = list(zip(cut[full], cut[full + 1]))
+    apart = [pack(np.diff(h[a:b], prepend=np.uint64(0))) for a, b in ranges]
+    blobs = [pa.array(x, pa.binary()) for x in (apart, [pack(n[a:b]) for a, b in ranges])]
+    return [pa.array(np.full(len(full), number, np.int64)), pa.array(full.astype(np.int32)), *blobs]
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """Rows (slice, bucket, c): counts over all slices of the hashes that ``dealt`` dealt out, in their order."""
 
     def add_up(rows: pa.Table) -> pa.Table:
         parts = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in values(rows.column("h"))]
@@ -143,9 +151,27 @@ def with_counts(kept: DataFrame, keys: Callable[[Words], np.ndarray], total: int
         release()
         return pa.Table.from_arrays([rows.column("slice"), rows.column("bucket"), pa.array(packed, pa.binary())], names=["slice", "bucket", "c"])
 
+    return rows.groupBy("bucket").applyInArrow(add_up, "slice long, bucket int, c binary")
+
+
+def own(rows: pa.Table) -> np.ndarray:
+    """The counts that a slice got back, in the order of its distinct sorted hashes."""
+    order, blobs = np.argsort(rows.column("bucket").to_numpy()), values(rows.column("c"))
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(blobs[i], np.int64) for i in order)])
+
+
+def with_counts(kept: DataFrame, keys: Callable[[Words], np.ndarray], total: int, work: Callable[[Words, np.ndarray], list], schema: StructType) -> DataFrame:
+    """Columns of ``work(words, counts)`` for each slice: how often each of ``keys(words)``, hashes, is met in all slices.
+
+    ``total`` is about the number of keys of all slices; it sets the number of buckets.
+    """
+    bits = spread(total)
+
+    def deal(words: Words) -> list:
+        return dealt(words.slice, *np.unique(keys(words), return_counts=True), bits)
+
     def look_up(words: Words, rows: pa.Table) -> list:
-        order, blobs = np.argsort(rows.column("bucket").to_numpy()), values(rows.column("c"))
-        own = np.concatenate([np.zeros(0, np.int64), *(unpack(blobs[i], np.int64) for i in order)])
+        got = own(rows)
         h = keys(words)
         order = np.argsort(h)
         h = h[order]
@@ -153,13 +179,72 @@ def with_counts(kept: DataFrame, keys: Callable[[Words], np.ndarray], total: int
         times = np.diff(first, append=len(h))
         del h
         counts = np.empty(len(order), np.int64)
-        counts[order] = np.repeat(own, times)
-        del order, own, first, times
+        counts[order] = np.repeat(got, times)
+        del order, got, first, times
         return work(words, counts)
 
-    dealt = each(kept, deal, "slice long, bucket int, h binary, n binary")
-    counted = dealt.groupBy("bucket").applyInArrow(add_up, "slice long, bucket int, c binary")
-    return beside(kept, counted, look_up, schema)
+    return beside(kept, summed(each(kept, deal, DEALT)), look_up, schema)
+
+
+def keep_rows(source: DataFrame, carry: list[str], make: Callable[[pa.RecordBatch], tuple[np.ndarray, list]], kinds: dict[str, type], purpose: str) -> DataFrame:
+    """One row for each slice of ``source``, written once: its number, ``n`` rows made, and an array of each column of ``carry``.
+
+    ``make(part)`` gives the places in ``part`` that its rows come from and a column of numbers for each of ``kinds``;
+    the rows' places and numbers are kept packed.
+    """
+    out = StructType().add("slice", "long").add("n", "long").add("place", "binary")
+    for name in kinds:
+        out.add(name, "binary")
+    for name in carry:
+        out.add(name, ArrayType(source.schema[name].dataType))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in slices(batch, "text", ROWS, BYTES):
+                at, parts = 0, []
+                for piece in slices(part, "text", ROWS, PIECE):
+                    place, numbers = make(piece)
+                    parts.append([place + at, *numbers])
+                    at += len(piece)
+                columns = [np.concatenate(x).astype(kind) for x, kind in zip(zip(*parts), (np.int32, *kinds.values()))]
+                packed = [pa.array([pack(x)], pa.binary()) for x in columns]
+                arrays = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(name)) for name in carry]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([len(columns[0])]), *packed, *arrays], names=out.names)
+                number += 1
+        release()
+
+    return settle(source.mapInArrow(run, out), purpose)
+
+
+def repeats(kept: DataFrame, key: str, kinds: dict[str, type]) -> DataFrame:
+    """Rows of ``keep_rows``, with the columns carried, whose ``key`` is met more than once in all slices."""
+    bits = spread(kept.agg(F.sum("n")).first()[0] or 0)
+    carry = [f for f in kept.schema.fields if f.name not in ("slice", "n", "place", *kinds)]
+    out = StructType([StructField(f.name, f.dataType.elementType) for f in carry])
+    for name, kind in kinds.items():
+        out.add(name, "long" if kind is np.int64 else "integer")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, blob in zip(values(batch.column("slice")), values(batch.column(key))):
+                yield pa.RecordBatch.from_arrays(dealt(number, *np.unique(unpack(blob, np.uint64), return_counts=True), bits), names=["slice", "bucket", "h", "n"])
+        release()
+
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        tables = [_arrow(out).empty_table()]
+        for row in left.to_batches():
+            h, back = np.unique(unpack(row.column(key)[0].as_py(), np.uint64), return_inverse=True)
+            twice = np.flatnonzero((own(right) > 1)[back])
+            place = pa.array(unpack(row.column("place")[0].as_py(), np.int32)[twice])
+            columns = [row.column(f.name)[0].values.take(place) for f in carry]
+            columns += [pa.array(unpack(row.column(name)[0].as_py(), kind)[twice]) for name, kind in kinds.items()]
+            tables.append(pa.Table.from_arrays(columns, names=out.names))
+        release()
+        return pa.concat_tables(tables)
+
+    counted = summed(kept.select("slice", key).mapInArrow(deal, DEALT))
+    return kept.groupBy("slice").cogroup(counted.groupBy("slice")).applyInArrow(look_up, out)
 
 
 def count_words(kept: DataFrame) -> int:

@@ -14,8 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import free, release, slices, values
-from tideline.llm.words import coded, mix
+from tideline.llm import blocks
+from tideline.llm.arrow import free, values
+from tideline.llm.words import mix, spaced
 from tideline.session import discard, settle
 
 #: Words of a line.
@@ -30,10 +31,10 @@ class Runs:
     """Two 64-bit hashes of any run of the words of many texts, from running sums."""
 
     def __init__(self, texts: list[str | None]):
-        of, index, self.edge = coded(texts, None)
+        of, self.edge = spaced(texts)
         self._sums, self._back = [], []
         for salt, base in enumerate(BASES):
-            words = mix(of + np.uint64(salt * BASES[0] & (1 << 64) - 1))[index]
+            words = mix(of + np.uint64(salt * BASES[0] & (1 << 64) - 1))
             power = np.full(len(words) + 1, base, np.uint64)
             power[0] = 1
             np.cumprod(power, out=power)
@@ -48,25 +49,38 @@ class Runs:
         return mix(mix(whole) + np.asarray(tag, np.uint64)).view(np.int64)
 
 
+    def lines(self, length: int) -> np.ndarray:
+        """Hashes of the words from each one on, ``length`` of them, also across texts."""
+        sums = self._sums[0]
+        return mix((sums[length:] - sums[:-length]) * self._back[0][:-length]).view(np.int64)
+
+
 def fingerprints(runs: Runs, least: int, line: int = LINE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the smallest line hash of each ``least`` words of a text begins, its text, and the hashes of all lines."""
     total, width = int(runs.edge[-1]), least - line + 1
     if total < least:
         none = np.zeros(0, np.int64)
         return none, none, none
-    start = np.arange(total - line + 1)
-    hashes = runs.hash(start, start + line, 0)
-    first = np.arange(total - least + 1)
-    row = np.searchsorted(runs.edge, first, side="right") - 1
-    first = first[first + least <= runs.edge[row + 1]]
-    count = total - least + 1
-    smallest, best = hashes[:count].copy(), np.zeros(count, np.int64)
-    for j in range(1, width):
-        less = hashes[j : j + count] < smallest
-        np.copyto(smallest, hashes[j : j + count], where=less)
-        best[less] = j
-    at = np.unique(first + best[first])
-    return at, np.searchsorted(runs.edge, at, side="right") - 1, hashes
+    hashes = runs.lines(line)
+    # The smallest of as many hashes as a power of two from each one on, and which it is; then of two such that overlap.
+    smallest, best, size = hashes, np.arange(len(hashes)), 1
+    while size < width:
+        step = min(size, width - size)
+        less = smallest[step:] < smallest[:-step]
+        smallest = np.where(less, smallest[step:], smallest[:-step])
+        best = np.where(less, best[step:], best[:-step])
+        size += step
+    sizes = np.diff(runs.edge)
+    inside = np.repeat(runs.edge[1:], sizes)[: len(best)] - np.arange(len(best)) >= least
+    at = best[inside]
+    at = at[np.concatenate((at[:1] >= 0, at[1:] != at[:-1]))]
+    return at, np.repeat(np.arange(len(sizes)), sizes)[at], hashes
+
+
+#: Columns of the fingerprints of a document.
+PRINT = {"h": np.int64, "c": np.int64, "p": np.int32, "e": np.int32}
+#: Columns of its runs of words.
+WINDOW = {"w": np.int64, "x": np.int64, "first": np.int32}
 
 
 def _measure(df: DataFrame, least: int) -> DataFrame:
@@ -75,46 +89,34 @@ def _measure(df: DataFrame, least: int) -> DataFrame:
     Those words, from ``p - (least - LINE)`` to before ``e``, hold every run of ``least`` words with the line in it.
     """
     reach = least - LINE
-    out = df.select("id", "k").schema.add("h", "long").add("c", "long").add("p", "integer").add("e", "integer")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                runs = Runs(values(part.column("text")))
-                at, row, hashes = fingerprints(runs, least)
-                base = runs.edge[row]
-                low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
-                shape = (at - low) * (2 * least) + (high - low)
-                place, small = pa.array(row), (pa.array(x.astype(np.int32)) for x in (at - base, high - base))
-                columns = [part.column("id").take(place), part.column("k").take(place), pa.array(hashes[at])]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(runs.hash(low, high, 1, shape)), *small], names=out.names)
-        release()
+    def make(part: pa.RecordBatch) -> tuple[np.ndarray, list]:
+        runs = Runs(values(part.column("text")))
+        at, row, hashes = fingerprints(runs, least)
+        base = runs.edge[row]
+        low, high = np.maximum(at - reach, base), np.minimum(at + least, runs.edge[row + 1])
+        shape = (at - low) * (2 * least) + (high - low)
+        # The smallest hashes are much alike; mixed again they spread over all buckets.
+        return row, [mix(hashes[at].view(np.uint64)).view(np.int64), runs.hash(low, high, 1, shape), at - base, high - base]
 
-    return df.select("id", "k", "text").mapInArrow(run, out)
+    return blocks.keep_rows(df.select("id", "k", "text"), ["id", "k"], make, PRINT, "line-hashes")
 
 
 def _windows(marked: DataFrame, least: int) -> DataFrame:
     """Rows (id, k, w, x, first): each run of ``least`` words that holds a line beginning at one of ``points``."""
-    out = marked.select("id", "k").schema.add("w", "long").add("x", "long").add("first", "integer")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                runs = Runs(values(part.column("text")))
-                points = part.column("points")
-                row = np.repeat(np.arange(len(part)), pc.list_value_length(points).to_numpy(zero_copy_only=False))
-                at = points.flatten().to_numpy(zero_copy_only=False) + runs.edge[row]
-                first = (at[:, None] - np.arange(least - LINE + 1)).ravel()
-                row = np.repeat(row, least - LINE + 1)
-                first = np.unique(first[(first >= runs.edge[row]) & (first + least <= runs.edge[row + 1])])
-                row = np.searchsorted(runs.edge, first, side="right") - 1
-                place = pa.array(row)
-                hashes = [pa.array(runs.hash(first, first + least, which)) for which in (0, 1)]
-                columns = [part.column("id").take(place), part.column("k").take(place), *hashes]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array((first - runs.edge[row]).astype(np.int32))], names=out.names)
-        release()
-
-    return marked.select("id", "k", "text", "points").mapInArrow(run, out)
+    def make(part: pa.RecordBatch) -> tuple[np.ndarray, list]:
+        runs = Runs(values(part.column("text")))
+        points = part.column("points")
+        row = np.repeat(np.arange(len(part)), pc.list_value_length(points).to_numpy(zero_copy_only=False))
+        at = points.flatten().to_numpy(zero_copy_only=False) + runs.edge[row]
+        first = (at[:, None] - np.arange(least - LINE + 1)).ravel()
+        row = np.repeat(row, least - LINE + 1)
+        first = np.unique(first[(first >= runs.edge[row]) & (first + least <= runs.edge[row + 1])])
+        row = np.searchsorted(runs.edge, first, side="right") - 1
+        return row, [*(runs.hash(first, first + least, which) for which in (0, 1)), first - runs.edge[row]]
+
+    return blocks.keep_rows(marked.select("id", "k", "text", "points"), ["id", "k"], make, WINDOW, "line-windows")
 
 
 def keep(text: str, runs: Sequence[Sequence[int]]) -> tuple[str, int]:
@@ -150,7 +152,8 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
     is a fingerprint, so equal runs share one. Around a repeated fingerprint a match is extended both
     ways to all words that such a run can reach: where those are repeated too they are deleted at
     once, and where they differ (at the ends of a passage) each run of ``least`` words is compared by
-    itself. A match takes 128 bits: hashes of the line and of the words around it, or two of a run. Repeats are found and their first places looked up by
+    itself. A match takes 128 bits: hashes of the line and of the words around it, or two of a run. What is met more than once is found by counts
+    of packed hashes, each sent once for each slice of texts that holds it; only that much becomes rows. First places are looked up by
     aggregates that add up before the shuffle; the joins that spread the first places can be split.
 
     A null text stays null, an empty one empty, with nothing removed; a long one is one row of numbers while it is
@@ -161,7 +164,7 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
         raise ValueError(f"least must be {LINE} words or more")
     key = F.xxhash64(F.col(id), F.col(text))
     source = df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"), key.alias("k"))
-    prints = settle(_measure(source, least), "line-hashes")
+    prints = _measure(source, least)
 
     # Rows equal in id and text count as repeats here; they are no places apart, so nothing of theirs is cut.
     def ends(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
@@ -178,12 +181,14 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
         other = (F.col("k") != F.col("k1")) | ~F.col("id").eqNullSafe(F.col("id1"))
         return F.col("k1").isNotNull() & (other | (F.col(place) - F.col("at1") >= width))
 
-    near = settle(repeated(prints, "h"), "line-near")
+    near = settle(blocks.repeats(prints, "h", PRINT), "line-near")
     discard(prints)
     low = F.greatest(F.col("p") - (least - LINE), F.lit(0))
-    judged = near.join(ends(near, ["h", "c"], "p"), ["h", "c"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
-    judged = settle(judged, "line-judged")
-    discard(near)
+    firsts = ends(near, ["h", "c"], "p")
+    judged = near.join(firsts, ["h", "c"], "left").select("id", "k", "h", "p", low.alias("first"), "e", apart("p", F.col("e") - low).alias("later"))
+    open_only = {name: F.when(~F.col("later"), F.col(name)) for name in ("h", "p")}
+    judged = settle(judged.withColumns(open_only), "line-judged")
+    discard(near, firsts)
     points = repeated(judged.where(~F.col("later")), "h").groupBy("id", "k").agg(F.collect_set("p").alias("points"))
 
     def same(left: DataFrame, right: DataFrame) -> F.Column:
@@ -191,9 +196,9 @@ def dedup_lines(df: DataFrame, *, id: str = "doc_id", text: str = "text", least:
 
     points = settle(points, "line-points")
     marked = source.join(points, same(source, points)).select(source["id"], source["k"], "text", "points")
-    windows = settle(_windows(marked, least), "line-windows")
-    runs = settle(repeated(windows, "w"), "line-windows")
-    discard(windows)
+    windows = _windows(marked, least)
+    runs = settle(blocks.repeats(windows, "w", WINDOW), "line-runs")
+    discard(windows, points)
     later = runs.join(ends(runs, ["w", "x"], "first"), ["w", "x"]).where(apart("first", F.lit(least)))
     covered = judged.where("later").select("id", "k", "first", (F.col("e") - 1).alias("last"))
     cuts = covered.unionByName(later.select("id", "k", "first", (F.col("first") + (least - 1)).alias("last")))
@@ -221,15 +226,17 @@ def _delete(joined: DataFrame, text: str, runs: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, runs_at = names.index(text), names.index(runs)
         for batch in batches:
-            texts, removed, count = values(batch.column(at)), [0] * len(batch), [0] * len(batch)
-            cuts = batch.column(runs_at)
-            numbers, ends = cuts.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(cuts).fill_null(0).to_numpy(zero_copy_only=False))
-            for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
-                if a < b and texts[i]:
-                    spans = _merged(np.sort(numbers[a:b]))
-                    texts[i], removed[i] = keep(texts[i], spans)
-                    count[i] = len(spans)
-            columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != runs_at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64()), pa.array(count, pa.int64())], names=out.names)
+            texts, cuts, removed, count = batch.column(at), batch.column(runs_at), np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            numbers, size = cuts.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(cuts).fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(size)
+            hit = (size > 0) & pc.is_valid(texts).to_numpy(zero_copy_only=False)
+            new = values(texts.filter(pa.array(hit)))
+            for j, i in enumerate(np.flatnonzero(hit).tolist()):
+                spans = _merged(np.sort(numbers[ends[i] - size[i] : ends[i]]))
+                new[j], removed[i] = keep(new[j], spans)
+                count[i] = len(spans)
+            texts = pc.replace_with_mask(texts, pa.array(hit), pa.array(new, texts.type))
+            columns = [texts if i == at else c for i, c in enumerate(batch.columns) if i != runs_at]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed), pa.array(count)], names=out.names)
 
     return joined.mapInArrow(run, out)

@@ -15,6 +15,14 @@ from tideline.llm.arrow import values
 SPACED = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
 
+#: Which bytes are no ASCII white space.
+SOLID = np.array([c != 0x20 and not 0x09 <= c <= 0x0D for c in range(256)])
+#: The lowest bytes of eight, by their number.
+LOWEST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of a word that are hashed eight at a time for many words at once; longer words are hashed each by itself.
+SHORT = 64
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -46,6 +54,25 @@ def hashed(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return of[index], edge
 
 
+def spaced(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``hashed``, for words parted by ASCII white space alone; no word is looked up, so many distinct ones cost no more."""
+    folded = [t.lower().encode() if t else b"" for t in texts]
+    raw = np.frombuffer(b" ".join((b"", *folded, b" " * 8)), np.uint8)
+    solid = SOLID[raw]
+    ends = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    begin, size = ends[::2], ends[1::2] - ends[::2]
+    edge = np.searchsorted(begin, np.cumsum([1, *(len(t) + 1 for t in folded)]))
+    eight = np.ndarray(len(raw) - 7, "<u8", raw.data, strides=(1,))
+    out, rest = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.arange(len(size))
+    for at in range(0, SHORT, 8):
+        left = size[rest] - at
+        out[rest] = mix(out[rest] + mix(eight[begin[rest] + at] & LOWEST[np.minimum(left, 8)]))
+        rest = rest[left > 8]
+    for i in rest.tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[begin[i] : begin[i] + size[i]])
+    return out, edge
+
+
 def grams(words: np.ndarray, width: int) -> np.ndarray:
     """Hashes of all runs of ``width`` words of one text; of all its words if it has fewer, none if it has none."""
     width = min(width, len(words))
